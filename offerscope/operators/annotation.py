@@ -65,8 +65,8 @@ def make_batches(
     )
 
 
-def prompt_of(offers: Column, labels: list[str], definitions: dict[str, str] | None = None) -> Column:
-    """The request for one batch."""
+def prompt_frame(labels: list[str], definitions: dict[str, str] | None = None) -> tuple[str, str]:
+    """What stands before and after the offers of a batch."""
     meaning = DEFINITIONS if definitions is None else definitions
     listed = "\n".join(f"- {label} : {meaning.get(label, label)}" for label in labels)
     head = (
@@ -79,6 +79,12 @@ def prompt_of(offers: Column, labels: list[str], definitions: dict[str, str] | N
         'Réponds par un objet JSON dont la clé "annotations" contient une entrée par annonce, '
         f"avec id, {', '.join(labels)}.\n"
     )
+    return head, tail
+
+
+def prompt_of(offers: Column, labels: list[str], definitions: dict[str, str] | None = None) -> Column:
+    """The request for one batch."""
+    head, tail = prompt_frame(labels, definitions)
     blocks = F.transform(
         offers,
         lambda offer, i: F.concat(
@@ -104,7 +110,7 @@ def _truth(value: Column) -> Column:
     """A JSON value as 0 or 1: null, false, zero and empty values give 0."""
     kind = F.schema_of_variant(value)
     text = F.trim(value.cast("string"))
-    number = F.coalesce(F.expr("false") | (text.try_cast("double") != 0), F.lit(True))
+    number = F.coalesce(text.try_cast("double") != 0, F.lit(True))
     return (
         F.when(kind == "VOID", 0)
         .when(kind == "STRING", (F.length(value.cast("string")) > 0).cast("int"))

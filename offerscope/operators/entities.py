@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ENTITY_SCHEMA = "array<struct<label string, text string, score double>>"
@@ -54,15 +54,18 @@ def term_entities(
     """``id, label, text, score`` from terms (label -> term -> score), every
     occurrence as a whole word, without regard to case."""
     text = F.lower(F.col(text_col))
-    found = [
-        F.transform(
-            F.regexp_extract_all(
-                text, F.lit(rf"(?:^|[^\p{{L}}\p{{N}}])({re.escape(term.lower())})(?=[^\p{{L}}\p{{N}}]|$)"), F.lit(1)
-            ),
-            lambda hit, label=label, score=score: F.struct(
+
+    def occurrences(label: str, term: str, score: float) -> Column:
+        word = rf"(?:^|[^\p{{L}}\p{{N}}])({re.escape(term.lower())})(?=[^\p{{L}}\p{{N}}]|$)"
+        return F.transform(
+            F.regexp_extract_all(text, F.lit(word), F.lit(1)),
+            lambda hit: F.struct(
                 F.lit(label).alias("label"), hit.alias("text"), F.lit(float(score)).alias("score")
             ),
         )
+
+    found = [
+        occurrences(label, term, score)
         for label, scored in terms.items()
         for term, score in scored.items()
         if score >= threshold
