@@ -37,6 +37,11 @@ def minimal_clean(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "))
 
 
+def has_text(text: Column) -> Column:
+    """True where ``minimal_clean`` leaves something; stops at the first sign."""
+    return F.coalesce(text.rlike(f"[^{SPACE_CHARS}]"), F.lit(False))
+
+
 def head_tail(
     clean: Column,
     whole: int = WHOLE_TEXT_CHARS,

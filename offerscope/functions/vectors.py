@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,28 +25,39 @@ def norm(vector: Column) -> Column:
     return F.sqrt(squared_norm(vector))
 
 
+def _scaled(vector: Column, zero) -> Column:
+    """Entries over the norm. The norm is bound to a name of its own: written
+    inside the inner function it would be worked out again for every entry."""
+    return F.transform(
+        F.array(norm(vector)),
+        lambda n: F.transform(
+            as_doubles(vector), lambda x: F.when(n > 0, x / n).otherwise(zero(x))
+        ),
+    )[0]
+
+
 def unit_or_nan(vector: Column) -> Column:
     """Unit length; a zero vector becomes NaN in every place."""
-    length = norm(vector)
-    return F.transform(
-        as_doubles(vector), lambda x: F.when(length > 0, x / length).otherwise(F.lit(float("nan")))
-    )
+    return _scaled(vector, lambda x: F.lit(float("nan")))
 
 
 def unit_or_zero(vector: Column) -> Column:
     """Unit length; a zero vector stays zero."""
-    length = norm(vector)
-    return F.transform(as_doubles(vector), lambda x: F.when(length > 0, x / length).otherwise(x))
+    return _scaled(vector, lambda x: x)
 
 
 def literal_vector(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two double vectors; null where one of them is zero."""
-    lengths = norm(a) * norm(b)
-    return F.when(lengths > 0, dot(as_doubles(a), as_doubles(b)) / lengths)
+def cosine_to(vector: Column, target: list[float]) -> Column:
+    """Cosine with a fixed vector; null where one of the two is zero."""
+    length = math.sqrt(sum(x * x for x in target))
+    if length == 0:
+        return F.lit(None).cast("double")
+    unit = literal_vector(x / length for x in target)
+    own = norm(vector)
+    return F.when(own > 0, dot(as_doubles(vector), unit) / own)
 
 
 def sigmoid(x: Column, clip: float | None = 50.0) -> Column:

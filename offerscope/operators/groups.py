@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from offerscope.functions import text as X
 from offerscope.functions import vectors as V
-from offerscope.operators.joins import lookup_join
-from offerscope.operators.ranges import describe, exact_quantiles
-from offerscope.session import materialize
+from offerscope.operators.ranges import describe, exact_quantiles, moments, value_table
 
 
 def _with_keys(df: DataFrame, keys: list[str], drop_empty: bool) -> DataFrame:
@@ -72,17 +70,19 @@ def within_group_coherence(
 
 def coherence_summary(coherence: DataFrame) -> DataFrame:
     """Mean, population std and median of the groups' coherence."""
-    median = exact_quantiles(coherence, "mean_within_cos", [0.5])[0]
-    return coherence.agg(
-        F.count("mean_within_cos").alias("n_groups"),
-        F.avg("mean_within_cos").alias("mean_cos"),
-        F.stddev_pop("mean_within_cos").alias("std_cos"),
+    values = value_table(coherence, "mean_within_cos")
+    median = exact_quantiles(values, [0.5])[0]
+    return moments(values, sample=False).select(
+        F.col("count").alias("n_groups"),
+        F.col("mean").alias("mean_cos"),
+        F.col("std").alias("std_cos"),
         F.lit(median).cast("double").alias("median_cos"),
     )
 
 
 def group_size_summary(coherence: DataFrame) -> DataFrame:
-    return describe(coherence, "n_obs", [0.25, 0.5, 0.75])
+    summary = describe(value_table(coherence, "n_obs"), [0.25, 0.5, 0.75])
+    return summary.withColumns({c: F.col(c).cast("long") for c in ("min", "max")})
 
 
 def coherent_groups(coherence: DataFrame, above: float = 0.95) -> DataFrame:
@@ -100,7 +100,7 @@ def top_k_similar(centroid_table: DataFrame, key_col: str, target: str, k: int =
     row = centroid_table.filter(F.col(key_col) == target).select("centroid").first()
     if row is None:
         raise ValueError(f"{target} is not among the values of {key_col}")
-    similarity = V.cosine(F.col("centroid"), V.literal_vector(row["centroid"]))
+    similarity = V.cosine_to(F.col("centroid"), row["centroid"])
     return (
         centroid_table.filter(F.col(key_col) != target)
         .select(key_col, similarity.alias("cosine_similarity"))

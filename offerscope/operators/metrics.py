@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from offerscope.functions.vectors import sigmoid
 from offerscope.operators.quality import stacked
 from offerscope.operators.ranges import add_range
+from offerscope.session import materialize
 
 Pairs = dict[str, tuple[str, str]]
 
@@ -97,16 +98,18 @@ def ranking_quality(df: DataFrame, pairs: Pairs) -> DataFrame:
     """``label, auc, ap``: area under the ROC curve with ties averaged, and
     average precision over distinct scores. Null where undefined.
 
-    Equal scores are added up first. Scores are cut into ranges; the totals below
+    Equal scores are added up first and stored, so the scores are computed once.
+    They are cut into ranges; the totals below
     each range are few (labels times ranges) and are broadcast, so rows are
     ordered only inside a range and one label never sits in one task.
     """
-    scores = long_scores(df, pairs)
-    counted = (
-        add_range(scores, "score")
-        .groupBy("label", "_range", "score")
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    by_score = materialize(
+        long_scores(df, pairs)
+        .groupBy("label", "score")
+        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")),
+        "scores",
     )
+    counted = add_range(by_score, "score")
     up = Window.partitionBy("label").orderBy("_range")
     whole = Window.partitionBy("label")
     totals = (

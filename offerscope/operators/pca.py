@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from offerscope.functions import vectors as V
 from offerscope.operators.groups import largest_groups
+from offerscope.session import materialize
 
 VARIANCE_KEPT = 0.90
 
@@ -82,6 +83,7 @@ def explained_variance(df: DataFrame, vector_col: str, share: float = VARIANCE_K
 
 def centroid_map(centroid_table: DataFrame, key_col: str, labelled: int = 30) -> DataFrame:
     """Two coordinates per centroid; the largest groups are flagged."""
+    centroid_table = materialize(centroid_table, "centroids")
     basis = fit_components(centroid_table, "centroid")
     placed = project(centroid_table, "centroid", basis, 2, "_xy")
     largest = largest_groups(centroid_table, key_col, "n_offers", labelled).select(

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerscope.operators.ranges import describe
+from offerscope.operators.ranges import describe, value_table
 
 LENGTH_LIMITS = [256, 512, 768, 1024, 2048, 4096, 8192]
 TOKEN_PERCENTILES = [0.50, 0.75, 0.90, 0.95, 0.99]
@@ -174,17 +174,19 @@ def rule_violations(df: DataFrame, column_of=None) -> DataFrame:
 
 
 def token_summary(df: DataFrame, tokens_col: str, max_length: int = 8192) -> DataFrame:
-    """Count, mean, std, min, percentiles, max, and what ``max_length`` cuts."""
-    summary = describe(df, tokens_col, TOKEN_PERCENTILES)
-    cut = df.agg(
-        F.count_if(F.col(tokens_col) > max_length).alias("n_truncated"),
-        (F.count_if(F.col(tokens_col) > max_length) / F.count("*") * 100).alias("pct_truncated"),
+    """Count, mean, std, min, percentiles, max, and what ``max_length`` cuts. The
+    texts are counted once; the rest reads the distinct counts."""
+    values = value_table(df, tokens_col)
+    over = F.sum(F.when(F.col("v") > max_length, F.col("n")).otherwise(0))
+    cut = values.agg(
+        over.alias("n_truncated"), (over / F.sum("n") * 100).alias("pct_truncated")
     ).first()
-    return summary.select(
-        "*",
-        F.lit(max_length).alias("max_length"),
-        F.lit(cut["n_truncated"]).cast("long").alias("n_truncated"),
-        F.lit(cut["pct_truncated"]).cast("double").alias("pct_truncated"),
+    summary = describe(values, TOKEN_PERCENTILES)
+    return (
+        summary.withColumns({c: F.col(c).cast("int") for c in ("min", "max")})
+        .withColumn("max_length", F.lit(max_length))
+        .withColumn("n_truncated", F.lit(cut["n_truncated"]).cast("long"))
+        .withColumn("pct_truncated", F.lit(cut["pct_truncated"]).cast("double"))
     )
 
 
@@ -203,8 +205,3 @@ def length_coverage(df: DataFrame, tokens_col: str, limits: list[int] | None = N
         key="_limit",
     )
     return rows.select("max_length", "pct")
-
-
-def share_of_total(df: DataFrame, key_col: str) -> DataFrame:
-    counts = df.groupBy(key_col).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))) * 100)

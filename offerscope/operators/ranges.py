@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerscope.session import materialize
+
 RANGES = 512
 RELATIVE_ERROR = 0.001
 
@@ -29,11 +31,20 @@ def add_range(df: DataFrame, col: str, out_col: str = "_range", ranges: int = RA
     return cutter.transform(df.withColumn("_value", F.col(col).cast("double"))).drop("_value")
 
 
-def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list[float | None]:
-    """Quantiles with linear interpolation; nulls are left out."""
+def value_table(df: DataFrame, col: str) -> DataFrame:
+    """``v, n``: the distinct values of a column with their counts, materialised.
+
+    Everything below reads this table, so the input is computed once. Nulls are
+    left out.
+    """
     values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counted = add_range(values, "v").groupBy("_range", "v").agg(F.count("*").alias("n"))
-    totals = counted.groupBy("_range").agg(F.sum("n").alias("n")).orderBy("_range").collect()
+    return materialize(values.groupBy("v").agg(F.count("*").alias("n")), "values")
+
+
+def exact_quantiles(values: DataFrame, probabilities: list[float]) -> list[float | None]:
+    """Quantiles of a ``value_table`` with linear interpolation."""
+    ranged = add_range(values, "v")
+    totals = ranged.groupBy("_range").agg(F.sum("n").alias("n")).orderBy("_range").collect()
     rows = sum(t["n"] for t in totals)
     if rows == 0:
         return [None] * len(probabilities)
@@ -52,7 +63,7 @@ def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list
         seen += total["n"]
 
     order = Window.partitionBy("_range").orderBy("v")
-    placed = counted.filter(F.col("_range").isin(list(wanted))).withColumn(
+    placed = ranged.filter(F.col("_range").isin(list(wanted))).withColumn(
         "upto", F.sum("n").over(order)
     )
     hit = F.lit(False)
@@ -78,17 +89,24 @@ def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> list
     return found
 
 
-def describe(df: DataFrame, col: str, probabilities: list[float]) -> DataFrame:
-    """One row: count, mean, sample std, min, max and ``p<percent>`` columns."""
-    quantiles = exact_quantiles(df, col, probabilities)
-    return df.agg(
-        F.count(col).alias("count"),
-        F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"),
-        F.min(col).alias("min"),
-        *[
-            F.lit(q).cast("double").alias(f"p{round(p * 100)}")
-            for p, q in zip(probabilities, quantiles)
-        ],
-        F.max(col).alias("max"),
+def moments(values: DataFrame, sample: bool = True) -> DataFrame:
+    """``count, mean, std, min, max`` of a ``value_table``."""
+    mean = values.agg(F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()[0]
+    squares = F.sum(F.pow(F.col("v") - F.lit(mean).cast("double"), 2) * F.col("n"))
+    degrees = F.sum("n") - (1 if sample else 0)
+    return values.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.lit(mean).cast("double").alias("mean"),
+        F.when(degrees > 0, F.sqrt(squares / degrees)).alias("std"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
     )
+
+
+def describe(values: DataFrame, probabilities: list[float]) -> DataFrame:
+    """``moments`` with ``p<percent>`` columns before the maximum."""
+    quantiles = [
+        F.lit(q).cast("double").alias(f"p{round(p * 100)}")
+        for p, q in zip(probabilities, exact_quantiles(values, probabilities))
+    ]
+    return moments(values).select("count", "mean", "std", "min", *quantiles, "max")

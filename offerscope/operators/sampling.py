@@ -73,6 +73,7 @@ def keep_first_by_hash(
     hashed = df.select(*groups, hash_order(id_col, seed).alias("_hash"))
     large = hashed.groupBy(*groups).agg(F.count("*").alias("_size")).filter(F.col("_size") > cap)
     quotas = materialize(large.select(*groups, F.lit(cap).alias("_quota")), "caps")
+    hashed = lookup_join(hashed, quotas.select(*groups), groups, "left_semi")
     cuts = materialize(hash_cuts(hashed, groups, quotas).select(*groups, "_cut"), "cap-cuts")
     return (
         lookup_join(df.withColumn("_hash", hash_order(id_col, seed)), cuts, groups, "left")
@@ -148,7 +149,8 @@ def stratified_sample(
 
 
 def stratum_distribution(df: DataFrame, stratum_col: str) -> DataFrame:
-    """Rows and percentage per stratum."""
+    """Rows and percentage per stratum. The total is taken over the strata, of
+    which there are at most 27 domains."""
     counts = df.groupBy(stratum_col).agg(F.count("*").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))) * 100
     return counts.withColumn("pct", share)

@@ -19,11 +19,10 @@ BLOCK_ROWS = 2048
 CHUNK_ROWS = 512
 
 
-def _units(df: DataFrame, vector_col: str) -> DataFrame:
+def _units(df: DataFrame, vector_col: str, *keys: str) -> DataFrame:
     """Unit vectors; zero vectors have no direction and are left out."""
-    length = V.norm(F.col(vector_col))
-    return df.filter(length > 0).select(
-        F.transform(V.as_doubles(F.col(vector_col)), lambda x: x / length).alias("u")
+    return df.filter(V.squared_norm(F.col(vector_col)) > 0).select(
+        *keys, V.unit_or_zero(F.col(vector_col)).alias("u")
     )
 
 
@@ -85,8 +84,12 @@ def pair_statistics(df: DataFrame, vector_col: str) -> DataFrame:
     )
 
 
-def _block_matrices(units: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
-    """Unit vectors packed into one binary row per block of about ``block_rows``."""
+def _block_matrices(units: DataFrame, key_col: str, block_rows: int) -> tuple[DataFrame, int]:
+    """Unit vectors packed into one binary row per block of about ``block_rows``.
+
+    Blocks go by the unique key, not by the vector: copies of one vector spread
+    over all blocks.
+    """
     blocks = max(1, math.ceil(units.count() / block_rows))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
@@ -100,7 +103,7 @@ def _block_matrices(units: DataFrame, block_rows: int) -> tuple[DataFrame, int]:
         )
 
     packed = (
-        units.withColumn("block", F.pmod(F.xxhash64("u"), F.lit(blocks)).cast("int"))
+        units.select("u", F.pmod(F.xxhash64(key_col), F.lit(blocks)).cast("int").alias("block"))
         .groupBy("block")
         .applyInPandas(pack, "block int, dims int, matrix binary")
     )
@@ -140,7 +143,7 @@ def _similarities(group: pd.DataFrame):
 
 
 def pair_histogram(
-    df: DataFrame, vector_col: str, bins: int = 300, block_rows: int = BLOCK_ROWS
+    df: DataFrame, key_col: str, vector_col: str, bins: int = 300, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """``bin, lower, n_pairs``: all pairs' cosines in equal bins from the least
     to the greatest; the last bin is closed.
@@ -150,7 +153,7 @@ def pair_histogram(
     shuffle carries every block once per block.
     """
     spark = df.sparkSession
-    packed, blocks = _block_matrices(_units(df, vector_col), block_rows)
+    packed, blocks = _block_matrices(_units(df, vector_col, key_col), key_col, block_rows)
     pairs = _block_pairs(materialize(packed, "vector-blocks"), blocks).groupBy("bi", "bj")
 
     def extent(group: pd.DataFrame) -> pd.DataFrame:

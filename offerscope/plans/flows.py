@@ -78,8 +78,8 @@ def training_table(annotated: DataFrame, id_col: str, text_col: str, labels: lis
     text = X.minimal_clean(F.col(text_col))
     kept = (
         coerce_labels(annotated, labels)
+        .filter(X.has_text(F.col(text_col)))
         .select(F.col(id_col).alias("offer_id"), text.alias("text"), *labels)
-        .filter(F.length("text") > 0)
         .withColumn("n_tokens", X.word_count(F.col("text")))
     )
     return split_train_valid_test(kept, "offer_id", labels)

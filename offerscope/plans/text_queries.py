@@ -9,12 +9,13 @@ from offerscope.operators import boilerplate as B
 from offerscope.operators import quality as Q
 from offerscope.operators.entities import group_entities, term_entities
 from offerscope.operators.groups import value_counts
+from offerscope.operators.sampling import stratum_distribution
 from offerscope.operators.similarity import column_histogram
 from offerscope.plans.flows import clean_titles
 from offerscope.plans.inputs import DOMAIN, OFFERS, documents, offers
 from offerscope.plans.registry import query
 from offerscope.session import scratch_path
-from offerscope.sources.tables import load_table, save_table
+from offerscope.sources.tables import load_table, save_table, spread
 
 
 def _replaced(expression: str, rules: list[tuple[str, str]]) -> str:
@@ -95,7 +96,7 @@ def head_tail_text(spark, sf_dir):
         FROM (SELECT page_id, {_html("html")} AS text FROM pages)"""
 )
 def html_text(spark, sf_dir):
-    pages = load_table(spark, f"{sf_dir}/pages.parquet").select(
+    pages = spread(load_table(spark, f"{sf_dir}/pages.parquet"), "page_id").select(
         "page_id", X.html_to_text(F.col("html")).alias("text")
     )
     return pages.withColumn("raw_clean", F.replace("text", F.lit("\n"), F.lit(" ")))
@@ -120,7 +121,7 @@ def occupation_valid(spark, sf_dir):
 )
 def domain_counts(spark, sf_dir):
     domains = offers(spark, sf_dir).select(X.occupation_domain(F.col("occ")).alias("domain"))
-    return Q.share_of_total(domains, "domain").withColumn("pct", F.round("pct", 6))
+    return stratum_distribution(domains, "domain").withColumn("pct", F.round("pct", 6))
 
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source LIMIT 20")
@@ -155,8 +156,8 @@ _TOKENS = f"""tokens AS (
 
 
 def _tokens(spark, sf_dir):
-    clean = documents(spark, sf_dir).select(X.minimal_clean(F.col("text")).alias("clean"))
-    return clean.filter(F.length("clean") > 0).select(X.word_count(F.col("clean")).alias("n_tokens"))
+    written = documents(spark, sf_dir).filter(X.has_text(F.col("text")))
+    return written.select(X.word_count(X.minimal_clean(F.col("text"))).alias("n_tokens"))
 
 
 @query(

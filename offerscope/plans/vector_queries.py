@@ -162,11 +162,11 @@ def group_size_summary(spark, sf_dir):
 
 @query(
     f"""WITH {_coherence('occ')} SELECT occ, round(mean_within_cos, 6) AS mean_within_cos, n_obs FROM coherence
-        WHERE mean_within_cos > 0.01 ORDER BY 2 DESC"""
+        WHERE mean_within_cos > -0.01 ORDER BY 2 DESC"""
 )
 def coherent_groups(spark, sf_dir):
     groups = G.within_group_coherence(vectors(spark, sf_dir), ["occ"], "embedding")
-    return _rounded(G.coherent_groups(groups, above=0.01))
+    return _rounded(G.coherent_groups(groups, above=-0.01))
 
 
 @query(
@@ -219,13 +219,13 @@ def pair_stats_occ(spark, sf_dir):
 @query(f"WITH {_EMBEDDED}, {_ALL_PAIRS.format(source='embedded')}, {_PAIR_BINS.format(bins=300)}")
 def pair_histogram(spark, sf_dir):
     table = load_table(spark, f"{sf_dir}/embeddings.parquet")
-    return S.pair_histogram(table, "embedding", 300).withColumn("lower", F.round("lower", 6))
+    return S.pair_histogram(table, "vec_id", "embedding", 300).withColumn("lower", F.round("lower", 6))
 
 
 @query(f"WITH {_means('firm')}, {_ALL_PAIRS.format(source='centroids')}, {_PAIR_BINS.format(bins=300)}")
 def pair_histogram_firm(spark, sf_dir):
     table = G.centroids(vectors(spark, sf_dir), ["firm"], "embedding")
-    return S.pair_histogram(table, "centroid", 300).withColumn("lower", F.round("lower", 6))
+    return S.pair_histogram(table, "firm", "centroid", 300).withColumn("lower", F.round("lower", 6))
 
 
 # --- components and embeddings -----------------------------------------------------------------
