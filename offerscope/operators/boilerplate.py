@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from offerscope.functions import text as X
 from offerscope.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from offerscope.operators.sampling import keep_first_by_hash
-from offerscope.session import materialize
+from offerscope.session import materialize, top_rows_limit
 
 # The drop rule and the similarity of near-duplicate keys.
 SHARE_THRESHOLD = 0.10
@@ -248,6 +248,11 @@ def cluster_keys(ranked: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFra
     )
 
 
+def _clusters(frequency: DataFrame, max_keys: int, threshold: float) -> DataFrame:
+    with top_rows_limit(frequency.sparkSession, max_keys):
+        return materialize(cluster_keys(top_keys(frequency, max_keys), threshold), "key-clusters")
+
+
 def cluster_document_frequency(segmented: DataFrame, clusters: DataFrame) -> DataFrame:
     """``firm, cluster_id, df_offers``: offers with at least one member key.
 
@@ -287,10 +292,9 @@ def learn_boilerplate(
     frequency = key_document_frequency(segmented)
     if sim_threshold >= 1.0:
         drops = _exact_drop_keys(frequency, sizes, share_threshold, min_count, max_keys_per_firm)
-        return materialize(drops, "drop-keys")
-    clusters = materialize(
-        cluster_keys(top_keys(frequency, max_keys_per_firm), sim_threshold), "key-clusters"
-    )
+        with top_rows_limit(segmented.sparkSession, max_keys_per_firm):
+            return materialize(drops, "drop-keys")
+    clusters = _clusters(frequency, max_keys_per_firm, sim_threshold)
     floor = drop_floor(F.col("n_offers"), share_threshold, min_count)
     # The document frequency lies between the largest member's and the sum of
     # all; only clusters whose verdict these bounds leave open are counted.
@@ -328,8 +332,7 @@ def boilerplate_report(
     Order for reading: ``df_offers`` and ``n_members`` descending.
     """
     sizes = materialize(firm_sizes(segmented), "firm-sizes")
-    ranked = top_keys(key_document_frequency(segmented), max_keys_per_firm)
-    clusters = materialize(cluster_keys(ranked, sim_threshold), "key-clusters")
+    clusters = _clusters(key_document_frequency(segmented), max_keys_per_firm, sim_threshold)
     heads = clusters.filter(F.col("key") == F.col("rep")).select(
         "firm", "cluster_id", "n_members", "rep"
     )

@@ -272,12 +272,54 @@ def boilerplate_keys_capped(spark, sf_dir):
     return B.learn_boilerplate(_segmented(spark, sf_dir), sim_threshold=1.0, max_offers_per_firm=40)
 
 
-@query()
+# Keys in frequency order; a key leads a cluster unless an earlier leader is
+# similar. Rounds settle keys whose earlier neighbours are all settled.
+_CLUSTERS = f"""{_FREQUENCY},
+ranked AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY n_docs DESC, key) AS rank, length(key) AS size FROM frequency)
+  WHERE rank <= 5000),
+edges AS MATERIALIZED (
+  SELECT a.firm, a.rank AS earlier, b.rank AS later FROM ranked a JOIN ranked b
+  ON a.firm = b.firm AND a.rank < b.rank AND least(a.size, b.size) >= CAST(0.88 AS DOUBLE) * greatest(a.size, b.size) - 0.000001
+  WHERE 1 - levenshtein(a.key, b.key) / CAST(greatest(a.size, b.size) AS DOUBLE) >= CAST(0.88 AS DOUBLE)),
+rounds AS (
+  SELECT 0 AS round, firm, rank, CASE WHEN rank IN (SELECT later FROM edges e WHERE e.firm = r.firm) THEN NULL ELSE 1 END AS leads
+  FROM ranked r WHERE EXISTS (SELECT 1 FROM edges e WHERE e.firm = r.firm AND r.rank IN (e.earlier, e.later))
+  UNION ALL
+  SELECT s.round + 1, s.firm, s.rank,
+         CASE WHEN s.leads IS NOT NULL THEN s.leads WHEN n.some = 1 THEN 0 WHEN n.open = 0 THEN 1 END
+  FROM rounds s LEFT JOIN (
+    SELECT e.firm, e.later, max(p.leads) AS some, count(*) FILTER (p.leads IS NULL) AS open
+    FROM edges e JOIN rounds p ON p.firm = e.firm AND p.rank = e.earlier GROUP BY e.firm, e.later) n
+  ON n.firm = s.firm AND n.later = s.rank
+  WHERE (SELECT count(*) FROM rounds WHERE leads IS NULL) > 0),
+followers AS (
+  SELECT e.firm, e.later AS rank, min(e.earlier) AS leader FROM edges e
+  JOIN (SELECT * FROM rounds WHERE round = (SELECT max(round) FROM rounds)) s
+  ON s.firm = e.firm AND s.rank = e.earlier AND s.leads = 1
+  JOIN (SELECT * FROM rounds WHERE round = (SELECT max(round) FROM rounds)) t
+  ON t.firm = e.firm AND t.rank = e.later AND t.leads = 0 GROUP BY e.firm, e.later),
+members AS (
+  SELECT r.firm, r.key, coalesce(f.leader, r.rank) AS leader FROM ranked r LEFT JOIN followers f ON f.firm = r.firm AND f.rank = r.rank),
+clusters AS (
+  SELECT firm, leader, count(DISTINCT doc_id) AS df_offers, count(DISTINCT key) AS n_members
+  FROM members JOIN sentences USING (firm, key) GROUP BY firm, leader)"""
+
+
+@query(
+    f"""WITH RECURSIVE {_CLUSTERS} SELECT firm, key FROM members JOIN clusters USING (firm, leader) JOIN sizes USING (firm)
+        WHERE df_offers >= greatest(2, ceil(CAST(0.1 AS DOUBLE) * n_offers))"""
+)
 def boilerplate_clustered(spark, sf_dir):
     return B.learn_boilerplate(_segmented(spark, sf_dir))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_CLUSTERS}
+        SELECT c.firm, CAST(row_number() OVER (PARTITION BY c.firm ORDER BY leader) - 1 AS INTEGER) AS cluster_id, df_offers,
+               round(df_offers / CAST(n_offers AS DOUBLE), 6) AS share, n_members, substr(key, 1, 120) AS rep
+        FROM clusters c JOIN sizes USING (firm) JOIN ranked r ON r.firm = c.firm AND r.rank = c.leader"""
+)
 def boilerplate_report(spark, sf_dir):
     return B.boilerplate_report(_segmented(spark, sf_dir)).withColumn("share", F.round("share", 6))
 
