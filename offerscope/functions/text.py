@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -90,16 +91,23 @@ def _accent_table() -> dict[str, str]:
     return {char: form for char, form in forms.items() if len(form) == 1 and form != char}
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fold_accents(text: Column) -> Column:
     """Accented Latin letters to their base letter, combining marks dropped.
 
-    Plain ASCII rows skip the work.
+    Plain ASCII rows, whose bytes are as many as their characters, skip the work.
     """
-    table = _accent_table()
-    folded = F.regexp_replace(
-        F.translate(text, "".join(table), "".join(table.values())), r"[\x{300}-\x{36F}]+", ""
-    )
-    return F.when(text.rlike(r"[^\x{0}-\x{7F}]"), folded).otherwise(text)
+    marked, plain = "".join(_accent_table()), "".join(_accent_table().values())
+
+    def folded(t: Column) -> Column:
+        letters = F.regexp_replace(F.translate(t, marked, plain), r"[\x{300}-\x{36F}]+", "")
+        return F.when(F.octet_length(t) > F.char_length(t), letters).otherwise(t)
+
+    return bind(text, folded)
 
 
 @lru_cache(maxsize=1)
@@ -147,38 +155,55 @@ def has_word(clean: Column, word: str) -> Column:
 # --- HTML, sentences, keys ---------------------------------------------------
 
 # Our reading of "HTML to text that keeps lines", in order of application.
-HTML_RULES = [
+TAG_RULES = [
     (r"(?is)<script.*?</script>", ""),
     (r"(?is)<style.*?</style>", ""),
     (r"(?s)<!--.*?-->", ""),
     (r"(?i)<br\s*/?>|</(p|div|li|ul|ol|h[1-6]|tr|section|article)\s*>", "\n"),
     (r"<[^>]*>", " "),
 ]
-ENTITY_RULES = [
+ENTITIES = [
     ("&nbsp;", " "),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;", '"'),
-    ("&#39;|&apos;", "'"),
+    ("&#39;", "'"),
+    ("&apos;", "'"),
     ("&amp;", "&"),
 ]
-LINE_RULES = [
-    (r"[ \t\x{0B}\f\r\x{A0}]+", " "),
-    (r" ?\n ?", "\n"),
-    (r"\n+", "\n"),
-    (r"^\s+|\s+$", ""),
-]
+SENTENCE_ENDS = ".!?…"
 
 
-def _apply(text: Column, rules: list[tuple[str, str]]) -> Column:
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+def _without_tags(text: Column) -> Column:
+    def clean(t: Column) -> Column:
+        stripped = t
+        for pattern, replacement in TAG_RULES:
+            stripped = F.regexp_replace(stripped, pattern, replacement)
+        return F.when(F.contains(t, F.lit("<")), stripped).otherwise(t)
+
+    return bind(text, clean)
+
+
+def _without_entities(text: Column) -> Column:
+    def clean(t: Column) -> Column:
+        read = t
+        for entity, char in ENTITIES:
+            read = F.replace(read, F.lit(entity), F.lit(char))
+        return F.when(F.contains(t, F.lit("&")), read).otherwise(t)
+
+    return bind(text, clean)
 
 
 def html_to_text(html: Column) -> Column:
-    """Visible text with one line per block; null gives an empty string."""
-    return _apply(F.coalesce(html, F.lit("")), HTML_RULES + ENTITY_RULES + LINE_RULES)
+    """Visible text with one line per block; null gives an empty string.
+
+    Blanks become one space, blanks around and between line ends go. The tag and
+    entity rules run only on rows that hold ``<`` or ``&``.
+    """
+    text = _without_entities(_without_tags(F.coalesce(html, F.lit(""))))
+    text = F.regexp_replace(text, r"[ \t\x{B}\f\r\x{A0}]+", " ")
+    text = F.regexp_replace(text, r" \n(?: ?\n)* ?|\n(?:(?: ?\n)+ ?| )", "\n")
+    return F.btrim(text, F.lit(" \n"))
 
 
 def raw_clean(html: Column) -> Column:
@@ -187,7 +212,10 @@ def raw_clean(html: Column) -> Column:
 
 def sentence_lines(text: Column) -> Column:
     """The text with exactly one sentence per line."""
-    return F.regexp_replace(html_to_text(text), r"([.!?…]+)\s+", "$1\n")
+    lines = html_to_text(text)
+    for end in SENTENCE_ENDS:
+        lines = F.replace(lines, F.lit(f"{end} "), F.lit(f"{end}\n"))
+    return lines
 
 
 def sentences_of(lines: Column) -> Column:
@@ -200,19 +228,22 @@ def sentence_keys_of(
     remove_accents: bool = True,
     collapse_digits: bool = True,
     max_tokens: int | None = None,
+    lower: bool = True,
 ) -> Column:
     """The normal form of every sentence, in the order of ``sentences_of``.
 
     The rules work on single characters, so they run once over the whole text;
     line ends survive them and the split comes last.
     """
-    keys = F.lower(lines)
+    keys = F.lower(lines) if lower else lines
     if remove_accents:
         keys = fold_accents(keys)
     if collapse_digits:
         keys = F.regexp_replace(keys, "[0-9]+", "0")
     keys = F.regexp_replace(keys, r"[^\p{L}\p{N}\n]+", " ")
-    keys = F.split(F.trim(F.regexp_replace(keys, r" ?\n ?", "\n")), "\n")
+    for blank in (" \n", "\n "):
+        keys = F.replace(keys, F.lit(blank), F.lit("\n"))
+    keys = F.split(F.trim(keys), "\n")
     if max_tokens is not None:
         keys = F.transform(
             keys, lambda k: F.array_join(F.slice(F.split(k, " "), 1, max_tokens), " ")

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from offerscope.functions.text import bind
+
 
 def as_doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
@@ -28,12 +30,12 @@ def norm(vector: Column) -> Column:
 def _scaled(vector: Column, zero) -> Column:
     """Entries over the norm. The norm is bound to a name of its own: written
     inside the inner function it would be worked out again for every entry."""
-    return F.transform(
-        F.array(norm(vector)),
+    return bind(
+        norm(vector),
         lambda n: F.transform(
             as_doubles(vector), lambda x: F.when(n > 0, x / n).otherwise(zero(x))
         ),
-    )[0]
+    )
 
 
 def unit_or_nan(vector: Column) -> Column:

@@ -173,8 +173,15 @@ def read_answers(answers: DataFrame, labels: list[str]) -> DataFrame:
 # --- the pipeline -----------------------------------------------------------------------
 
 
-def request_answers(batches: DataFrame, annotate: Annotator) -> DataFrame:
-    """``batch_id, ids, response``: one call per batch; a failed call gives null."""
+def request_answers(
+    batches: DataFrame, annotate: Annotator, parallel_calls: int | None = None
+) -> DataFrame:
+    """``batch_id, ids, response``: one call per batch; a failed call gives null.
+
+    Calls are slow and batches small, so batches are dealt out to
+    ``parallel_calls`` tasks, by default one per core.
+    """
+    tasks = parallel_calls or batches.sparkSession.sparkContext.defaultParallelism
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -189,17 +196,23 @@ def request_answers(batches: DataFrame, annotate: Annotator) -> DataFrame:
                 rows.append((batch_id, [o["id"] for o in offers], response))
             yield pd.DataFrame(rows, columns=["batch_id", "ids", "response"])
 
-    return batches.mapInPandas(run, "batch_id long, ids array<string>, response string")
+    return batches.repartition(tasks, "batch_id").mapInPandas(
+        run, "batch_id long, ids array<string>, response string"
+    )
 
 
 def annotate_batches(
-    batches: DataFrame, annotate: Annotator, labels: list[str], attempts: int = MAX_ATTEMPTS
+    batches: DataFrame,
+    annotate: Annotator,
+    labels: list[str],
+    attempts: int = MAX_ATTEMPTS,
+    parallel_calls: int | None = None,
 ) -> tuple[list[DataFrame], DataFrame]:
     """Accepted annotations, one table per attempt, and the ids that failed."""
     waiting = batches
     accepted = []
     for _ in range(attempts):
-        answers = materialize(request_answers(waiting, annotate), "answers")
+        answers = materialize(request_answers(waiting, annotate, parallel_calls), "answers")
         read = read_answers(answers, labels)
         accepted.append(
             read.filter(F.col("annotations").isNotNull())
@@ -225,6 +238,7 @@ def run_annotation(
     labels: list[str] = LABELS_17,
     batch_size: int = BATCH_SIZE,
     attempts: int = MAX_ATTEMPTS,
+    parallel_calls: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The annotated table and the failed ids.
 
@@ -239,7 +253,7 @@ def run_annotation(
         seq = (spark.read.json(store_path, schema="seq long").agg(F.max("seq")).first()[0] or 0) + 1
         remaining = not_yet_annotated(df, id_col, done)
     batches = materialize(make_batches(remaining, id_col, text_col, batch_size), "batches")
-    accepted, failed = annotate_batches(batches, annotate, labels, attempts)
+    accepted, failed = annotate_batches(batches, annotate, labels, attempts, parallel_calls)
     for offset, rows in enumerate(accepted):
         append_annotations(rows, store_path, labels, seq + offset)
     return attach_annotations(df, id_col, read_annotations(spark, store_path, labels)), failed

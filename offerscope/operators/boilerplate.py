@@ -41,21 +41,29 @@ def segment_offers(
     collapse_digits: bool = True,
     max_tokens: int | None = None,
     lower: bool = True,
+    keep_row: bool = False,
 ) -> DataFrame:
-    """``offer_id, firm, sentences, keys`` per offer; a null firm becomes ''."""
+    """``offer_id, firm, sentences, keys`` per offer; a null firm becomes ''.
+
+    ``keep_row`` adds the whole input row as ``row``, so that removal can give it
+    back without a join.
+    """
     text = F.lower(F.col(text_col)) if lower else F.col(text_col)
+    row = [F.struct("*").alias("row")] if keep_row else []
     return (
         offers.select(
             F.col(id_col).alias("offer_id"),
             F.trim(F.coalesce(F.col(firm_col), F.lit(""))).alias("firm"),
             X.sentence_lines(text).alias("_lines"),
+            *row,
         )
         .select(
+            *(["row"] if keep_row else []),
             "offer_id",
             "firm",
             X.sentences_of(F.col("_lines")).alias("sentences"),
             X.sentence_keys_of(
-                F.col("_lines"), remove_accents, collapse_digits, max_tokens
+                F.col("_lines"), remove_accents, collapse_digits, max_tokens, lower=not lower
             ).alias("keys"),
         )
     )
@@ -386,13 +394,14 @@ def _kept_sentences() -> Column:
 
 
 def remove_boilerplate(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
-    """``offer_id, description_clean``: the sentences that stay, in order.
+    """``offer_id`` (or the kept row) with ``description_clean``: the sentences
+    that stay, in order.
 
     An offer made only of boilerplate gives an empty string. ``drop_keys`` must
     be materialised, as ``learn_boilerplate`` returns it.
     """
     return _dropped_keys(segmented, drop_keys).select(
-        "offer_id",
+        "row.*" if "row" in segmented.columns else "offer_id",
         X.minimal_clean(F.array_join(_kept_sentences(), " ")).alias("description_clean"),
     )
 

@@ -12,7 +12,7 @@ SALTS = 32
 def table_bytes(df: DataFrame) -> int:
     """Size of a materialised table as rows, from one aggregate."""
     width = sum(
-        (F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
         F.lit(0),
     )
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]

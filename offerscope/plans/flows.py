@@ -37,9 +37,8 @@ def clean_descriptions(
     offers: DataFrame, id_col: str, text_col: str, firm_col: str, **rule
 ) -> DataFrame:
     """Adds ``description_clean`` without the firm's repeated sentences."""
-    segmented = B.segment_offers(offers, id_col, text_col, firm_col)
-    cleaned = B.remove_boilerplate(segmented, B.learn_boilerplate(segmented, **rule))
-    return offers.join(cleaned.withColumnRenamed("offer_id", id_col), id_col)
+    segmented = B.segment_offers(offers, id_col, text_col, firm_col, keep_row=True)
+    return B.remove_boilerplate(segmented, B.learn_boilerplate(segmented, **rule))
 
 
 def clean_and_embed(

@@ -29,8 +29,27 @@ _SPACED = [(X.SPACES, " ")]
 _CLEAN = f"trim({_replaced("coalesce(text, '')", _SPACED)})"
 
 
+_HTML = [
+    (r"(?is)<script.*?</script>", ""),
+    (r"(?is)<style.*?</style>", ""),
+    (r"(?s)<!--.*?-->", ""),
+    (r"(?i)<br\s*/?>|</(p|div|li|ul|ol|h[1-6]|tr|section|article)\s*>", "\n"),
+    (r"<[^>]*>", " "),
+    ("&nbsp;", " "),
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;|&apos;", "'"),
+    ("&amp;", "&"),
+    (r"[ \t\x{0B}\f\r\x{A0}]+", " "),
+    (r" ?\n ?", "\n"),
+    (r"\n+", "\n"),
+    (r"^\s+|\s+$", ""),
+]
+
+
 def _html(expression: str) -> str:
-    return _replaced(f"coalesce({expression}, '')", X.HTML_RULES + X.ENTITY_RULES + X.LINE_RULES)
+    return _replaced(f"coalesce({expression}, '')", _HTML)
 
 
 _LINES = _replaced(_html("lower(text)"), [(r"([.!?…]+)\s+", "\\1\n")])

@@ -58,11 +58,11 @@ def read_results(spark: SparkSession, store_path: str) -> DataFrame:
 
 
 def clean_arrivals(drop_keys: DataFrame, text_col: str, firm_col: str, id_col: str):
-    """A transform for ``process_arrivals`` that strips known boilerplate."""
+    """A transform for ``process_arrivals`` that adds ``description_clean``."""
     from offerscope.operators.boilerplate import remove_boilerplate, segment_offers
 
     def transform(batch: DataFrame) -> DataFrame:
-        cleaned = remove_boilerplate(segment_offers(batch, id_col, text_col, firm_col), drop_keys)
-        return cleaned.withColumnRenamed("offer_id", id_col)
+        segmented = segment_offers(batch, id_col, text_col, firm_col, keep_row=True)
+        return remove_boilerplate(segmented, drop_keys)
 
     return transform

@@ -161,6 +161,7 @@ def test_stream_with_known_boilerplate(spark):
     drops = spark.createDataFrame([("f", "bonjour")], "firm string, key string")
     transform = I.clean_arrivals(drops, "text", "firm", "id")
     I.process_arrivals(I.arriving_offers(spark, source, frame.schema), "id", transform, store, progress).awaitTermination()
+    assert I.read_results(spark, store).columns == ["id", "firm", "text", "description_clean"]
     assert {r["id"]: r["description_clean"] for r in I.read_results(spark, store).collect()} == {1: "mission un.", 2: "mission deux."}
 
 

@@ -100,3 +100,27 @@ def test_sentences_and_keys_stay_aligned(spark):
 
 def test_token_counter(spark):
     assert values(spark, ["a b", ""], X.token_counter(lambda t: len(t) + 2)) == [5, 2]
+
+
+def plain_lines(text):
+    """The rules one after the other."""
+    rules = [
+        (r"(?is)<script.*?</script>", ""), (r"(?is)<style.*?</style>", ""), (r"(?s)<!--.*?-->", ""),
+        (r"(?i)<br\s*/?>|</(p|div|li|ul|ol|h[1-6]|tr|section|article)\s*>", "\n"), (r"<[^>]*>", " "),
+        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;|&apos;", "'"), ("&amp;", "&"),
+        ("[ \t\x0b\f\r\xa0]+", " "), (r" ?\n ?", "\n"), (r"\n+", "\n"), (r"^\s+|\s+$", ""), (r"([.!?…]+)\s+", "\\1\n"),
+    ]
+    for pattern, replacement in rules:
+        text = re.sub(pattern, replacement, text, flags=re.ASCII)
+    return text
+
+
+def test_lines_follow_the_plain_rules(spark):
+    pieces = ["a", "b", " ", "  ", "\n", " \n", "\n ", "\t", "\u00a0", "\r\n", ".", "!", "…", "?. ", "<p>", "</p>", "<br/>", "&nbsp;", "&amp;", "&lt;", "<!-- x -->"]
+
+    @settings(max_examples=10, deadline=None)
+    @given(st.lists(st.lists(st.sampled_from(pieces), max_size=14).map("".join), min_size=60, max_size=60))
+    def check(texts):
+        assert values(spark, texts, X.sentence_lines) == [plain_lines(t) for t in texts]
+
+    check()
