@@ -101,11 +101,14 @@ def fold_accents(text: Column) -> Column:
 
     Plain ASCII rows, whose bytes are as many as their characters, skip the work.
     """
-    marked, plain = "".join(_accent_table()), "".join(_accent_table().values())
+    # Characters beyond the replacements are deleted.
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    marked, plain = "".join(_accent_table()) + marks, "".join(_accent_table().values())
 
     def folded(t: Column) -> Column:
-        letters = F.regexp_replace(F.translate(t, marked, plain), r"[\x{300}-\x{36F}]+", "")
-        return F.when(F.octet_length(t) > F.char_length(t), letters).otherwise(t)
+        return F.when(
+            F.octet_length(t) > F.char_length(t), F.translate(t, marked, plain)
+        ).otherwise(t)
 
     return bind(text, folded)
 
@@ -171,9 +174,25 @@ ENTITIES = [
     ("&apos;", "'"),
     ("&amp;", "&"),
 ]
+BLANKS = "\t\x0b\f\r\u00a0"
 SENTENCE_ENDS = ".!?…"
 
 
+# Most rows pass the two rules below as they are; looking for the few that do not
+# is much cheaper than a regular expression over all.
+
+
+def _single_blanks(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
+
+
+def _single_line_ends(text: Column) -> Column:
+    loose = [F.contains(text, F.lit(pair)) for pair in (" \n", "\n ", "\n\n")]
+    return F.when(
+        loose[0] | loose[1] | loose[2], F.regexp_replace(text, r" ?\n(?: ?\n)* ?", "\n")
+    ).otherwise(text)
+
+
 def _without_tags(text: Column) -> Column:
     def clean(t: Column) -> Column:
         stripped = t
@@ -201,9 +220,9 @@ def html_to_text(html: Column) -> Column:
     entity rules run only on rows that hold ``<`` or ``&``.
     """
     text = _without_entities(_without_tags(F.coalesce(html, F.lit(""))))
-    text = F.regexp_replace(text, r"[ \t\x{B}\f\r\x{A0}]+", " ")
-    text = F.regexp_replace(text, r" \n(?: ?\n)* ?|\n(?:(?: ?\n)+ ?| )", "\n")
-    return F.btrim(text, F.lit(" \n"))
+    for blank in BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.btrim(bind(bind(text, _single_blanks), _single_line_ends), F.lit(" \n"))
 
 
 def raw_clean(html: Column) -> Column:
