@@ -126,6 +126,25 @@ def annotation_resume(spark, sf_dir):
     return annotated.select("doc_id", *LABELS)
 
 
+def _refusing(offers: list[dict]) -> str:
+    if any("license" in offer["text"].lower() for offer in offers):
+        raise ConnectionError("no answer")
+    return A.keyword_annotator(_ANSWER_TERMS)(offers)
+
+
+@query(
+    f"""WITH {_BATCHES},
+        failed AS (SELECT DISTINCT batch_id FROM batches WHERE contains(lower(substr(text, 1, 5000)), 'license'))
+        SELECT CAST(doc_id AS VARCHAR) AS id FROM batches JOIN failed USING (batch_id)"""
+)
+def annotation_failed(spark, sf_dir):
+    """Ids of the batches that an annotator refuses at every attempt."""
+    _, failed = A.run_annotation(
+        documents(spark, sf_dir), "doc_id", "text", _refusing, scratch_path(spark, "annotations"), LABELS, attempts=2
+    )
+    return failed
+
+
 @query(
     f"""WITH {_SAMPLE} SELECT s.doc_id, CAST(l.quality AS INTEGER) AS quality, CAST(l.toxic AS INTEGER) AS toxic
         FROM sample s LEFT JOIN labels l USING (doc_id)"""

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from offerscope.functions import text as X
 from offerscope.operators import metrics as M
 from offerscope.operators import quality as Q
 from offerscope.operators import sampling as S
-from offerscope.operators.scoring import apply_thresholds, best_class, train_label_model
+from offerscope.operators.scoring import (
+    apply_thresholds,
+    best_class,
+    score_texts,
+    train_label_model,
+)
 from offerscope.plans.inputs import (
     DOMAIN,
     LABELLED,
@@ -23,6 +29,7 @@ from offerscope.plans.inputs import (
     scored,
 )
 from offerscope.plans.registry import query
+from offerscope.plans.text_queries import _CLEAN
 from offerscope.sources.tables import load_table
 
 _MARKS = {"quality": 0.5, "toxic": 0.6}
@@ -383,6 +390,33 @@ def bce_loss(spark, sf_dir):
     return _rounded(M.weighted_bce(logits, pairs, {"quality": 1.0, "toxic": 2.0}), "loss")
 
 
+def make_letter_model():
+    """A stand-in for a caller's model: the share of ``e``, and the length."""
+
+    def predict(texts):
+        sizes = np.array([max(len(t), 1) for t in texts], dtype=np.float64)
+        share = np.array([t.count("e") for t in texts]) / sizes
+        return np.column_stack([share, np.minimum(sizes / 5000, 1)]).astype(np.float32)
+
+    return predict
+
+
+@query(
+    f"""SELECT doc_id, round(p1, 5) AS proba_quality, round(p2, 5) AS proba_toxic,
+          CAST(p1 >= 0.125 AS INTEGER) AS pred_quality, CAST(p2 >= 0.25 AS INTEGER) AS pred_toxic
+        FROM (SELECT doc_id, CAST(CAST((length(c) - length(replace(c, 'e', ''))) / CAST(greatest(length(c), 1) AS DOUBLE) AS FLOAT) AS DOUBLE) AS p1,
+                     CAST(CAST(least(greatest(length(c), 1) / CAST(5000 AS DOUBLE), 1) AS FLOAT) AS DOUBLE) AS p2
+              FROM (SELECT doc_id, {_CLEAN} AS c FROM documents))"""
+)
+def scores_by_model(spark, sf_dir):
+    table = documents(spark, sf_dir).select("doc_id", "text")
+    scored_table = score_texts(table, "text", make_letter_model, LABELS)
+    applied = apply_thresholds(scored_table, LABELS, {"quality": 0.125, "toxic": 0.25})
+    return applied.drop("text").withColumns(
+        {f"proba_{label}": F.round(F.col(f"proba_{label}").cast("double"), 5) for label in LABELS}
+    )
+
+
 @query()
 def classifier_scores(spark, sf_dir):
     """Every document scored by a model fitted on the labelled ones."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from offerscope.functions import text as X
 from offerscope.operators import boilerplate as B
 from offerscope.operators import quality as Q
-from offerscope.operators.entities import group_entities, term_entities
+from offerscope.operators.entities import extract_entities, group_entities, term_entities
 from offerscope.operators.groups import value_counts
 from offerscope.operators.sampling import stratum_distribution
 from offerscope.operators.similarity import column_histogram
@@ -379,6 +381,47 @@ def entities_grouped(spark, sf_dir):
     return group_entities(term_entities(documents(spark, sf_dir), "doc_id", "text", _TERMS), "doc_id")
 
 
+def make_word_finder():
+    def find(text: str, labels: list[str]) -> list[dict]:
+        words = re.findall(r"[^\W_]+", text.lower())
+        return [
+            {"label": label, "text": word, "score": score}
+            for word in words
+            for label in labels
+            for term, score in _TERMS[label].items()
+            if term == word
+        ]
+
+    return find
+
+
+@query(f"WITH {_WORDS} SELECT doc_id, label, text, score FROM found")
+def entities_by_model(spark, sf_dir):
+    """The same entities from a caller's extractor."""
+    table = documents(spark, sf_dir)
+    return extract_entities(table, "doc_id", "text", make_word_finder, list(_TERMS), 0.5)
+
+
+def _pieces(text: str) -> int:
+    return len(re.findall(r"[^\W_]+", text)) + 2
+
+
+@query(
+    r"SELECT doc_id, CAST(len(regexp_extract_all(text, '[\p{L}\p{N}]+')) + 2 AS INTEGER) AS n_tokens FROM documents"
+)
+def tokens_by_caller(spark, sf_dir):
+    """Counts from a caller's tokenizer, with two special tokens."""
+    count = X.token_counter(_pieces)
+    return documents(spark, sf_dir).select("doc_id", count(F.col("text")).alias("n_tokens"))
+
+
+@query("SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 10 OFFSET 70")
+def row_range(spark, sf_dir):
+    """Rows 70 to 79, for a look at the table."""
+    table = load_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source")
+    return table.orderBy("doc_id").offset(70).limit(10)
+
+
 # --- sources --------------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from offerscope.functions import vectors as V
 from offerscope.operators import groups as G
 from offerscope.operators import pca as P
 from offerscope.operators import similarity as S
-from offerscope.operators.scoring import embed_by_words
+from offerscope.operators.scoring import embed_by_words, embed_texts
 from offerscope.plans.inputs import VECTORS, documents, vectors
 from offerscope.plans.registry import query
 from offerscope.sources.tables import load_table
@@ -228,6 +229,15 @@ def pair_histogram_firm(spark, sf_dir):
     return S.pair_histogram(table, "firm", "centroid", 300).withColumn("lower", F.round("lower", 6))
 
 
+def make_space_model():
+    """A stand-in for a caller's model: characters and spaces."""
+
+    def predict(texts):
+        return np.array([[len(t) + 1, t.count(" ")] for t in texts], dtype=np.float32)
+
+    return predict
+
+
 # --- components and embeddings -----------------------------------------------------------------
 
 
@@ -244,12 +254,43 @@ def pca_projection(spark, sf_dir):
     return P.reduce_vectors(table, "embedding").select("vec_id", "embedding_pca")
 
 
+@query(
+    """WITH entries AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+       means AS (SELECT dim, avg(v) AS m FROM entries GROUP BY dim)
+       SELECT vec_id, round(sum((v - m) * (v - m)), 4) AS squared_length FROM entries JOIN means USING (dim) GROUP BY vec_id"""
+)
+def pca_lengths(spark, sf_dir):
+    """With all components, projection keeps every length from the mean."""
+    table = load_table(spark, f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    turned = P.project(table, "embedding", P.fit_components(table, "embedding"), 64, "turned")
+    return turned.select("vec_id", F.round(V.squared_norm(F.col("turned")), 4).alias("squared_length"))
+
+
 @query()
 def centroid_map_2d(spark, sf_dir):
     table = G.centroids(vectors(spark, sf_dir), ["occ"], "embedding", code_col="occ")
     return P.centroid_map(table, "occ").withColumns({c: F.round(c, 6) for c in ("x", "y")})
 
 
+@query(
+    f"""SELECT doc_id, round(CAST(CAST(a / sqrt(a * a + b * b) AS FLOAT) AS DOUBLE), 5) AS x,
+               round(CAST(CAST(b / sqrt(a * a + b * b) AS FLOAT) AS DOUBLE), 5) AS y
+        FROM (SELECT doc_id, length(text) + 1 AS a, length(text) - length(replace(text, ' ', '')) AS b FROM documents)"""
+)
+def embedding_by_model(spark, sf_dir):
+    """Unit vectors from a caller's model."""
+    embedded = embed_texts(documents(spark, sf_dir), "text", make_space_model)
+    entries = [F.round(F.col("embedding")[i].cast("double"), 5).alias(n) for i, n in enumerate("xy")]
+    return embedded.select("doc_id", *entries)
+
+
+@query(r"SELECT doc_id, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length FROM documents")
+def embedding_lengths(spark, sf_dir):
+    """Every text with a word has a vector of length one."""
+    embedded = embed_by_words(documents(spark, sf_dir), "text")
+    return embedded.select("doc_id", F.round(V.norm(F.col("embedding")), 4).alias("length"))
+
+
 @query()
 def embedding_default(spark, sf_dir):
     return embed_by_words(documents(spark, sf_dir), "text").select("doc_id", "embedding")
