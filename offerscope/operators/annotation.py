@@ -19,13 +19,20 @@ from pyspark.sql import types as T
 from offerscope.functions import text as X
 from offerscope.labels import DEFINITIONS, LABELS_17, TERMS
 from offerscope.operators.sampling import dense_row_id
-from offerscope.session import materialize
-from offerscope.sources.tables import annotations_exist, append_annotations, read_annotations
-
-# Offers per call, characters per offer, attempts per batch.
+from offerscope.session import materialize, scratch_path
+from offerscope.sources.tables import (
+    path_exists,
+    append_annotations,
+    read_annotations,
+    record_schema,
+)
+
+# Offers per call, characters per offer, attempts per batch, batches
+# between two writes to the store.
 BATCH_SIZE = 5
 MAX_TEXT_CHARS = 5000
 MAX_ATTEMPTS = 3
+CHECKPOINT_EVERY = 50
 
 Annotator = Callable[[list[dict]], str | None]
 
@@ -207,26 +214,20 @@ def annotate_batches(
     labels: list[str],
     attempts: int = MAX_ATTEMPTS,
     parallel_calls: int | None = None,
-) -> tuple[list[DataFrame], DataFrame]:
-    """Accepted annotations, one table per attempt, and the ids that failed."""
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Per attempt the accepted annotations and the batches still refused."""
     waiting = batches
-    accepted = []
     for _ in range(attempts):
         answers = materialize(request_answers(waiting, annotate, parallel_calls), "answers")
         read = read_answers(answers, labels)
-        accepted.append(
-            read.filter(F.col("annotations").isNotNull())
-            .select(F.explode("annotations").alias("a"))
-            .select("a.*")
-        )
-        refused = read.filter(F.col("annotations").isNull())
-        waiting = materialize(
-            waiting.join(refused.select("batch_id"), "batch_id", "left_semi"), "refused-batches"
+        accepted = read.filter(F.col("annotations").isNotNull()).select(
+            F.explode("annotations").alias("a")
         )
+        refused = read.filter(F.col("annotations").isNull()).select("batch_id")
+        waiting = materialize(waiting.join(refused, "batch_id", "left_semi"), "refused-batches")
+        yield accepted.select("a.*"), waiting
         if waiting.isEmpty():
-            break
-    failed = waiting.select(F.explode("offers").alias("o")).select(F.col("o.id").alias("id"))
-    return accepted, failed
+            return
 
 
 def run_annotation(
@@ -239,23 +240,40 @@ def run_annotation(
     batch_size: int = BATCH_SIZE,
     attempts: int = MAX_ATTEMPTS,
     parallel_calls: int | None = None,
+    checkpoint_every: int = CHECKPOINT_EVERY,
 ) -> tuple[DataFrame, DataFrame]:
     """The annotated table and the failed ids.
 
-    Ids in the store are not asked for again. Every attempt's accepted batches
-    are appended before the next attempt starts.
+    Ids in the store are not asked for again. Work goes in waves of
+    ``checkpoint_every`` batches per parallel call; what a wave's attempt accepts
+    is appended before the next one starts. A lost task repeats its calls, so
+    ``annotate`` must not mind being asked twice.
     """
     spark = df.sparkSession
     seq = 0
     remaining = df
-    if annotations_exist(spark, store_path):
+    if path_exists(spark, store_path):
         done = read_annotations(spark, store_path, labels)
         seq = (spark.read.json(store_path, schema="seq long").agg(F.max("seq")).first()[0] or 0) + 1
         remaining = not_yet_annotated(df, id_col, done)
     batches = materialize(make_batches(remaining, id_col, text_col, batch_size), "batches")
-    accepted, failed = annotate_batches(batches, annotate, labels, attempts, parallel_calls)
-    for offset, rows in enumerate(accepted):
-        append_annotations(rows, store_path, labels, seq + offset)
+    tasks = parallel_calls or spark.sparkContext.defaultParallelism
+    wave = checkpoint_every * tasks
+    failed_path = scratch_path(spark, "failed")
+    for start in range(0, batches.count(), wave):
+        inside = batches.filter(F.col("batch_id").between(start, start + wave - 1))
+        refused = inside
+        for accepted, refused in annotate_batches(inside, annotate, labels, attempts, tasks):
+            append_annotations(accepted, store_path, labels, seq)
+            seq += 1
+        failed_ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.id").alias("id"))
+        failed_ids.write.mode("append").parquet(failed_path)
+    if not path_exists(spark, failed_path):
+        spark.createDataFrame([], "id string").write.parquet(failed_path)
+    failed = spark.read.schema("id string").parquet(failed_path)
+    if not path_exists(spark, store_path):
+        nothing = spark.createDataFrame([], record_schema(labels)).drop("seq")
+        return attach_annotations(df, id_col, nothing), failed
     return attach_annotations(df, id_col, read_annotations(spark, store_path, labels)), failed
 
 

@@ -91,7 +91,7 @@ def append_annotations(annotations: DataFrame, path: str, labels: list[str], seq
     rows.write.mode("append").json(path)
 
 
-def annotations_exist(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
@@ -106,7 +106,7 @@ def write_artefact(spark: SparkSession, value, path: str) -> None:
 
 
 def read_artefact(spark: SparkSession, path: str):
-    if not annotations_exist(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 

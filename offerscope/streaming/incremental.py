@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from offerscope.sources.tables import annotations_exist
+from offerscope.sources.tables import path_exists
 
 
 def arriving_offers(
@@ -38,10 +39,10 @@ def process_arrivals(
     def take(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates([id_col])
-        if annotations_exist(spark, store_path):
-            done = spark.read.parquet(store_path)
-            if "batch" in done.columns:
-                done = done.filter(done["batch"] != batch_id)
+        if path_exists(spark, store_path):
+            # A given schema also reads a store whose first write was cut off.
+            known = T.StructType([batch.schema[id_col], T.StructField("batch", T.LongType())])
+            done = spark.read.schema(known).parquet(store_path).filter(F.col("batch") != batch_id)
             fresh = fresh.join(done.select(id_col), id_col, "left_anti")
         transform(fresh).write.mode("overwrite").parquet(f"{store_path}/batch={batch_id}")
 

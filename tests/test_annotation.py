@@ -101,6 +101,24 @@ def test_resume_and_failures(spark, tmp_path):
     assert sorted(map(tuple, recovered.collect())) == sorted(map(tuple, again.collect()))
 
 
+def test_waves_store_as_they_go(spark):
+    def annotate(batch):
+        return answer(*[{"id": o["id"], "a": 0, "b": 1} for o in batch])
+
+    store = scratch_path(spark, "store")
+    table, failed = A.run_annotation(
+        offers(spark), "id", "text", annotate, store, LABELS, parallel_calls=2, checkpoint_every=1
+    )
+    assert failed.count() == 0 and table.filter("a = 0 and b = 1").count() == 23
+    # Five batches, two at a time: three writes.
+    assert spark.read.json(store).select("seq").distinct().count() == 3
+
+
+def test_nothing_to_annotate(spark):
+    table, failed = A.run_annotation(offers(spark, 3).limit(0), "id", "text", len, scratch_path(spark, "store"), LABELS)
+    assert table.count() == failed.count() == 0 and table.columns[-2:] == LABELS
+
+
 def test_foreign_store(spark, tmp_path):
     lines = ['{"id": 1, "a": 0, "b": 0}', "", '{"id": "2", "a": 1}', '{"id": "1", "a": 1, "b": 1}', "{broken"]
     (tmp_path / "store.jsonl").write_text("\n".join(lines))
