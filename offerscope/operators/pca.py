@@ -48,8 +48,15 @@ def fit_components(df: DataFrame, vector_col: str) -> Components:
     )
 
 
-def project(df: DataFrame, vector_col: str, basis: Components, k: int, out_col: str) -> DataFrame:
-    """Adds the first ``k`` components as ``array<float>``."""
+def project(
+    df: DataFrame,
+    vector_col: str,
+    basis: Components,
+    k: int,
+    out_col: str,
+    out_type: str = "array<float>",
+) -> DataFrame:
+    """Adds the first ``k`` components."""
     rotated = basis.model.transform(
         df.withColumn("_vector", array_to_vector(V.as_doubles(F.col(vector_col))))
     )
@@ -58,12 +65,15 @@ def project(df: DataFrame, vector_col: str, basis: Components, k: int, out_col:
         V.literal_vector(basis.signs[:k]),
         lambda x, sign: x * sign,
     )
-    return rotated.withColumn(out_col, signed.cast("array<float>")).drop(
+    return rotated.withColumn(out_col, signed.cast(out_type)).drop(
         "_vector", "_centred", "_rotated"
     )
 
 
-def reduce_vectors(df: DataFrame, vector_col: str, share: float = VARIANCE_KEPT, out_col: str = "embedding_pca") -> DataFrame:
+def reduce_vectors(
+    df: DataFrame, vector_col: str, share: float = VARIANCE_KEPT, out_col: str = "embedding_pca"
+) -> DataFrame:
+    """Adds the components that keep ``share`` of the variance, as ``array<float>``."""
     basis = fit_components(df, vector_col)
     return project(df, vector_col, basis, basis.enough_for(share), out_col)
 
@@ -85,14 +95,14 @@ def centroid_map(centroid_table: DataFrame, key_col: str, labelled: int = 30) ->
     """Two coordinates per centroid; the largest groups are flagged."""
     centroid_table = materialize(centroid_table, "centroids")
     basis = fit_components(centroid_table, "centroid")
-    placed = project(centroid_table, "centroid", basis, 2, "_xy")
+    placed = project(centroid_table, "centroid", basis, 2, "_xy", "array<double>")
     largest = largest_groups(centroid_table, key_col, "n_offers", labelled).select(
         key_col, F.lit(True).alias("_large")
     )
     return placed.join(F.broadcast(largest), key_col, "left").select(
         key_col,
         "n_offers",
-        F.col("_xy")[0].cast("double").alias("x"),
-        F.col("_xy")[1].cast("double").alias("y"),
+        F.col("_xy")[0].alias("x"),
+        F.col("_xy")[1].alias("y"),
         F.coalesce("_large", F.lit(False)).alias("labelled"),
     )

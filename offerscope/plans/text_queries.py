@@ -150,10 +150,10 @@ def firm_counts(spark, sf_dir):
     return value_counts(load_table(spark, f"{sf_dir}/documents.parquet"), "source", 20)
 
 
-@query("SELECT doc_id, lang FROM documents WHERE lower(trim(source)) = 'src3' AND contains(lower(text), 'license')")
+@query("SELECT doc_id, lang FROM documents WHERE lower(trim(source)) = 'src3' AND contains(lower(text), 'the')")
 def firm_phrase_filter(spark, sf_dir):
     held = documents(spark, sf_dir).filter(
-        (X.normalised_name(F.col("source")) == "src3") & F.contains(F.lower("text"), F.lit("license"))
+        (X.normalised_name(F.col("source")) == "src3") & F.contains(F.lower("text"), F.lit("the"))
     )
     return held.select("doc_id", "lang")
 

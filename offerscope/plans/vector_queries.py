@@ -257,13 +257,14 @@ def pca_projection(spark, sf_dir):
 @query(
     """WITH entries AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings),
        means AS (SELECT dim, avg(v) AS m FROM entries GROUP BY dim)
-       SELECT vec_id, round(sum((v - m) * (v - m)), 4) AS squared_length FROM entries JOIN means USING (dim) GROUP BY vec_id"""
+       SELECT vec_id, round(sum((v - m) * (v - m)), 6) AS squared_length FROM entries JOIN means USING (dim) GROUP BY vec_id"""
 )
 def pca_lengths(spark, sf_dir):
     """With all components, projection keeps every length from the mean."""
     table = load_table(spark, f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
-    turned = P.project(table, "embedding", P.fit_components(table, "embedding"), 64, "turned")
-    return turned.select("vec_id", F.round(V.squared_norm(F.col("turned")), 4).alias("squared_length"))
+    basis = P.fit_components(table, "embedding")
+    turned = P.project(table, "embedding", basis, 64, "turned", "array<double>")
+    return turned.select("vec_id", F.round(V.squared_norm(F.col("turned")), 6).alias("squared_length"))
 
 
 @query()
