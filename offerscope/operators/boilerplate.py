@@ -358,39 +358,47 @@ def boilerplate_report(
 # --- removal --------------------------------------------------------------------
 
 
-def _dropped_keys(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
-    """``segmented`` with ``dropped``: the offer's keys that its firm drops.
+def _with_dropped(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
+    """``segmented`` with ``dropped``: the places of the sentences to remove.
 
-    When the drop table is measured small, each firm's keys travel to the
-    offers by broadcast and nothing is shuffled. Otherwise only keys and ids are
-    shuffled, and the text moves once to meet the answer.
+    When the drop table is measured small, each firm's keys travel to the offers
+    by broadcast and nothing is shuffled. Otherwise keys, places and ids are
+    shuffled, and the sentences move once to meet the answer.
     """
-    empty = F.array().cast("array<string>")
-    by_firm = drop_keys.groupBy("firm").agg(F.collect_list("key").alias("dropped"))
+    none = F.array().cast("array<int>")
+    by_firm = drop_keys.groupBy("firm").agg(F.collect_list("key").alias("_drops"))
     widest = drop_keys.groupBy("firm").agg(F.sum(F.octet_length("key") + 16).alias("w"))
     if (
         fits_broadcast(drop_keys, BROADCAST_BYTES)
         and (widest.agg(F.max("w")).first()[0] or 0) <= FIRM_ARRAY_BYTES
     ):
-        found = segmented.join(F.broadcast(by_firm), "firm", "left")
-        return found.withColumn(
-            "dropped", F.array_intersect("keys", F.coalesce("dropped", empty))
+        found = (
+            segmented.join(F.broadcast(by_firm), "firm", "left")
+            .withColumn("_hits", F.array_intersect("keys", "_drops"))
+            .drop("_drops")
         )
-    hits = lookup_join(_distinct_keys(segmented), drop_keys, ["firm", "key"])
-    by_offer = hits.groupBy("offer_id").agg(F.collect_list("key").alias("dropped"))
-    return segmented.join(by_offer, "offer_id", "left").withColumn(
-        "dropped", F.coalesce("dropped", empty)
+        places = F.filter(
+            F.transform("keys", lambda key, i: F.when(F.array_contains("_hits", key), i)),
+            lambda place: place.isNotNull(),
+        )
+        has_hits = F.coalesce(F.size("_hits") > 0, F.lit(False))
+        return found.withColumn("dropped", F.when(has_hits, places).otherwise(none)).drop("_hits")
+    placed = segmented.filter(F.col("firm") != "").select(
+        "firm", "offer_id", F.posexplode("keys").alias("place", "key")
+    )
+    hits = lookup_join(placed.filter(F.col("key") != ""), drop_keys, ["firm", "key"])
+    by_offer = hits.groupBy("offer_id").agg(F.collect_list("place").alias("_places"))
+    return (
+        segmented.join(by_offer, "offer_id", "left")
+        .withColumn("dropped", F.coalesce("_places", none))
+        .drop("_places")
     )
 
 
-def _kept_sentences() -> Column:
-    keep = F.filter(
-        F.arrays_zip("sentences", "keys"),
-        lambda pair: ~F.array_contains(F.col("dropped"), pair["keys"]),
-    )
-    return F.when(F.size("dropped") == 0, F.col("sentences")).otherwise(
-        F.transform(keep, lambda pair: pair["sentences"])
-    )
+def _kept_text() -> Column:
+    kept = F.filter("sentences", lambda _, place: ~F.array_contains("dropped", place))
+    sentences = F.when(F.size("dropped") == 0, F.col("sentences")).otherwise(kept)
+    return X.minimal_clean(F.array_join(sentences, " "))
 
 
 def remove_boilerplate(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
@@ -400,33 +408,31 @@ def remove_boilerplate(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
     An offer made only of boilerplate gives an empty string. ``drop_keys`` must
     be materialised, as ``learn_boilerplate`` returns it.
     """
-    return _dropped_keys(segmented, drop_keys).select(
+    return _with_dropped(segmented, drop_keys).select(
         "row.*" if "row" in segmented.columns else "offer_id",
-        X.minimal_clean(F.array_join(_kept_sentences(), " ")).alias("description_clean"),
+        _kept_text().alias("description_clean"),
     )
 
 
 def explain_removal(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
     """What removal does to each offer: sentences kept and removed, lengths, and
     whether the result is short."""
-    clean = X.minimal_clean(F.array_join(_kept_sentences(), " "))
-    removed = F.filter("keys", lambda key: F.array_contains(F.col("dropped"), key))
     return (
-        _dropped_keys(segmented, drop_keys)
+        _with_dropped(segmented, drop_keys)
         .select(
             "offer_id",
             F.size(F.filter("sentences", lambda s: s != "")).alias("n_sentences"),
-            F.size(removed).alias("n_removed"),
+            F.size("dropped").alias("n_removed"),
             F.length(F.array_join("sentences", " ")).alias("raw_len"),
-            clean.alias("clean"),
+            F.length(_kept_text()).alias("out_len"),
         )
         .select(
             "offer_id",
             (F.col("n_sentences") - F.col("n_removed")).alias("n_kept"),
             "n_removed",
             "raw_len",
-            F.length("clean").alias("out_len"),
-            (F.length("clean") < SHORT_RESULT_CHARS).alias("is_short"),
+            "out_len",
+            (F.col("out_len") < SHORT_RESULT_CHARS).alias("is_short"),
         )
     )
 
@@ -434,14 +440,14 @@ def explain_removal(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
 def removed_sentences(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
     """``offer_id, pos, sentence, key, removed`` for reading single offers."""
     return (
-        _dropped_keys(segmented, drop_keys)
+        _with_dropped(segmented, drop_keys)
         .select("offer_id", "dropped", F.posexplode(F.arrays_zip("sentences", "keys")))
         .select(
             "offer_id",
             "pos",
             F.col("col.sentences").alias("sentence"),
             F.col("col.keys").alias("key"),
-            F.array_contains("dropped", F.col("col.keys")).alias("removed"),
+            F.array_contains("dropped", F.col("pos")).alias("removed"),
         )
         .filter(F.col("sentence") != "")
     )
