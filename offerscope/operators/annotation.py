@@ -183,28 +183,31 @@ def read_answers(answers: DataFrame, labels: list[str]) -> DataFrame:
 def request_answers(
     batches: DataFrame, annotate: Annotator, parallel_calls: int | None = None
 ) -> DataFrame:
-    """``batch_id, ids, response``: one call per batch; a failed call gives null.
+    """``batch_id, offers, ids, response``: one call per batch; a failed call
+    gives null.
 
     Calls are slow and batches small, so batches are dealt out to
     ``parallel_calls`` tasks, by default one per core.
     """
     tasks = parallel_calls or batches.sparkSession.sparkContext.defaultParallelism
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for batch_id, offers in zip(frame["batch_id"], frame["offers"]):
-                offers = [{"id": o["id"], "text": o["text"]} for o in offers]
-                try:
-                    response = annotate(offers)
-                except Exception:
-                    # A caller's failure of any kind counts as a failed attempt.
-                    response = None
-                rows.append((batch_id, [o["id"] for o in offers], response))
-            yield pd.DataFrame(rows, columns=["batch_id", "ids", "response"])
-
-    return batches.repartition(tasks, "batch_id").mapInPandas(
-        run, "batch_id long, ids array<string>, response string"
+    @F.pandas_udf(T.StringType())
+    def ask(column: pd.Series) -> pd.Series:
+        responses = []
+        for offers in column:
+            try:
+                response = annotate([{"id": o["id"], "text": o["text"]} for o in offers])
+            except Exception:
+                # A caller's failure of any kind counts as a failed attempt.
+                response = None
+            responses.append(response)
+        return pd.Series(responses, dtype=object)
+
+    return batches.repartition(tasks, "batch_id").select(
+        "batch_id",
+        "offers",
+        F.col("offers.id").alias("ids"),
+        ask.asNondeterministic()("offers").alias("response"),
     )
 
 
@@ -214,19 +217,22 @@ def annotate_batches(
     labels: list[str],
     attempts: int = MAX_ATTEMPTS,
     parallel_calls: int | None = None,
-) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Per attempt the accepted annotations and the batches still refused."""
+) -> Iterator[tuple[DataFrame, DataFrame | None]]:
+    """Per attempt the accepted annotations and the batches still refused, or
+    None when there are none."""
     waiting = batches
     for _ in range(attempts):
-        answers = materialize(request_answers(waiting, annotate, parallel_calls), "answers")
-        read = read_answers(answers, labels)
+        answers = request_answers(waiting, annotate, parallel_calls)
+        read = materialize(
+            read_answers(answers, labels).select("batch_id", "offers", "annotations"), "answers"
+        )
         accepted = read.filter(F.col("annotations").isNotNull()).select(
             F.explode("annotations").alias("a")
         )
-        refused = read.filter(F.col("annotations").isNull()).select("batch_id")
-        waiting = materialize(waiting.join(refused, "batch_id", "left_semi"), "refused-batches")
-        yield accepted.select("a.*"), waiting
-        if waiting.isEmpty():
+        waiting = read.filter(F.col("annotations").isNull()).select("batch_id", "offers")
+        done = waiting.isEmpty()
+        yield accepted.select("a.*"), None if done else waiting
+        if done:
             return
 
 
@@ -262,12 +268,13 @@ def run_annotation(
     failed_path = scratch_path(spark, "failed")
     for start in range(0, batches.count(), wave):
         inside = batches.filter(F.col("batch_id").between(start, start + wave - 1))
-        refused = inside
+        refused = None
         for accepted, refused in annotate_batches(inside, annotate, labels, attempts, tasks):
             append_annotations(accepted, store_path, labels, seq)
             seq += 1
-        failed_ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.id").alias("id"))
-        failed_ids.write.mode("append").parquet(failed_path)
+        if refused is not None:
+            ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.id").alias("id"))
+            ids.write.mode("append").parquet(failed_path)
     if not path_exists(spark, failed_path):
         spark.createDataFrame([], "id string").write.parquet(failed_path)
     failed = spark.read.schema("id string").parquet(failed_path)
