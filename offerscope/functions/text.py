@@ -28,8 +28,8 @@ WHOLE_TEXT_CHARS = 4500
 HEAD_CHARS = 1800
 TAIL_CHARS = 3200
 HEAD_TAIL_JOINT = " [...] "
-# Fixed value: an occupation code.
-OCCUPATION_CODE = "^[A-Z][0-9]{4}$"
+# Fixed value: an occupation code, a capital and four decimal digits of any script.
+OCCUPATION_CODE = r"(?d)^[A-Z]\p{Nd}{4}$"
 UNKNOWN_DOMAIN = "UNKNOWN"
 
 

@@ -72,10 +72,10 @@ def test_head_tail_edges(spark):
 
 
 def test_occupation_codes(spark):
-    codes = ["H1206", " H1206 ", "\u00a0H1206\u00a0", "h1206", "H120", "H12065", "", None]
+    codes = ["H1206", " H1206 ", "\u00a0H1206\u00a0", "h1206", "H120", "H12065", "", None, "H1206\n", "H1206\r", "H\u0661\u0662\u0660\u0666"]
     found = values(spark, codes, X.is_occupation_code, X.occupation_domain)
-    assert [v for v, _ in found] == [True] + [False] * 7
-    assert [d for _, d in found] == ["H", "H", "H"] + ["UNKNOWN"] * 5
+    assert [v for v, _ in found] == [bool(c and re.match(r"^[A-Z]\d{4}$", c)) for c in codes]
+    assert [d for _, d in found] == ["H", "H", "H"] + ["UNKNOWN"] * 5 + ["H"] * 3
 
 
 def test_html_keeps_lines(spark):
