@@ -125,19 +125,19 @@ def _settled() -> str:
     )
 
 
-@F.pandas_udf(T.StringType())
-def _compatibility_form(texts: pd.Series) -> pd.Series:
-    return texts.map(_unmarked, na_action="ignore")
-
-
 def strip_marks(text: Column) -> Column:
     """Compatibility decomposition without combining marks, exactly.
 
     Rows made of ASCII and settled Latin characters never leave the JVM: the
     Python worker sees null for them.
     """
+
+    @F.pandas_udf(T.StringType())
+    def compatibility_form(texts: pd.Series) -> pd.Series:
+        return texts.map(_unmarked, na_action="ignore")
+
     rare = F.length(F.translate(text, _settled(), "")) > 0
-    return F.when(rare, _compatibility_form(F.when(rare, text))).otherwise(fold_accents(text))
+    return F.when(rare, compatibility_form(F.when(rare, text))).otherwise(fold_accents(text))
 
 
 # --- titles ----------------------------------------------------------------

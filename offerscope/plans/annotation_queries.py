@@ -126,10 +126,13 @@ def annotation_resume(spark, sf_dir):
     return annotated.select("doc_id", *LABELS)
 
 
-def _refusing(offers: list[dict]) -> str:
-    if any("license" in offer["text"].lower() for offer in offers):
-        raise ConnectionError("no answer")
-    return A.keyword_annotator(_ANSWER_TERMS)(offers)
+def _refusing(annotate: A.Annotator, word: str) -> A.Annotator:
+    def refuse(offers: list[dict]) -> str | None:
+        if any(word in offer["text"].lower() for offer in offers):
+            raise ConnectionError("no answer")
+        return annotate(offers)
+
+    return refuse
 
 
 @query(
@@ -139,8 +142,10 @@ def _refusing(offers: list[dict]) -> str:
 )
 def annotation_failed(spark, sf_dir):
     """Ids of the batches that an annotator refuses at every attempt."""
+    annotate = _refusing(A.keyword_annotator(_ANSWER_TERMS), "license")
+    store = scratch_path(spark, "annotations")
     _, failed = A.run_annotation(
-        documents(spark, sf_dir), "doc_id", "text", _refusing, scratch_path(spark, "annotations"), LABELS, attempts=2
+        documents(spark, sf_dir), "doc_id", "text", annotate, store, LABELS, attempts=2
     )
     return failed
 
