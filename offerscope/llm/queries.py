@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerscope.llm import decontaminate
+from offerscope.llm import decontaminate, packing, token_files
+from offerscope.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +57,17 @@ FROM d LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)"""
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary))
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    folder = scratch_path(spark, "ids")
+    written = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary)
+    return token_files.digest(token_files.read_token_files(spark, written))
