@@ -35,21 +35,27 @@ def measured_join(
     salt_by: str,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    at_most: int | None = None,
 ) -> DataFrame:
-    """Join ``big`` with ``small``, which must be materialised.
+    """Join ``big`` with ``small``, which must be materialised unless ``at_most``, a
+    proven bound of its bytes, is given; else it is measured.
 
-    ``small`` is broadcast when it measures at most ``limit`` bytes. Beyond that
-    both sides are shuffled on the key and a salt, drawn from ``salt_by`` of the
-    big side, so that a key with a third of the rows spreads over ``salts`` tasks.
-    The rows are the same either way. ``how``: inner, left, left_semi or left_anti.
+    ``small`` is broadcast when it takes at most ``limit`` bytes. Beyond that both
+    sides are shuffled on the key and a salt, drawn from ``salt_by`` of the big side,
+    so that a key with a third of the rows spreads over ``salts`` tasks. The rows are
+    the same either way. ``how``: inner, left, left_semi or left_anti.
     """
-    if table_bytes(small) <= limit:
+    if (table_bytes(small) if at_most is None else at_most) <= limit:
         return big.join(F.broadcast(small), on, how)
     salt = F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+#: Bytes that a row of up to three long columns takes in a broadcast table, with room to spare.
+NARROW_ROW = 64
+
+
 def connected_components(edges: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``node, component`` for every node of ``edges`` (columns ``u, v``, both long and
     not null); the component is its smallest node.
@@ -61,18 +67,26 @@ def connected_components(edges: DataFrame, limit: int = BROADCAST_BYTES) -> Data
     are never in one task: its minimum comes from partial minima, and is joined by
     broadcast or over salts.
     """
+
+    def star(around: DataFrame, count: int, larger: bool) -> DataFrame:
+        """Links what is around each ``u`` to the smallest of it."""
+        least = around.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        bound = 2 * count * NARROW_ROW
+        if bound > limit:
+            least = materialize(least, "least")
+        moved = around.filter("v > u") if larger else around
+        moved = measured_join(moved, least, ["u"], "inner", "v", limit, at_most=bound)
+        moved = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        if not larger:
+            moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
+        return materialize(_oriented(moved), "edges")
+
     now = materialize(_oriented(edges), "edges")
     before = _mark(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        least = materialize(least, "least")
-        larger = measured_join(both.filter("v > u"), least, ["u"], "inner", "v", limit)
-        now = materialize(_oriented(larger.select(F.col("v").alias("u"), F.col("m").alias("v"))), "edges")
-        least = materialize(now.groupBy("u").agg(F.min("v").alias("m")), "least")
-        smaller = measured_join(now, least, ["u"], "inner", "v", limit)
-        smaller = smaller.select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(_oriented(smaller.unionByName(least.select("u", F.col("m").alias("v")))), "edges")
+        now = star(both, before[0], True)
+        now = star(now, before[0], False)  # a star never makes more edges than there were
         after = _mark(now)
         if after == before:
             break

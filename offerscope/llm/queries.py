@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerscope.llm import decontaminate, packing, token_files
+from offerscope.llm import decontaminate, near_text, packing, token_files
 from offerscope.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,28 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "ids")
     written = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary)
     return token_files.digest(token_files.read_token_files(spark, written))
+
+
+@query(
+    r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(ws, i, i + 1) AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS k FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT u, v FROM shared JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+  WHERE 100 * shared.k >= 80 * (x.k + y.k - shared.k)),
+reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT link.v, seen FROM reach JOIN link ON link.u = reach.node)
+SELECT d.doc_id, coalesce(n.k, 0) AS n_shingles, r.component_id, d.doc_id = r.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) r USING (doc_id)"""
+)
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return near_text.digest(near_text.similar_documents(documents, size=2))
