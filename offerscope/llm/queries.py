@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerscope.llm import decontaminate, near_text, packing, token_files
+from offerscope.llm import decontaminate, near_text, near_vectors, packing, token_files
 from offerscope.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,24 @@ JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node)
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return near_text.digest(near_text.similar_documents(documents, size=2))
+
+
+@query(
+    """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ok AS (
+  SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS len FROM e
+  WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(x, lambda c: c <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / (a.len * b.len) >= 0.9),
+reach(node, seen) AS (
+  SELECT vec_id, vec_id FROM e UNION SELECT link.v, seen FROM reach JOIN link ON link.u = reach.node),
+n AS (SELECT u, count(*) AS k FROM link GROUP BY u)
+SELECT e.vec_id, coalesce(n.k, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM e LEFT JOIN n ON n.u = e.vec_id
+JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) r ON r.node = e.vec_id"""
+)
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.digest(near_vectors.similar_vectors(table(spark, sf_dir, "embeddings")))
