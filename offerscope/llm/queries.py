@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerscope.llm import decontaminate, near_text, near_vectors, packing, token_files
+from offerscope.llm import decontaminate, near_text, near_vectors, packing, token_files, warc
 from offerscope.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,18 @@ JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) r ON r.no
 )
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.digest(near_vectors.similar_vectors(table(spark, sf_dir, "embeddings")))
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS size FROM pages),
+g AS (SELECT body, max(page_id) AS original FROM p WHERE size >= 1000 GROUP BY body)
+SELECT p.page_id, size AS payload_bytes, sha1(p.body) AS payload_digest,
+       CASE WHEN g.original <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.original <> p.page_id THEN g.original END AS refers_to
+FROM p LEFT JOIN g ON p.size >= 1000 AND g.body = p.body"""
+)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.digest(warc.read_warc(spark, archives))
