@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from offerscope.llm import decontaminate, near_text, near_vectors, packing, token_files, warc
-from offerscope.session import scratch_path
+from offerscope.llm import chat, decontaminate, near_text, near_vectors, packing, resharding, token_files, warc
+from offerscope.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +133,50 @@ FROM p LEFT JOIN g ON p.size >= 1000 AND g.body = p.body"""
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = warc.write_warc(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return warc.digest(warc.read_warc(spark, archives))
+
+
+OLD_SHARDS, NEW_SHARDS = 12, 16
+
+
+@query()
+def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old layout has a shard per hash of the source, which makes one far too large."""
+    folder, new_folder = scratch_path(spark, "old-shards"), scratch_path(spark, "new-shards")
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(OLD_SHARDS))
+    column, size = resharding.lay_out(table(spark, sf_dir, "documents"), old, "text", folder)
+    rows = resharding.reshard(spark, folder, column, size, NEW_SHARDS, new_folder)
+    return resharding.digest(rows, size)
+
+
+@query(
+    r"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM c),
+f AS (
+  SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|</?SYS>>|/?INST\]|/?ROLE\]|/TURN\])', '\1\\\2\3', 'g')) AS chars,
+         CASE role WHEN 'assistant' THEN 4 WHEN 'user' THEN 13 WHEN 'system' THEN 15
+              ELSE 13 + 7 + length(role) END AS marks FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(chars + marks) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+)
+def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row replies to the one before it in its conversation."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = rows.withColumn("node", F.row_number().over(order))
+    nodes = rows.select(
+        F.col("conv_id").alias("tree"), "node", (F.col("node") - 1).alias("parent"), "role", "text",
+        F.length("text").cast("double").alias("score"),
+    )
+    return chat.digest(materialize(chat.conversations(nodes), "conversations"))
