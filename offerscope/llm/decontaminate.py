@@ -75,10 +75,11 @@ def contamination(
     item_text_col: str = "text",
     size: int = 10,
     limit: int = BROADCAST_BYTES,
+    keep_row: bool = False,
 ) -> DataFrame:
     """Per row of ``documents``: its id as ``doc_id``, ``n_words``, ``n_hit`` (words
     inside an occurring window), ``items`` (sorted ids of items with occurring
-    windows) and ``hits`` (start and end, exclusive, of each occurrence).
+    windows) and ``hits`` (start and end, exclusive, of each occurrence). With ``keep_row`` also ``row``, its number in the table's files.
 
     Two passes over the texts. The first counts the shingles that windows have, over
     all documents; the second joins the documents' shingles with the rarest one of
@@ -123,9 +124,10 @@ def contamination(
         counted = part if counted is None else counted.unionByName(part)
 
     hit = "array<struct<start:int,end:int>>"
+    named = (["row"] if keep_row else []) + ["doc_id"]
     if counted is None:  # no windows at all
         return held.select(
-            "doc_id", F.size("text_words").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"),
+            *named, F.size("text_words").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"),
             F.array().cast("array<string>").alias("items"), F.array().cast(hit).alias("hits"),
         )
 
@@ -178,7 +180,7 @@ def contamination(
         lambda done: done["n"],
     )
     return per_row.join(listed, "row", "left").select(
-        "doc_id", F.col("n_words"), covered.alias("n_hit"),
+        *named, F.col("n_words"), covered.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), "hits",
     )
 

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from offerscope.llm import chat, decontaminate, near_text, near_vectors, packing, resharding, token_files, warc
+from offerscope.llm import (
+    chat,
+    decontaminate,
+    language,
+    near_text,
+    near_vectors,
+    packing,
+    quality,
+    resharding,
+    token_files,
+    warc,
+)
 from offerscope.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +191,30 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("text").cast("double").alias("score"),
     )
     return chat.digest(materialize(chat.conversations(nodes), "conversations"))
+
+
+#: A document is kept if its score is at least this.
+QUALITY = 0.3
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.train(documents, table(spark, sf_dir, "labels"), "doc_id", "text", "quality", ["n_chars"])
+    scored = documents.select(
+        "doc_id",
+        F.coalesce(quality.remainder(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        quality.score(model, F.col("text"), [F.col("n_chars")]).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY).cast("int"))
+
+
+@query()
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    known = language.learn(documents, "doc_id", "text", "lang")
+    return documents.select(
+        "doc_id",
+        F.coalesce(quality.remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
+        language.identify(known, F.col("text")).alias("found"),
+    ).select("doc_id", "held_out", "found.*")
