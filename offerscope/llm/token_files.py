@@ -16,6 +16,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -49,11 +50,10 @@ class FileWriter:
         self.documents.append(struct.pack(_DOCUMENT, doc_id is not None, doc_id or 0, count))
         self.ids += count
         if self.width == 2:
-            if any(memoryview(ids)[2::4]) or any(memoryview(ids)[3::4]):
+            numbers = np.frombuffer(ids, "<u4")
+            if count and numbers.max() > 0xFFFF:
                 raise ValueError("an id does not fit 16 bits")
-            low = bytearray(2 * count)
-            low[0::2], low[1::2] = ids[0::4], ids[1::4]
-            ids = low
+            ids = numbers.astype("<u2").tobytes()
         self.rest += ids
         if len(self.rest) >= self.frame:
             whole = len(self.rest) // self.frame * self.frame
@@ -126,11 +126,7 @@ class FileReader:
             at = self.froms[number]
             parts.append(frame[max(0, begin - at) : end - at])
         data = b"".join(parts)
-        if self.width == 4:
-            return data
-        wide = bytearray(4 * count)
-        wide[0::4], wide[1::4] = data[0::2], data[1::2]
-        return bytes(wide)
+        return data if self.width == 4 else np.frombuffer(data, "<u2").astype("<u4").tobytes()
 
 
 def write_token_files(

@@ -13,7 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from itertools import filterfalse
+from string import punctuation
 
 from offerscope.llm.files import worker_state
 
@@ -26,6 +26,14 @@ KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 DROPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The letters that byte-level vocabularies have for bytes: printable Latin-1 is
+    itself, the others follow from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    other = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
 def _odd(word: str) -> bool:
     """Whether white space other than the four plain kinds stands in ``word``."""
     return any(c.isspace() or c in "᠎​⁠﻿" for c in word.lstrip(" \n\t\r"))
@@ -63,18 +71,65 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control strings in a text are text
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.cut = None if spec.get("truncation") or spec.get("post_processor") else _cuts(spec)
+        self.keeps = self.cut is not None and self.cut[1]
         self.words: dict[str, bytes] = {}
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.alphabet = byte_alphabet()
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _plain(self, word: str) -> bool:
+        """Whether a word is one run of Latin-1 letters, with the space it owns."""
+        letters = word[1:] if self.keeps and word[:1] == " " else word
+        return letters.isalpha() and (letters.isascii() or max(letters) <= "\xff")
+
+    def _runs(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words. Each is one pre-token, so the file's model gets it without
+        the steps before; lower case and normal forms are simple in Latin-1."""
+        out = []
+        for at in range(0, len(words), 64):
+            some = words[at : at + 64]
+            if not self.keeps:
+                some = [word.lower() for word in some]
+            some = [word.encode().decode("latin-1").translate(self.alphabet) for word in some]
+            found = self.model.encode(" ".join(some), add_special_tokens=False)
+            ids, owner = array("I", found.ids).tobytes(), found.word_ids
+            cuts = [4 * k for k in range(1, len(owner)) if owner[k] != owner[k - 1]]
+            out += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+        return out
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Adds words to the cache. One of letters and then ASCII marks is put together
+        from both parts: the patterns end a run of letters before marks, and no mark
+        before white space begins a contraction."""
+        parted, wanted = [], set()
+        for word in fresh:
+            core = word.rstrip(punctuation)
+            if len(core) < len(word) and core.lstrip(" \n\t\r").isalpha():
+                tail = word[len(core) :]
+                parted.append((word, core, tail))
+                wanted.add(core)
+                wanted.add(tail)
+            else:
+                wanted.add(word)
+        wanted = wanted.difference(self.words)
+        plain = [word for word in wanted if self._plain(word)]
+        self.words.update(zip(plain, self._runs(plain)))
+        rest = list(wanted.difference(plain))
+        self.words.update(zip(rest, self.whole(rest)))
+        for word, core, tail in parted:
+            self.words[word] = self.words[core] + self.words[tail]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; none for a null or empty one."""
         texts = [text or "" for text in texts]
@@ -83,15 +138,15 @@ class Encoder:
         cut, strict = self.cut
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        known, get = self.words.__contains__, self.words.__getitem__
+        get = self.words.__getitem__
         parts, new = [], set()
         for text in texts:
             words = cut(text)
             parts.append(words)
-            new.update(filterfalse(known, words))
+            new |= set(words).difference(self.words)
         fresh = list(new)
         odd = set(filter(_odd, fresh)) if strict else set()
-        self.words.update(zip(fresh, self.whole(fresh)))
+        self._learn(fresh)
         out = []
         for text, words in zip(texts, parts):
             if odd and not odd.isdisjoint(words):
