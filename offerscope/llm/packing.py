@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerscope.llm.common import BROADCAST_BYTES, measured_join, plain
+from offerscope.llm.common import plain
 from offerscope.llm.tokens import encoder
 from offerscope.session import scratch_path
 
@@ -137,24 +137,30 @@ def pack_documents(
     length: int = 2048,
     end_id: int = 0,
     group_pieces: int = GROUP_PIECES,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """One row per piece with its ``ids`` and place: ``sequence_id`` and ``offset``.
+) -> tuple[DataFrame, DataFrame]:
+    """The pieces with their ``ids``, and their places: ``sequence_id`` and ``offset``;
+    both stored, with one row per piece and ``uid`` in common.
 
-    Texts are tokenised once, where they lie, into a stored table; only lengths are
-    shuffled to be placed. The places are joined back by broadcast when they measure
-    at most ``limit`` bytes.
+    Texts are tokenised once, where they lie; only lengths are shuffled to be placed.
     """
     spark = documents.sparkSession
     pieces = cut_pieces(documents, tokenizer, id_col, text_col, length, end_id)
-    path = scratch_path(spark, "pieces")
+    path, placed = scratch_path(spark, "pieces"), scratch_path(spark, "places")
     pieces.withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     pieces = spark.read.parquet(path)
-    placed = scratch_path(spark, "places")
     place_pieces(pieces.select("uid", "length"), length, group_pieces).write.parquet(placed)
-    return measured_join(pieces, spark.read.parquet(placed), ["uid"], "inner", "uid", limit).drop("uid")
+    return pieces, spark.read.parquet(placed)
+
+
+def sequences(pieces: DataFrame, places: DataFrame) -> DataFrame:
+    """``sequence_id, ids``: the packed sequences. This moves all ids, once."""
+    parts = pieces.select("uid", "ids").join(places, "uid").groupBy("sequence_id")
+    parts = parts.agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+    joined = F.aggregate("parts", F.lit(b""), lambda done, part: F.concat(done, part["ids"]))
+    return parts.select("sequence_id", joined.alias("ids"))
 
 
-def digest(packed: DataFrame) -> DataFrame:
-    """The columns of the registered query."""
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+def digest(pieces: DataFrame, places: DataFrame) -> DataFrame:
+    """The columns of the registered query: of the ids only their checksum is shuffled."""
+    narrow = pieces.select("uid", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return narrow.join(places, "uid").drop("uid")

@@ -74,7 +74,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary))
+    return packing.digest(*packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary))
 
 
 @query()
