@@ -154,9 +154,8 @@ def op4_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout has a shard per hash of the source, which makes one far too large."""
     folder, new_folder = scratch_path(spark, "old-shards"), scratch_path(spark, "new-shards")
     old = F.pmod(F.crc32(F.coalesce("source", F.lit(""))), F.lit(OLD_SHARDS))
-    column, size = resharding.lay_out(table(spark, sf_dir, "documents"), old, "text", folder)
-    rows = resharding.reshard(spark, folder, column, size, NEW_SHARDS, new_folder)
-    return resharding.digest(rows, size)
+    layout = resharding.lay_out(table(spark, sf_dir, "documents"), old, "text", folder)
+    return resharding.digest(resharding.reshard(spark, layout, NEW_SHARDS, new_folder), layout.size)
 
 
 @query(

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerscope.llm.common import BROADCAST_BYTES, free_name, measured_join, plain
 from offerscope.session import scratch_path
@@ -32,14 +33,24 @@ def size_of(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def lay_out(table: DataFrame, shard: Column, text_col: str, folder: str) -> tuple[str, str]:
-    """Write ``table`` with one folder per shard; returns the names of the columns that
-    hold the shard and the row's size."""
+@dataclass
+class Layout:
+    """A table in a folder with one subfolder per shard; ``old`` and ``size`` are the
+    columns that hold a row's shard and size."""
+
+    folder: str
+    old: str
+    size: str
+    schema: T.StructType
+
+
+def lay_out(table: DataFrame, shard: Column, text_col: str, folder: str) -> Layout:
+    """Write ``table`` with one folder per shard; rows without a shard go to shard -1."""
     old = free_name(table, "old_shard")
     size = free_name(table, "row_bytes")
-    sized = table.withColumn(size, size_of(plain(text_col))).withColumn(old, shard.cast("int"))
+    sized = table.withColumn(size, size_of(plain(text_col))).withColumn(old, F.coalesce(shard.cast("int"), F.lit(-1)))
     sized.write.partitionBy(old).parquet(folder)
-    return old, size
+    return Layout(folder, old, size, sized.schema)
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> list[dict[int, int]]:
@@ -228,21 +239,19 @@ def _evened(segments: list[Segment], near: dict, over: list[int]) -> list[Segmen
 
 def reshard(
     spark: SparkSession,
-    folder: str,
-    old: str,
-    size: str,
+    layout: Layout,
     shards: int,
     new_folder: str,
     capacity: list[int] | None = None,
     cost=None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """All rows of the files in ``folder`` with ``shard`` (0 to ``shards`` - 1) and
+    """All rows of a layout with ``shard`` (0 to ``shards`` - 1) and
     ``slot`` (gapless within the shard). Only files of which rows leave their shard are
     written again, into ``new_folder``; a row that stays in such a file is written too."""
-    rows = spark.read.parquet(folder)
+    rows = spark.read.schema(layout.schema).parquet(layout.folder)
     shard, slot = free_name(rows, "shard"), free_name(rows, "slot")
-    segments, _ = plan(rows, old, size, capacity, shards, cost)
+    segments, _ = plan(rows, layout.old, layout.size, capacity, shards, cost)
     whole = {s.file for s in segments if s.shard == s.old} - {s.file for s in segments if s.shard != s.old}
     base, table = [0] * shards, []
     for s in segments:
@@ -252,7 +261,7 @@ def reshard(
     def placed(names: list[str]) -> DataFrame:
         own = [t for t in table if t[0] in set(names)]
         known = spark.createDataFrame(own, "_file string, _first long, _last long, _shard int, _base long")
-        some = spark.read.option("basePath", folder).schema(rows.schema).parquet(*names)
+        some = spark.read.option("basePath", layout.folder).schema(rows.schema).parquet(*names)
         some = some.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
         bound = sum(len(t[0]) + 64 for t in own)
         some = measured_join(some, known, ["_file"], "inner", "_at", limit, at_most=bound)
