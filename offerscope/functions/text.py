@@ -60,8 +60,13 @@ def truncate(text: Column, chars: int) -> Column:
     return F.substring(text, 1, chars)
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
+
+
 def normalised_name(name: Column) -> Column:
-    return F.lower(F.trim(name))
+    return F.lower(stripped(name))
 
 
 def is_occupation_code(code: Column) -> Column:
@@ -70,8 +75,8 @@ def is_occupation_code(code: Column) -> Column:
 
 def occupation_domain(code: Column) -> Column:
     """First letter of a valid code, otherwise ``UNKNOWN``."""
-    stripped = F.regexp_replace(code, f"^{SPACES}|{SPACES}$", "")
-    return F.when(is_occupation_code(stripped), F.substring(stripped, 1, 1)).otherwise(
+    code = stripped(code)
+    return F.when(is_occupation_code(code), F.substring(code, 1, 1)).otherwise(
         F.lit(UNKNOWN_DOMAIN)
     )
 

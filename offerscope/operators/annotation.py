@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerscope.functions import text as X
-from offerscope.labels import DEFINITIONS, LABELS_17, TERMS
+from offerscope.labels import LABELS_17
 from offerscope.operators.sampling import dense_row_id
 from offerscope.session import materialize, scratch_path
 from offerscope.sources.tables import (
@@ -27,10 +27,9 @@ from offerscope.sources.tables import (
     record_schema,
 )
 
-# Offers per call, characters per offer, attempts per batch, batches
-# between two writes to the store.
+# Offers per call, attempts per batch, batches between two writes to
+# the store.
 BATCH_SIZE = 5
-MAX_TEXT_CHARS = 5000
 MAX_ATTEMPTS = 3
 CHECKPOINT_EVERY = 50
 
@@ -45,14 +44,18 @@ def make_batches(
     id_col: str,
     text_col: str,
     batch_size: int = BATCH_SIZE,
-    max_chars: int = MAX_TEXT_CHARS,
+    max_chars: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """``batch_id, offers``: up to ``batch_size`` offers ``(id, text)`` in order."""
+    """``batch_id, offers``: up to ``batch_size`` offers ``(id, text)`` in order.
+
+    Texts are whole unless ``max_chars`` is given. A null id is an empty one.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
     numbered = dense_row_id(
         df.select(
             F.col(id_col).cast("string").alias("id"),
-            X.truncate(F.coalesce(F.col(text_col), F.lit("")), max_chars).alias("text"),
+            (text if max_chars is None else X.truncate(text, max_chars)).alias("text"),
         ),
         "id",
         "_row",
@@ -72,10 +75,9 @@ def make_batches(
     )
 
 
-def prompt_frame(labels: list[str], definitions: dict[str, str] | None = None) -> tuple[str, str]:
+def prompt_frame(labels: list[str], definitions: dict[str, str]) -> tuple[str, str]:
     """What stands before and after the offers of a batch."""
-    meaning = DEFINITIONS if definitions is None else definitions
-    listed = "\n".join(f"- {label} : {meaning.get(label, label)}" for label in labels)
+    listed = "\n".join(f"- {label} : {definitions.get(label, label)}" for label in labels)
     head = (
         "Pour chaque annonce, indique par 1 ou 0 si chaque élément est clairement mentionné.\n"
         "En cas de doute, réponds 0. Ne te fie qu'au texte de l'annonce.\n\n"
@@ -89,7 +91,7 @@ def prompt_frame(labels: list[str], definitions: dict[str, str] | None = None) -
     return head, tail
 
 
-def prompt_of(offers: Column, labels: list[str], definitions: dict[str, str] | None = None) -> Column:
+def prompt_of(offers: Column, labels: list[str], definitions: dict[str, str]) -> Column:
     """The request for one batch."""
     head, tail = prompt_frame(labels, definitions)
     blocks = F.transform(
@@ -247,6 +249,7 @@ def run_annotation(
     attempts: int = MAX_ATTEMPTS,
     parallel_calls: int | None = None,
     checkpoint_every: int = CHECKPOINT_EVERY,
+    max_chars: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The annotated table and the failed ids.
 
@@ -262,12 +265,15 @@ def run_annotation(
         done = read_annotations(spark, store_path, labels)
         seq = (spark.read.json(store_path, schema="seq long").agg(F.max("seq")).first()[0] or 0) + 1
         remaining = not_yet_annotated(df, id_col, done)
-    batches = materialize(make_batches(remaining, id_col, text_col, batch_size), "batches")
     tasks = parallel_calls or spark.sparkContext.defaultParallelism
     wave = checkpoint_every * tasks
-    failed_path = scratch_path(spark, "failed")
-    for start in range(0, batches.count(), wave):
-        inside = batches.filter(F.col("batch_id").between(start, start + wave - 1))
+    batches = make_batches(remaining, id_col, text_col, batch_size, max_chars)
+    waves_path, failed_path = scratch_path(spark, "batches"), scratch_path(spark, "failed")
+    batches.withColumn("wave", F.floor(F.col("batch_id") / wave)).write.partitionBy("wave").parquet(waves_path)
+    stored = spark.read.schema(T.StructType([*batches.schema, T.StructField("wave", T.LongType())])).parquet(waves_path)
+    last = stored.agg(F.max("wave")).first()[0]
+    for number in range(0 if last is None else last + 1):
+        inside = stored.filter(F.col("wave") == number).drop("wave")  # reads the wave's folder only
         refused = None
         for accepted, refused in annotate_batches(inside, annotate, labels, attempts, tasks):
             append_annotations(accepted, store_path, labels, seq)
@@ -310,14 +316,11 @@ def term_pattern(terms: list[str]) -> str:
     return "(^| )(" + "|".join(re.escape(term).replace(r"\ ", " ") for term in terms) + ")( |$)"
 
 
-def keyword_labels(
-    df: DataFrame, text_col: str, terms: dict[str, list[str]] | None = None
-) -> DataFrame:
+def keyword_labels(df: DataFrame, text_col: str, terms: dict[str, list[str]]) -> DataFrame:
     """Adds one 0/1 column per label: whether one of its terms occurs.
 
     The text is normalised like a sentence key, once for all labels.
     """
-    terms = TERMS if terms is None else terms
     words = X.sentence_keys_of(
         X.minimal_clean(F.col(text_col)), remove_accents=True, collapse_digits=False
     )[0]

@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 from offerscope.functions import text as X
 from offerscope.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from offerscope.operators.sampling import keep_first_by_hash
-from offerscope.session import materialize, top_rows_limit
+from offerscope.session import materialize
 
 # The drop rule and the similarity of near-duplicate keys.
 SHARE_THRESHOLD = 0.10
 MIN_COUNT = 2
 SIM_THRESHOLD = 0.88
-MAX_KEYS_PER_FIRM = 5000
-REPORT_CHARS = 120
 SHORT_RESULT_CHARS = 150
 
 # Partial top lists per firm before the final one.
@@ -53,7 +51,7 @@ def segment_offers(
     return (
         offers.select(
             F.col(id_col).alias("offer_id"),
-            F.trim(F.coalesce(F.col(firm_col), F.lit(""))).alias("firm"),
+            X.stripped(F.coalesce(F.col(firm_col), F.lit(""))).alias("firm"),
             X.sentence_lines(text).alias("_lines"),
             *row,
         )
@@ -93,7 +91,7 @@ def key_document_frequency(segmented: DataFrame) -> DataFrame:
     return _distinct_keys(segmented).groupBy("firm", "key").agg(F.count("*").alias("n_docs"))
 
 
-def top_keys(frequency: DataFrame, max_keys: int = MAX_KEYS_PER_FIRM) -> DataFrame:
+def top_keys(frequency: DataFrame, max_keys: int) -> DataFrame:
     """The ``max_keys`` most frequent keys of each firm with their ``rank``.
 
     Exact in two steps: the best of each salted share, then the best of those,
@@ -118,17 +116,17 @@ def drop_floor(n_offers: Column, share: float, min_count: int) -> Column:
 
 
 def _exact_drop_keys(
-    frequency: DataFrame, sizes: DataFrame, share: float, min_count: int, max_keys: int
+    frequency: DataFrame, sizes: DataFrame, share: float, min_count: int, max_keys: int | None
 ) -> DataFrame:
-    """Drop keys without clustering.
+    """Drop keys without clustering: those that reach the floor.
 
-    Keys that reach the floor are the head of the frequency order, so filtering
-    before ranking gives the same ranks on far fewer rows.
+    They are the head of the frequency order, so where ``max_keys`` is given,
+    filtering before ranking gives the same ranks on far fewer rows.
     """
     frequent = lookup_join(
         frequency.filter(F.col("n_docs") >= min_count), sizes, ["firm"]
     ).filter(F.col("n_docs") >= drop_floor(F.col("n_offers"), share, min_count))
-    return top_keys(frequent, max_keys).select("firm", "key")
+    return (frequent if max_keys is None else top_keys(frequent, max_keys)).select("firm", "key")
 
 
 # --- clustering ---------------------------------------------------------------
@@ -232,15 +230,15 @@ def leader_clusters(keys: list[str], threshold: float) -> list[int]:
     return leader
 
 
-def cluster_keys(ranked: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
-    """``firm, key, n_docs, cluster_id, rep, n_members`` for the ranked keys.
+def cluster_keys(frequency: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
+    """``firm, key, n_docs, cluster_id, rep, n_members`` for the keys of each firm.
 
-    The greedy rule depends on the order, so a firm's keys are settled together;
-    ``top_keys`` bounds that group.
+    The greedy rule depends on the order of all keys, so a firm's distinct keys are
+    settled together, in one task.
     """
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rank")
+        group = group.sort_values(["n_docs", "key"], ascending=[False, True])
         keys = group["key"].tolist()
         leader = leader_clusters(keys, threshold)
         number = {lead: i for i, lead in enumerate(dict.fromkeys(leader))}
@@ -250,15 +248,15 @@ def cluster_keys(ranked: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFra
         out["n_members"] = out.groupby("cluster_id")["key"].transform("size")
         return out
 
-    return ranked.groupBy("firm").applyInPandas(
+    return frequency.select("firm", "key", "n_docs").groupBy("firm").applyInPandas(
         settle,
         "firm string, key string, n_docs long, cluster_id int, rep string, n_members long",
     )
 
 
-def _clusters(frequency: DataFrame, max_keys: int, threshold: float) -> DataFrame:
-    with top_rows_limit(frequency.sparkSession, max_keys):
-        return materialize(cluster_keys(top_keys(frequency, max_keys), threshold), "key-clusters")
+def _clusters(frequency: DataFrame, max_keys: int | None, threshold: float) -> DataFrame:
+    keys = frequency if max_keys is None else top_keys(frequency, max_keys)
+    return materialize(cluster_keys(keys, threshold), "key-clusters")
 
 
 def cluster_document_frequency(segmented: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -286,7 +284,7 @@ def learn_boilerplate(
     share_threshold: float = SHARE_THRESHOLD,
     min_count: int = MIN_COUNT,
     sim_threshold: float = SIM_THRESHOLD,
-    max_keys_per_firm: int = MAX_KEYS_PER_FIRM,
+    max_keys_per_firm: int | None = None,
     max_offers_per_firm: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
@@ -300,8 +298,7 @@ def learn_boilerplate(
     frequency = key_document_frequency(segmented)
     if sim_threshold >= 1.0:
         drops = _exact_drop_keys(frequency, sizes, share_threshold, min_count, max_keys_per_firm)
-        with top_rows_limit(segmented.sparkSession, max_keys_per_firm):
-            return materialize(drops, "drop-keys")
+        return materialize(drops, "drop-keys")
     clusters = _clusters(frequency, max_keys_per_firm, sim_threshold)
     floor = drop_floor(F.col("n_offers"), share_threshold, min_count)
     # The document frequency lies between the largest member's and the sum of
@@ -333,7 +330,7 @@ def learn_boilerplate(
 def boilerplate_report(
     segmented: DataFrame,
     sim_threshold: float = SIM_THRESHOLD,
-    max_keys_per_firm: int = MAX_KEYS_PER_FIRM,
+    max_keys_per_firm: int | None = None,
 ) -> DataFrame:
     """``firm, cluster_id, df_offers, share, n_members, rep`` for every cluster.
 
@@ -351,7 +348,7 @@ def boilerplate_report(
         "df_offers",
         (F.col("df_offers") / F.col("n_offers")).alias("share"),
         "n_members",
-        F.substring("rep", 1, REPORT_CHARS).alias("rep"),
+        "rep",
     )
 
 
@@ -383,15 +380,17 @@ def _with_dropped(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
         )
         has_hits = F.coalesce(F.size("_hits") > 0, F.lit(False))
         return found.withColumn("dropped", F.when(has_hits, places).otherwise(none)).drop("_hits")
+    # rows are told apart by their place in a stored table: ids may be null or shared
+    segmented = materialize(segmented.withColumn("_place", F.monotonically_increasing_id()), "segmented")
     placed = segmented.filter(F.col("firm") != "").select(
-        "firm", "offer_id", F.posexplode("keys").alias("place", "key")
+        "firm", "_place", F.posexplode("keys").alias("place", "key")
     )
     hits = lookup_join(placed.filter(F.col("key") != ""), drop_keys, ["firm", "key"])
-    by_offer = hits.groupBy("offer_id").agg(F.collect_list("place").alias("_places"))
+    by_offer = hits.groupBy("_place").agg(F.collect_list("place").alias("_places"))
     return (
-        segmented.join(by_offer, "offer_id", "left")
+        segmented.join(by_offer, "_place", "left")
         .withColumn("dropped", F.coalesce("_places", none))
-        .drop("_places")
+        .drop("_places", "_place")
     )
 
 

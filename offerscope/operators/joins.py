@@ -34,11 +34,13 @@ def lookup_join(
 
     A measured-small table is broadcast. Beyond the limit both sides are
     shuffled on the key plus a salt: the big side draws its salt from the row's
-    content, the small side is repeated once per salt, so a key that holds a
+    content (columns with maps, which have no hash, aside), the small side is repeated once per salt, so a key that holds a
     third of the rows spreads over ``salts`` tasks.
     """
     if fits_broadcast(small, limit):
         return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
+    hashed = [name for name, kind in big.dtypes if "map<" not in kind and "variant" not in kind]
+    drawn = F.xxhash64(*hashed) if hashed else F.monotonically_increasing_id()
+    salt = F.pmod(drawn, F.lit(salts)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -26,7 +26,7 @@ MIN_PER_STRATUM = 5
 
 def hash_order(id_col: str | Column, seed: int) -> Column:
     key = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def _prefix_ends(hashed: DataFrame, groups: list[str]) -> DataFrame:
@@ -175,10 +175,11 @@ def split_train_valid_test(
     """Adds ``split``: 70 % train, the held-out rest half valid, half test.
 
     A stratum is one combination of labels; combinations of fewer than
-    ``rare_below`` rows share a stratum. ``stratify=False`` draws from all rows.
+    ``rare_below`` rows share a stratum. A null label is a value of its own, and a
+    null id is drawn like an empty one, so every row gets a split. ``stratify=False`` draws from all rows.
     """
     if stratify:
-        pattern = F.concat(*[F.col(label).cast("int").cast("string") for label in labels])
+        pattern = F.concat(*[F.coalesce(F.col(label).cast("int").cast("string"), F.lit("-")) for label in labels])
     else:
         pattern = F.lit("all")
     keyed = df.withColumn("_pattern", pattern)

@@ -52,7 +52,8 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_HEAD, _TAIL = A.prompt_frame(LABELS)
+_DEFINITIONS = {"quality": "le texte est soigné", "toxic": "le texte est blessant"}
+_HEAD, _TAIL = A.prompt_frame(LABELS, _DEFINITIONS)
 
 
 @query(
@@ -62,8 +63,8 @@ _HEAD, _TAIL = A.prompt_frame(LABELS)
         FROM batches GROUP BY batch_id"""
 )
 def annotation_prompts(spark, sf_dir):
-    batches = A.make_batches(documents(spark, sf_dir), "doc_id", "text")
-    return batches.select("batch_id", A.prompt_of(F.col("offers"), LABELS).alias("prompt"))
+    batches = A.make_batches(documents(spark, sf_dir), "doc_id", "text", max_chars=5000)
+    return batches.select("batch_id", A.prompt_of(F.col("offers"), LABELS, _DEFINITIONS).alias("prompt"))
 
 
 @query(
@@ -107,7 +108,7 @@ _ANSWER_TERMS = {"quality": ["that", "pour", "und"], "toxic": ["from", "dans", "
 
 
 @query(
-    "WITH words AS (SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 5000)), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS w FROM documents) "
+    "WITH words AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS w FROM documents) "
     "SELECT doc_id, "
     + ", ".join(
         f"CAST(coalesce(l.{label}, CAST(regexp_matches(w, '{A.term_pattern(t)}') AS INTEGER)) AS INTEGER) AS {label}"
@@ -137,7 +138,7 @@ def _refusing(annotate: A.Annotator, word: str) -> A.Annotator:
 
 @query(
     f"""WITH {_BATCHES},
-        failed AS (SELECT DISTINCT batch_id FROM batches WHERE contains(lower(substr(text, 1, 5000)), 'license'))
+        failed AS (SELECT DISTINCT batch_id FROM batches WHERE contains(lower(text), 'license'))
         SELECT CAST(doc_id AS VARCHAR) AS id FROM batches JOIN failed USING (batch_id)"""
 )
 def annotation_failed(spark, sf_dir):

@@ -56,9 +56,14 @@ def _html(expression: str) -> str:
 
 _LINES = _replaced(_html("lower(text)"), [(r"([.!?…]+)\s+", "\\1\n")])
 _KEY = "trim(" + _replaced("strip_accents(lower(sentence))", [("[0-9]+", "0"), (r"[^\p{L}\p{N}]+", " ")]) + ")"
+# The firm: white space of any kind is stripped. Written out, so that it does not follow the code.
+_SPACE = (
+    r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+)
+_FIRM = f"regexp_replace(source, '^{_SPACE}|{_SPACE}$', '', 'g')"
 # One row per sentence with its key.
 _SENTENCES = f"""
-lines AS (SELECT doc_id, trim(source) AS firm, string_split({_LINES}, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, {_FIRM} AS firm, string_split({_LINES}, chr(10)) AS parts FROM documents),
 sentences AS (
   SELECT doc_id, firm, CAST(pos - 1 AS INTEGER) AS pos, sentence, {_KEY} AS key
   FROM (SELECT doc_id, firm, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS pos FROM lines)
@@ -67,13 +72,11 @@ _FREQUENCY = f"""{_SENTENCES},
 frequency AS (
   SELECT firm, key, count(DISTINCT doc_id) AS n_docs FROM sentences
   WHERE firm <> '' AND key <> '' GROUP BY firm, key),
-sizes AS (SELECT trim(source) AS firm, count(*) AS n_offers FROM documents WHERE trim(source) <> '' GROUP BY 1)"""
+sizes AS (SELECT {_FIRM} AS firm, count(*) AS n_offers FROM documents WHERE {_FIRM} <> '' GROUP BY 1)"""
 _DROPS = f"""{_FREQUENCY},
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY firm ORDER BY n_docs DESC, key) AS rank FROM frequency),
 drops AS (
-  SELECT firm, key FROM ranked JOIN sizes USING (firm)
-  WHERE rank <= 5000 AND n_docs >= greatest(2, ceil(CAST(0.1 AS DOUBLE) * n_offers)))"""
+  SELECT firm, key FROM frequency JOIN sizes USING (firm)
+  WHERE n_docs >= greatest(2, ceil(CAST(0.1 AS DOUBLE) * n_offers)))"""
 
 
 def _segmented(spark, sf_dir):
@@ -150,7 +153,7 @@ def firm_counts(spark, sf_dir):
     return value_counts(load_table(spark, f"{sf_dir}/documents.parquet"), "source", 20)
 
 
-@query("SELECT doc_id, lang FROM documents WHERE lower(trim(source)) = 'src3' AND contains(lower(text), 'the')")
+@query(f"SELECT doc_id, lang FROM documents WHERE lower({_FIRM}) = 'src3' AND contains(lower(text), 'the')")
 def firm_phrase_filter(spark, sf_dir):
     held = documents(spark, sf_dir).filter(
         (X.normalised_name(F.col("source")) == "src3") & F.contains(F.lower("text"), F.lit("the"))
@@ -283,9 +286,9 @@ def boilerplate_trace(spark, sf_dir):
 @query(
     f"""WITH {_SENTENCES},
        drawn AS (
-         SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY trim(source) ORDER BY md5('0|' || doc_id)) AS r
+         SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY {_FIRM} ORDER BY md5('0|' || doc_id)) AS r
                              FROM documents) WHERE r <= 40),
-       sizes AS (SELECT trim(source) AS firm, count(*) AS n FROM documents JOIN drawn USING (doc_id) GROUP BY 1)
+       sizes AS (SELECT {_FIRM} AS firm, count(*) AS n FROM documents JOIN drawn USING (doc_id) GROUP BY 1)
        SELECT firm, key FROM sentences JOIN drawn USING (doc_id) JOIN sizes USING (firm) WHERE key <> ''
        GROUP BY firm, key, n HAVING count(DISTINCT doc_id) >= greatest(2, ceil(CAST(0.1 AS DOUBLE) * n))"""
 )
@@ -297,8 +300,7 @@ def boilerplate_keys_capped(spark, sf_dir):
 # similar. Rounds settle keys whose earlier neighbours are all settled.
 _CLUSTERS = f"""{_FREQUENCY},
 ranked AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY firm ORDER BY n_docs DESC, key) AS rank, length(key) AS size FROM frequency)
-  WHERE rank <= 5000),
+  SELECT *, row_number() OVER (PARTITION BY firm ORDER BY n_docs DESC, key) AS rank, length(key) AS size FROM frequency),
 edges AS MATERIALIZED (
   SELECT a.firm, a.rank AS earlier, b.rank AS later FROM ranked a JOIN ranked b
   ON a.firm = b.firm AND a.rank < b.rank AND least(a.size, b.size) >= CAST(0.88 AS DOUBLE) * greatest(a.size, b.size) - 0.000001
@@ -338,7 +340,7 @@ def boilerplate_clustered(spark, sf_dir):
 @query(
     f"""WITH RECURSIVE {_CLUSTERS}
         SELECT c.firm, CAST(row_number() OVER (PARTITION BY c.firm ORDER BY leader) - 1 AS INTEGER) AS cluster_id, df_offers,
-               round(df_offers / CAST(n_offers AS DOUBLE), 6) AS share, n_members, substr(key, 1, 120) AS rep
+               round(df_offers / CAST(n_offers AS DOUBLE), 6) AS share, n_members, key AS rep
         FROM clusters c JOIN sizes USING (firm) JOIN ranked r ON r.firm = c.firm AND r.rank = c.leader"""
 )
 def boilerplate_report(spark, sf_dir):

@@ -229,6 +229,12 @@ def pair_histogram_firm(spark, sf_dir):
     return S.pair_histogram(table, "firm", "centroid", 300).withColumn("lower", F.round("lower", 6))
 
 
+@query(f"WITH {_means('occ')}, {_ALL_PAIRS.format(source='centroids')}, {_PAIR_BINS.format(bins=300)}")
+def pair_histogram_occ(spark, sf_dir):
+    table = G.centroids(vectors(spark, sf_dir), ["occ"], "embedding", code_col="occ")
+    return S.pair_histogram(table, "occ", "centroid", 300).withColumn("lower", F.round("lower", 6))
+
+
 def make_space_model():
     """A stand-in for a caller's model: characters and spaces."""
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +41,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-@contextmanager
-def top_rows_limit(spark: SparkSession, rows: int):
-    """Lets jobs inside the block cut every task's rows to the best ``rows`` per
-    group before a ranking shuffles them; by default Spark does so up to 1000."""
-    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(max(rows, int(before))))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
