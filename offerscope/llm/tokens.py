@@ -82,7 +82,7 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = WhitespaceSplit()
-        self.alphabet = byte_alphabet()
+        self.alphabet = byte_alphabet() | {10: "\n"}  # line ends stand between words
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -97,14 +97,13 @@ class Encoder:
         """Ids of plain words. Each is one pre-token, so the file's model gets it without
         the steps before; lower case and normal forms are simple in Latin-1."""
         out = []
-        for at in range(0, len(words), 64):
-            some = words[at : at + 64]
+        for at in range(0, len(words), 256):
+            joined = "\n".join(words[at : at + 256])
             if not self.keeps:
-                some = [word.lower() for word in some]
-            some = [word.encode().decode("latin-1").translate(self.alphabet) for word in some]
-            found = self.model.encode(" ".join(some), add_special_tokens=False)
+                joined = joined.lower()
+            found = self.model.encode(joined.encode().decode("latin-1").translate(self.alphabet), add_special_tokens=False)
             ids, owner = array("I", found.ids).tobytes(), found.word_ids
-            cuts = [4 * k for k in range(1, len(owner)) if owner[k] != owner[k - 1]]
+            cuts = [4 * k for k, (a, b) in enumerate(zip(owner, owner[1:]), 1) if a != b]
             out += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
         return out
 
@@ -115,7 +114,11 @@ class Encoder:
         parted, wanted = [], set()
         for word in fresh:
             core = word.rstrip(punctuation)
-            if len(core) < len(word) and core.lstrip(" \n\t\r").isalpha():
+            if self.keeps and word[0] == "\n" and word[1:2].isalpha():  # a line end is a pre-token of its own
+                parted.append((word, "\n", word[1:]))
+                wanted.add("\n")
+                wanted.add(word[1:])
+            elif len(core) < len(word) and core.lstrip(" \n\t\r").isalpha():
                 tail = word[len(core) :]
                 parted.append((word, core, tail))
                 wanted.add(core)
