@@ -127,13 +127,14 @@ def conversations(
     while (1 << (len(levels) - 1)) <= total and not levels[-1].filter("up is not null").isEmpty():
         now = levels[-1]
         ahead = now.select(F.col("uid").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("depth").alias("d2"))
-        further = measured_join(now, ahead, ["up"], "left", "uid", limit, at_most=64 * total)
+        there = now.filter("up is null")  # at the root already: not joined again
+        further = measured_join(now.filter("up is not null"), ahead, ["up"], "left", "uid", limit, at_most=64 * total)
         levels.append(
             materialize(
-                further.select(
+                there.select("uid", "up", "total", "depth").unionByName(further.select(
                     "uid", F.col("up2").alias("up"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
                     (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                ),
+                )),
                 "jumps",
             )
         )
