@@ -123,8 +123,9 @@ def _family(random, count):
     return out
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 24])
-def test_near_texts_equal_brute_force(spark, limit):
+@pytest.mark.parametrize("limit,meet", [(0, 1024), (1 << 24, 3)])
+def test_near_texts_equal_brute_force(spark, monkeypatch, limit, meet):
+    monkeypatch.setattr(near_text, "MEET", meet)
     random = np.random.default_rng(1)
     texts = [t for size in (2, 3, 60) for t in _family(random, size)]
     texts += ["A b", "a B", "a b c", texts[0].upper()]
