@@ -2,7 +2,8 @@
 
 Each language has a zstandard dictionary of raw content. A text belongs to the
 language whose dictionary lets it shrink most; if the runner-up comes too close, the
-answer is rejected.
+answer is rejected. Long texts are compressed in pieces and the sizes added up, so that
+all of a text counts, however long it is.
 
 Results for special input: a null text, or one without any letter, is ``und`` with
 score 0 and rejected; equal sizes go to the language with more training rows, then by
@@ -30,7 +31,10 @@ LANGUAGES, SAMPLE_TEXTS = 200, 150
 TEXT_BYTES, DICTIONARY_BYTES = (200, 4_000), 112 * 1024
 #: Compression that finds matches of three bytes, which short words need.
 SEARCH = {"strategy": zstandard.STRATEGY_LAZY, "window_log": 18, "hash_log": 17, "chain_log": 17, "search_log": 3, "min_match": 3}
-#: Goes before each text: a block that would not shrink is stored as it is, and sizes would tell nothing.
+#: Bytes of a text that are compressed at once. With the dictionary they fit the window, so each
+#: part of a long text is measured against the dictionary and not against the text before it.
+PIECE_BYTES = 64 * 1024
+#: Goes before each piece: a block that would not shrink is stored as it is, and sizes would tell nothing.
 CARRIER = b" " * 128
 #: The runner-up must need at least this share more bytes.
 MARGIN = 0.005
@@ -70,8 +74,9 @@ class Languages:
         """Language, score and whether the answer is accepted."""
         if not self.names or not text or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, False
-        data = CARRIER + letters(text)
-        sizes = [len(c.compress(data)) for c in self.compressors()]
+        data = letters(text)
+        pieces = [CARRIER + data[at : at + PIECE_BYTES] for at in range(0, len(data), PIECE_BYTES)]
+        sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in self.compressors()]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
             return self.names[0], 1.0, True

@@ -11,6 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from offerscope.llm import language
 from offerscope.llm import queries as Q
 from offerscope.session import materialize
 
@@ -130,3 +131,24 @@ def test_near_duplicate_stage_keeps_one_row_of_repeated_ones(spark):
     docs = materialize(docs, "docs")
     kept = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR)
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3, 4]
+
+
+def _held_out_text(spark, folder, lang, size):
+    """Texts of one language that no dictionary was learned from, joined to ``size`` bytes."""
+    rows = spark.read.parquet(f"{folder}/documents.parquet").filter(f"lang = '{lang}' and crc32(string(doc_id)) % 3 = 1")
+    joined = " ".join(row["text"] or "" for row in rows.orderBy("doc_id").collect())
+    while len(joined) < size:
+        joined += " " + joined
+    return joined[:size]
+
+
+def test_every_part_of_a_long_text_counts_for_its_language(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    known = language.learn(docs, "doc_id", "text", "lang")
+    own = {lang: _held_out_text(spark, folder, lang, 3_000_000) for lang in known.names}
+    for lang, text in own.items():
+        for size in (800_000, 3_000_000):
+            found, _, accepted = known.identify(text[:size])
+            assert (found, accepted) == (lang, True), (lang, size)
+    assert known.identify(own["en"][:250_000] + " " + own["de"][:750_000])[0] == "de"
