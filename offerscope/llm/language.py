@@ -8,8 +8,9 @@ all of a text counts, however long it is.
 Results for special input: a null text, or one without any letter, is ``und`` with
 score 0 and rejected; equal sizes go to the language with more training rows, then by
 name; a text in one known language only is compared with nothing and scores 1; with no
-training rows every text is ``und``; repeated rows get equal answers; an empty table
-gives no rows. Other columns are not used.
+training rows every text is ``und``; a language without a letter in its training texts
+has nothing to learn from and is not among the names; repeated rows get equal answers;
+an empty table gives no rows. Other columns are not used.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ from offerscope.llm.files import worker_state
 #: Bounds of the training sample: languages, texts of each, and bytes of a text and a dictionary.
 LANGUAGES, SAMPLE_TEXTS = 200, 150
 TEXT_BYTES, DICTIONARY_BYTES = (200, 4_000), 112 * 1024
+#: Languages that such texts leave short are filled from texts of any length: texts of each
+#: and pieces of a text that the first round reads, by how much the next one reads more,
+#: characters of a piece, and the grains of a draw.
+FIRST_ROUND, MORE, PIECE_CHARS, DRAWS = (4_096, 8), 32, 500, 1 << 20
 #: Compression that finds matches of three bytes, which short words need.
 SEARCH = {"strategy": zstandard.STRATEGY_LAZY, "window_log": 18, "hash_log": 17, "chain_log": 17, "search_log": 3, "min_match": 3}
 #: Bytes of a text that are compressed at once. With the dictionary they fit the window, so each
@@ -85,8 +90,10 @@ class Languages:
 
 
 def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> Languages:
-    """Dictionaries from documents whose crc32 of the id, modulo 3, is not 1. The driver
-    gets at most ``LANGUAGES * SAMPLE_TEXTS`` texts of at most ``TEXT_BYTES[1]`` bytes."""
+    """Dictionaries from documents whose crc32 of the id, modulo 3, is not 1: texts of
+    ``TEXT_BYTES`` first, and of any other length where those do not fill a dictionary. The
+    driver gets at most ``LANGUAGES * SAMPLE_TEXTS`` texts of at most ``TEXT_BYTES[1]``
+    bytes, and in each round twice ``DICTIONARY_BYTES`` for a language that is short."""
     rows = documents.select(plain(id_col).alias("id"), plain(text_col).alias("text"), plain(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.coalesce(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(3)) != 1, F.lit(False)))
     rows = rows.filter("lang is not null and text is not null")
@@ -98,22 +105,70 @@ def learn(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> La
     texts: dict[str, list[str]] = {}
     for row in sample.filter(F.col("rank") <= SAMPLE_TEXTS).orderBy("lang", "rank").collect():
         texts.setdefault(row["lang"], []).append(row["text"])
-    if not texts:  # all are shorter or longer: whole texts up to the dictionary's size
-        longer = rows.withColumn("rank", F.row_number().over(first)).filter("rank <= 3").orderBy("lang", "rank")
-        for row in longer.select("lang", F.substring("text", 1, TEXT_BYTES[1]).alias("text")).collect():
-            texts.setdefault(row["lang"], []).append(row["text"])
-    names, contents = [], []
-    for row in counts:
-        parts, size = [], 0
-        for text in dict.fromkeys(texts.get(row["lang"], ())):
+    contents: dict[str, list[bytes]] = {row["lang"]: [] for row in counts}
+    for lang, held in contents.items():
+        size = 0
+        for text in dict.fromkeys(texts.get(lang, ())):
             data = letters(text)
             if size + len(data) <= DICTIONARY_BYTES:
-                parts.append(data)
+                held.append(data)
                 size += len(data)
-        if parts:
-            names.append(row["lang"])
-            contents.append(b"".join(parts))
-    return Languages(names, contents)
+    _fill(rows, {row["lang"]: row["n"] for row in counts}, contents)
+    names = [lang for lang, held in contents.items() if held]
+    return Languages(names, [b"".join(contents[lang]) for lang in names])
+
+
+def _fill(rows: DataFrame, counts: dict[str, int], contents: dict[str, list[bytes]]) -> None:
+    """Adds to the contents of languages that are short of ``DICTIONARY_BYTES`` from texts of
+    any length, in pieces that lie evenly over a text. ``counts`` has the number of a
+    language's texts.
+
+    A round reads so many texts of a language, drawn by their hash, and so many pieces of
+    each; where that is too little, the next one reads more and begins anew, until all
+    dictionaries are full or all texts of their languages have been read whole."""
+    begun = {lang: list(held) for lang, held in contents.items()}
+    texts, pieces = FIRST_ROUND
+    read: set[str] = set()
+    longest = None
+    while True:
+        size = {lang: sum(map(len, held)) for lang, held in contents.items()}
+        short = [lang for lang in contents if size[lang] + TEXT_BYTES[1] < DICTIONARY_BYTES and lang not in read]
+        if not short:
+            return
+        if longest is None:
+            longest = rows.filter(F.col("lang").isin(short)).agg(F.max(F.char_length("text"))).first()[0]
+        draws = [(lang, min(DRAWS, -(-DRAWS * texts // counts[lang]))) for lang in short]
+        some = _words(rows, rows.sparkSession.createDataFrame(draws, "lang string, draws long"), pieces)
+        contents.update((lang, list(begun[lang])) for lang in short)
+        known = {lang: set(contents[lang]) for lang in short}
+        size = {lang: sum(map(len, contents[lang])) for lang in short}
+        for row in some.orderBy("lang", "rank").select("lang", "words").collect():
+            lang = row["lang"]
+            data = letters(row["words"])
+            if data not in known[lang] and size[lang] < DICTIONARY_BYTES:
+                known[lang].add(data)
+                contents[lang].append(data[: DICTIONARY_BYTES - size[lang]])
+                size[lang] += len(contents[lang][-1])
+        read.update(lang for lang in short if counts[lang] <= texts and longest <= pieces * PIECE_CHARS)
+        texts, pieces = texts * MORE, pieces * MORE
+
+
+def _words(rows: DataFrame, draws: DataFrame, most: int) -> DataFrame:
+    """``lang, words, rank``: of each language in ``draws`` distinct texts, or up to ``most``
+    pieces of a text longer than ``TEXT_BYTES[1]`` bytes, without digits and marks; together
+    twice ``DICTIONARY_BYTES``, since what a dictionary holds already may come again."""
+    some = rows.join(F.broadcast(draws), "lang").filter(F.pmod(F.xxhash64("text"), F.lit(DRAWS)) < F.col("draws"))
+    whole = F.octet_length("text") <= TEXT_BYTES[1]
+    total = F.when(whole, 1).otherwise(F.ceil(F.char_length("text") / PIECE_CHARS))
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE_CHARS}}}"), F.lit(0))
+    some = some.select("lang", total.alias("total"), F.posexplode(F.when(whole, F.array("text")).otherwise(cut)).alias("at", "piece"))
+    some = some.filter(F.pmod(F.col("at") * F.least("total", F.lit(most)), F.col("total")) < most)
+    words = F.trim(F.regexp_replace("piece", r"[^\p{L}\p{Nl}\p{No}]+", " "))
+    some = some.select("lang", words.alias("words")).filter(F.col("words").rlike(r"\p{L}")).distinct()
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("words"), "words")
+    some = some.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= DICTIONARY_BYTES)
+    before = F.sum(F.octet_length("words") + 2).over(first.rowsBetween(Window.unboundedPreceding, -1))
+    return some.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < 2 * DICTIONARY_BYTES)
 
 
 def identify(known: Languages, text: Column) -> Column:

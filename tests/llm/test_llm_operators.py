@@ -344,6 +344,28 @@ def test_language_of_special_rows(spark):
     assert nothing.identify("some text") == ("und", 0.0, False)
 
 
+def test_languages_of_short_and_of_long_texts_are_learned(spark):
+    """Beside a language with ordinary texts one with short posts only and one with books
+    only, which begin with a long table of numbers."""
+    random = np.random.default_rng(5)
+    words = {lang: ["".join(random.choice(list(letters), 6)) for _ in range(2000)] for lang, letters in (("en", "abcdefgh"), ("xs", "abcdefij"), ("xl", "abcdefkl"))}
+
+    def text(lang, n):
+        return " ".join(random.choice(words[lang], n))
+
+    rows = [(k, text("en", 120), "en") for k in range(300)]
+    rows += [(1000 + k, text("xs", 12), "xs") for k in range(4000)]
+    rows += [(6000 + k, "0 1 2 3 4 " * 600 + text("xl", 6000), "xl") for k in range(12)]
+    rows += [(7000 + k, "12 34", "no") for k in range(3)]
+    known = language.learn(materialize(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "docs"), "doc_id", "text", "lang")
+    assert known.names == ["xs", "en", "xl"]
+    assert all(language.DICTIONARY_BYTES - 4_000 <= len(content) <= language.DICTIONARY_BYTES for content in known.contents)
+    for lang in words:
+        for n in (30, 1000):
+            found, _, accepted = known.identify(text(lang, n))
+            assert (found, accepted) == (lang, True)
+
+
 # --- chat -----------------------------------------------------------------------------------------
 
 _ROLE = st.sampled_from(["user", "assistant", "system", "tool", "", "[/ROLE]"])
