@@ -152,3 +152,12 @@ def test_every_part_of_a_long_text_counts_for_its_language(spark):
             found, _, accepted = known.identify(text[:size])
             assert (found, accepted) == (lang, True), (lang, size)
     assert known.identify(own["en"][:250_000] + " " + own["de"][:750_000])[0] == "de"
+
+
+def test_near_duplicate_stage_groups_by_component_and_not_by_id(spark):
+    """Unlike or empty texts under one id all stay; of copies without an id one does."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(9)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, ""), (2, None), (None, c), (None, c), (None, c), (None, d), (5, d), (4, d)]
+    docs = materialize(spark.createDataFrame([(k, x, "en", "s", 1) for k, x in rows], "doc_id long, text string, lang string, source string, n_chars long"), "docs")
+    kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, SF_DIR).collect())
+    assert kept == Counter([(1, a), (1, b), (2, ""), (2, None), (None, c), (4, d)])
