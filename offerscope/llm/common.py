@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerscope.operators.joins import table_bytes
 from offerscope.session import materialize
@@ -27,6 +29,38 @@ def plain(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Rows of a file that a row number has room for.
+FILE_ROWS = 1 << 40
+
+
+def numbered(df: DataFrame, number: str) -> DataFrame:
+    """``df`` with a long column ``number``, different in each row and the same whenever
+    the result is read, however its scan is split then.
+
+    The rows of a table in parquet files are numbered by the place of their file among
+    the sorted file names and by their place in the file. Rows of anything else are
+    written once with their numbers. Driver memory: a name per file.
+    """
+    analyzed = df._jdf.queryExecution().analyzed()
+    if analyzed.getClass().getSimpleName() == "LogicalRelation" and df.inputFiles():
+        try:
+            meta = df.metadataColumn("_metadata")
+            path, at = meta["file_path"], meta["row_index"]
+            # a file that is read twice, say, has more rows than places
+            files = df.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("last")).collect()
+        except AnalysisException:  # no places in these files
+            files = None
+        if files is not None and all(row["n"] == row["last"] + 1 <= FILE_ROWS for row in files):
+            file, base = free_name(df, "file"), free_name(df, "base")
+            known = [(row["path"], k * FILE_ROWS) for k, row in enumerate(sorted(files, key=lambda row: row["path"]))]
+            bases = df.sparkSession.createDataFrame(known, T.StructType([T.StructField(file, T.StringType()), T.StructField(base, T.LongType())]))
+            placed = df.select("*", path.alias(file), at.alias(number))
+            # left, so that no row can be lost; every file has its base
+            placed = placed.join(F.broadcast(bases), file, "left")
+            return placed.select(*[plain(c) for c in df.columns], (plain(base) + plain(number)).alias(number))
+    return materialize(df.withColumn(number, F.monotonically_increasing_id()), "numbered")
+
+
 def measured_join(
     big: DataFrame,
     small: DataFrame,

@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerscope.llm.common import BROADCAST_BYTES, measured_join, plain
+from offerscope.llm.common import BROADCAST_BYTES, free_name, measured_join, numbered, plain
 from offerscope.session import materialize
 
 #: What stands between words once A-Z are lower case.
@@ -75,11 +75,12 @@ def contamination(
     item_text_col: str = "text",
     size: int = 10,
     limit: int = BROADCAST_BYTES,
-    keep_row: bool = False,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Per row of ``documents``: its id as ``doc_id``, ``n_words``, ``n_hit`` (words
     inside an occurring window), ``items`` (sorted ids of items with occurring
-    windows) and ``hits`` (start and end, exclusive, of each occurrence). With ``keep_row`` also ``row``, its number in the table's files.
+    windows) and ``hits`` (start and end, exclusive, of each occurrence). With ``row_col``,
+    a column that ``numbered`` made, also ``row``, the number there.
 
     Two passes over the texts. The first counts the shingles that windows have, over
     all documents; the second joins the documents' shingles with the rarest one of
@@ -103,8 +104,12 @@ def contamination(
     )
     widths = sorted(row[0] for row in tokens.select("width").distinct().collect())  # at most 1, 2, 3
 
+    keep_row = row_col is not None
+    if not keep_row:
+        row_col = free_name(documents, "row")
+        documents = numbered(documents, row_col)
     held = documents.select(
-        F.monotonically_increasing_id().alias("row"),
+        plain(row_col).alias("row"),
         plain(id_col).alias("doc_id"),
         words_of(plain(text_col)).alias("text_words"),
     )

@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from offerscope.llm import language
+from offerscope.llm import decontaminate, language, near_text
 from offerscope.llm import queries as Q
 from offerscope.session import materialize
 
@@ -161,3 +161,51 @@ def test_near_duplicate_stage_groups_by_component_and_not_by_id(spark):
     docs = materialize(spark.createDataFrame([(k, x, "en", "s", 1) for k, x in rows], "doc_id long, text string, lang string, source string, n_chars long"), "docs")
     kept = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, SF_DIR).collect())
     assert kept == Counter([(1, a), (1, b), (2, ""), (2, None), (None, c), (4, d)])
+
+
+def _resplit_after(spark, monkeypatch, module, name, before=False):
+    """Reads are split otherwise from the (first) call of a function on."""
+    original = getattr(module, name)
+
+    def call(*args, **named):
+        if before:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        found = original(*args, **named)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        return found
+
+    monkeypatch.setattr(module, name, call)
+
+
+@pytest.fixture
+def many_files(spark):
+    """A table of 24 files in one partition, and its texts; reads are put back in the end."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(24)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    spark.conf.set("spark.sql.files.maxPartitionNum", "1")
+    yield materialize(docs, "many")
+    for key in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum", "maxPartitionNum"):
+        spark.conf.unset(f"spark.sql.files.{key}")
+
+
+def test_near_duplicates_when_reads_are_split_otherwise_in_between(spark, tables, many_files, monkeypatch):
+    assert many_files.rdd.getNumPartitions() == 1
+    spark.conf.unset("spark.sql.files.maxPartitionNum")
+    _resplit_after(spark, monkeypatch, near_text, "_sets", before=True)
+    found = near_text.digest(near_text.similar_documents(many_files, size=2))
+    assert compare.differences(found, tables, Q.ORACLES["op2_near_duplicates"]) == []
+
+
+@pytest.mark.parametrize(
+    ("stage", "module", "name"),
+    [("one_of_each_group", near_text, "similar_documents"), ("without_benchmarks", decontaminate, "contamination")],
+)
+def test_pipeline_stages_when_reads_are_split_otherwise_in_between(spark, many_files, monkeypatch, stage, module, name):
+    run = getattr(corpus_pipeline, stage)
+    right = sorted(r["doc_id"] for r in run(spark, many_files, SF_DIR).collect())
+    assert 0 < len(right) < many_files.count()
+    spark.conf.unset("spark.sql.files.maxPartitionNum")
+    _resplit_after(spark, monkeypatch, module, name)
+    assert sorted(r["doc_id"] for r in run(spark, many_files, SF_DIR).collect()) == right
