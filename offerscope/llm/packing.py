@@ -33,7 +33,7 @@ BATCH_TEXTS = 256
 
 
 def cut_pieces(
-    documents: DataFrame, tokenizer: str, id_col: str, text_col: str, length: int, end_id: int
+    documents: DataFrame, tokenizer: str, id_col: str, text_col: str, length: int, end_id: int, plain_controls: bool = False
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids``: the token ids of each document and then
     ``end_id``, cut every ``length`` ids. ``ids`` are little-endian unsigned 32 bits."""
@@ -46,7 +46,7 @@ def cut_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, plain_controls).encode
         step = 4 * length
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_TEXTS):
@@ -137,6 +137,7 @@ def pack_documents(
     length: int = 2048,
     end_id: int = 0,
     group_pieces: int = GROUP_PIECES,
+    plain_controls: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """The pieces with their ``ids``, and their places: ``sequence_id`` and ``offset``;
     both stored, with one row per piece and ``uid`` in common.
@@ -144,7 +145,7 @@ def pack_documents(
     Texts are tokenised once, where they lie; only lengths are shuffled to be placed.
     """
     spark = documents.sparkSession
-    pieces = cut_pieces(documents, tokenizer, id_col, text_col, length, end_id)
+    pieces = cut_pieces(documents, tokenizer, id_col, text_col, length, end_id, plain_controls)
     path, placed = scratch_path(spark, "pieces"), scratch_path(spark, "places")
     pieces.withColumn("uid", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     pieces = spark.read.parquet(path)

@@ -137,6 +137,7 @@ def write_token_files(
     text_col: str = "text",
     end_id: int = 2,
     width: int = 2,
+    plain_controls: bool = False,
 ) -> DataFrame:
     """Write the documents in ascending order of their long ids; returns the table of
     the files: ``part, file, n_docs, n_ids, start`` (ids in the files before).
@@ -153,7 +154,7 @@ def write_token_files(
     tail = end_id.to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer, part, count = encoder(tokenizer).encode, None, TaskContext.get().partitionId(), 0
+        encode, writer, part, count = encoder(tokenizer, plain_controls).encode, None, TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_TEXTS):
                 some = batch.slice(at, BATCH_TEXTS)

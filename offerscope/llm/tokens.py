@@ -3,7 +3,9 @@
 The tokenizers library encodes every distinct word once per worker and its ids are
 put together from a bounded cache. That is exact where the file's own rules cut the
 text at the same places: ``_cuts`` recognises the two pre-tokenizers for which it
-holds; texts of any other file are encoded whole.
+holds; texts of any other file are encoded whole, and so are texts that hold an added token
+such as ``<|endoftext|>``. That gets its own id, as the library has it, unless the caller
+wants control strings in a text to be plain text.
 """
 
 from __future__ import annotations
@@ -68,16 +70,20 @@ def _cuts(spec: dict) -> tuple[Callable[[str], list[str]], bool] | None:
 class Encoder:
     """Encodes texts to the little-endian unsigned 32-bit bytes of their ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_controls: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings in a text are text
+        self.tokenizer.encode_special_tokens = plain_controls
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.cut = None if spec.get("truncation") or spec.get("post_processor") else _cuts(spec)
+        added = [t for t in spec.get("added_tokens") or [] if not (plain_controls and t.get("special"))]
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added)) if added else None
+        # a normalized one is found in texts that do not hold it as it stands
+        known = any(t.get("normalized") for t in added)
+        self.cut = None if known or spec.get("truncation") or spec.get("post_processor") else _cuts(spec)
         self.keeps = self.cut is not None and self.cut[1]
         self.words: dict[str, bytes] = {}
         self.model = Tokenizer(self.tokenizer.model)
@@ -144,6 +150,9 @@ class Encoder:
         get = self.words.__getitem__
         parts, new = [], set()
         for text in texts:
+            if self.added and self.added.search(text):
+                parts.append(None)
+                continue
             words = cut(text)
             parts.append(words)
             new |= set(words).difference(self.words)
@@ -152,7 +161,7 @@ class Encoder:
         self._learn(fresh)
         out = []
         for text, words in zip(texts, parts):
-            if odd and not odd.isdisjoint(words):
+            if words is None or odd and not odd.isdisjoint(words):
                 out.append(self.whole([text])[0])
             else:
                 out.append(b"".join(map(get, words)))
@@ -162,9 +171,9 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file."""
-    held = worker_state()
-    if ("encoder", path) not in held:
-        held["encoder", path] = Encoder(path)
-    return held["encoder", path]
+def encoder(path: str, plain_controls: bool = False) -> Encoder:
+    """One encoder per worker process, file and option."""
+    held, key = worker_state(), ("encoder", path, plain_controls)
+    if key not in held:
+        held[key] = Encoder(path, plain_controls)
+    return held[key]

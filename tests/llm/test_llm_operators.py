@@ -76,6 +76,19 @@ _ENCODERS = {}
 # --- WARC ------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_added_tokens_have_the_ids_that_the_library_gives(path):
+    from tokenizers import Tokenizer
+
+    texts = ["one<|endoftext|>two three", "<|startoftext|> a <|endoftext|>", "plain one", "<|EndOfText|> <|endoftext |>", "x <|endoftext|>", None]
+    for plain in (False, True):
+        library = Tokenizer.from_file(path)
+        library.encode_special_tokens = plain
+        right = [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+        found = Encoder(path, plain).encode(texts) if plain else Encoder(path).encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == right
+
+
 def test_warc_revisits_and_splits(spark):
     big, other = "é" * 700, "z" * 2000
     pages = [(1, "http://a/ü", big), (2, None, big), (3, "u", big), (3, "u", big), (None, "n", big), (4, "v", None), (5, "v", "é"), (6, "v", "é"), (7, "w\r\nx", other)]
