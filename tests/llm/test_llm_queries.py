@@ -1,6 +1,8 @@
 """The registered queries against SQL, brute force, round trips and held-out labels."""
 
+import itertools
 import json
+import re
 import zlib
 from collections import Counter
 
@@ -11,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from offerscope.llm import decontaminate, language, near_text
+from offerscope.llm import decontaminate, language, near_text, quality
 from offerscope.llm import queries as Q
 from offerscope.session import materialize
 
@@ -209,3 +211,69 @@ def test_pipeline_stages_when_reads_are_split_otherwise_in_between(spark, many_f
     spark.conf.unset("spark.sql.files.maxPartitionNum")
     _resplit_after(spark, monkeypatch, module, name)
     assert sorted(r["doc_id"] for r in run(spark, many_files, SF_DIR).collect()) == right
+
+
+def _kept_quality(spark, docs, texts):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model, made = quality.train(docs, labels, "doc_id", "text", "quality", ["n_chars"]), quality.features()
+    kept = []
+    for row in docs.select("doc_id", "text", "n_chars").collect():
+        buckets, statistics = made.of(row["text"])
+        if model.score(buckets, np.array([*statistics, row["n_chars"]], dtype=np.float64)) >= corpus_pipeline.QUALITY:
+            kept.append(row["doc_id"])
+    return kept
+
+
+def _kept_language(spark, docs, texts):
+    known = language.learn(docs, "doc_id", "text", "lang")
+    return [k for k, text in texts.items() if known.identify(text)[2]]
+
+
+def _kept_near_duplicates(spark, docs, texts):
+    sets, part = {}, {k: k for k in texts}
+    for k, text in texts.items():
+        words = text.encode().lower().split()
+        size = min(5, len(words))
+        sets[k] = {tuple(words[at : at + size]) for at in range(len(words) - size + 1)} if words else set()
+    for a, b in itertools.combinations(sorted(texts), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+            old, new = max(part[a], part[b]), min(part[a], part[b])
+            part = {k: new if x == old else x for k, x in part.items()}
+    return [k for k, x in part.items() if k == x]
+
+
+def _kept_decontamination(spark, docs, texts):
+    def words(text):
+        lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+        return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower) if w]
+
+    windows = set()
+    for row in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("text").collect():
+        item = words(row["text"])
+        windows |= {tuple(item[at : at + 10]) for at in range(max(1, len(item) - 9)) if item}
+
+    def hit(text):
+        own = words(text)
+        return any(tuple(own[at : at + n]) in windows for n in {len(w) for w in windows} for at in range(len(own) - n + 1))
+
+    return [k for k, text in texts.items() if not hit(text)]
+
+
+@pytest.mark.parametrize(
+    ("stage", "right"),
+    [("quality", _kept_quality), ("language", _kept_language), ("near_duplicates", _kept_near_duplicates), ("decontamination", _kept_decontamination)],
+)
+def test_pipeline_stage_keeps_the_rows_of_brute_force(spark, stage, right):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)[stage](spark, docs, SF_DIR).select("doc_id").collect()
+    expected = sorted(right(spark, docs, _texts(spark)))
+    assert sorted(r[0] for r in kept) == expected and 0 < len(expected) < docs.count()
+
+
+def test_pipeline_packs_all_ids_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF_DIR).collect()
+    ids = _ids(_texts(spark), "word_bpe_49k.json", 0)
+    right = [(k, at, _crc(own[at : at + 2048])) for k, own in ids.items() for at in range(0, len(own), 2048)]
+    assert sorted((r["doc_id"], r["start"], r["ids_crc32"]) for r in rows) == sorted(right)
