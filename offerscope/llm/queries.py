@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerscope.llm import (
+    byte_pairs,
     chat,
     decontaminate,
     language,
+    merkle,
     near_text,
     near_vectors,
     packing,
+    prefix_trie,
     quality,
     resharding,
     token_files,
@@ -217,3 +220,107 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(quality.remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
         language.identify(known, F.col("text")).alias("found"),
     ).select("doc_id", "held_out", "found.*")
+
+
+def _crc32(number: str) -> str:
+    """CRC-32 of a number's decimal text, in SQL."""
+    bits = "list_reduce(list_prepend(xor(c, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]), lambda x, k: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    letters = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda l: CAST(ord(l) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {letters}), lambda c, b: {bits}), 4294967295)"
+
+
+@query(
+    f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, octet_length(encode(coalesce(text, ''))) AS size,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) AS n FROM said),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS family, {_crc32('conv_id')} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS own, n, id, size FROM c JOIN t ON t.conv_id = family AND n <= h
+  UNION ALL SELECT c.conv_id, 1, n, id, size FROM c JOIN t ON t.conv_id = c.conv_id AND n > h),
+s AS (
+  SELECT c.conv_id, coalesce(any_value(ids), []) AS ids, coalesce(any_value(sizes), []) AS sizes FROM c
+  LEFT JOIN (SELECT conv_id, list(id ORDER BY own, n) AS ids, list(size ORDER BY own, n) AS sizes FROM r GROUP BY conv_id) USING (conv_id)
+  GROUP BY c.conv_id),
+m AS (SELECT conv_id, ids, sizes, unnest(range(0, len(ids) + 1)) AS depth FROM s),
+node AS (
+  SELECT list_slice(ids, 1, depth) AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(any_value(sizes[depth]), 0) AS size,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ids) = depth) AS ends
+  FROM m GROUP BY ALL),
+kids AS (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+below AS (
+  SELECT list_slice(path, 1, up) AS path, sum(leaf) AS leaves, sum((n_convs - 1) * size) AS saved
+  FROM (SELECT node.path, depth, n_convs, size, CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, depth + 1)) AS up
+        FROM node LEFT JOIN kids ON kids.path = node.path) GROUP BY ALL)
+SELECT node.conv_id, node.depth, above.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN below ON below.path = node.path LEFT JOIN kids ON kids.path = node.path
+LEFT JOIN node above ON node.depth > 0 AND above.depth = node.depth - 1 AND above.path = list_slice(node.path, 1, node.depth - 1)"""
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), regroup=True).drop("turn_id")
+
+
+@query()
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_pairs.encode_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return byte_pairs.digest(coded, vocabulary, public_tokenizers.PATTERN)
+
+
+def _part(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, lang, {_leaf('text')} AS leaf,
+         CASE WHEN text IS NOT NULL AND {_crc32('doc_id')} % 3 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf('text')} END AS other
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM d),
+up(lang, level, place, n, h) AS (
+  SELECT lang, 0, place, n, leaf FROM l
+  UNION ALL SELECT lang, level + 1, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM up
+  WHERE n > 1 GROUP BY lang, level, place // 8, n),
+s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM up WHERE n = 1),
+top(level, place, n, h) AS (
+  SELECT 0, place, n, h FROM s
+  UNION ALL SELECT level + 1, place // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM top
+  WHERE n > 1 GROUP BY level, place // 8, n),
+f(row_no, lang, level, place, h, proof) AS (
+  SELECT row_no, lang, 0, place, other, '' FROM l
+  UNION ALL
+  SELECT f.row_no, f.lang, f.level + 1, f.place // 8,
+         sha256(string_agg(CASE WHEN up.place = f.place THEN f.h ELSE up.h END, '' ORDER BY up.place)),
+         f.proof || coalesce(string_agg(up.h, '' ORDER BY up.place) FILTER (up.place <> f.place), '')
+  FROM f JOIN up ON up.lang IS NOT DISTINCT FROM f.lang AND up.level = f.level AND up.place // 8 = f.place // 8 AND up.n > 1
+  GROUP BY f.row_no, f.lang, f.level, f.place, f.h, f.proof),
+g(row_no, level, place, h, proof) AS (
+  SELECT e.row_no, 0, s.place, e.h, e.proof
+  FROM (SELECT row_no, lang, arg_max(h, level) AS h, arg_max(proof, level) AS proof FROM f GROUP BY row_no, lang) e
+  JOIN s ON s.lang IS NOT DISTINCT FROM e.lang
+  UNION ALL
+  SELECT g.row_no, g.level + 1, g.place // 8,
+         sha256(string_agg(CASE WHEN top.place = g.place THEN g.h ELSE top.h END, '' ORDER BY top.place)),
+         g.proof || coalesce(string_agg(top.h, '' ORDER BY top.place) FILTER (top.place <> g.place), '')
+  FROM g JOIN top ON top.level = g.level AND top.place // 8 = g.place // 8 AND top.n > 1
+  GROUP BY g.row_no, g.level, g.place, g.h, g.proof),
+e AS (SELECT row_no, arg_max(h, level) AS folded_root, sha256(arg_max(proof, level)) AS proof_sha256 FROM g GROUP BY row_no)
+SELECT doc_id, leaf, s.h AS subroot, top.h AS root, proof_sha256, folded_root, folded_root = top.h AS verified
+FROM d JOIN e USING (row_no) JOIN s ON s.lang IS NOT DISTINCT FROM d.lang JOIN top ON top.n = 1"""
+)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.manifest(table(spark, sf_dir, "documents")))
