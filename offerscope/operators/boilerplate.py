@@ -6,15 +6,12 @@ aligned arrays), ``key``, ``n_docs`` (offers of the firm that hold the key).
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerscope.functions import text as X
 from offerscope.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from offerscope.operators.key_clusters import cluster_keys
 from offerscope.operators.sampling import keep_first_by_hash
 from offerscope.session import materialize
 
@@ -79,10 +76,12 @@ def cap_offers(segmented: DataFrame, cap: int, seed: int = 0) -> DataFrame:
 
 def _distinct_keys(segmented: DataFrame) -> DataFrame:
     """One row per offer and distinct key: duplicates go inside the row, so no
-    shuffle is needed for them."""
+    shuffle is needed for them. ``_row`` tells offers apart, whose ids may be null or
+    shared."""
     return (
         segmented.filter(F.col("firm") != "")
-        .select("firm", "offer_id", F.explode(F.array_distinct("keys")).alias("key"))
+        .withColumn("_row", F.monotonically_increasing_id())
+        .select("firm", "_row", F.explode(F.array_distinct("keys")).alias("key"))
         .filter(F.col("key") != "")
     )
 
@@ -129,129 +128,7 @@ def _exact_drop_keys(
     return (frequent if max_keys is None else top_keys(frequent, max_keys)).select("firm", "key")
 
 
-# --- clustering ---------------------------------------------------------------
-
-GRAM_BUCKETS = 512
-GRAM_ROWS = 256
-
-
-def _gram_counts(keys: list[str]) -> np.ndarray:
-    """Hashed counts of character pairs, one row per key."""
-    counts = np.zeros((len(keys), GRAM_BUCKETS), dtype=np.float32)
-    for row, key in enumerate(keys):
-        codes = np.fromiter(map(ord, key), dtype=np.int64, count=len(key))
-        pairs = (codes[:-1] * 1000003 + codes[1:] * 8191) % GRAM_BUCKETS
-        np.add.at(counts[row], pairs, 1)
-    return counts
-
-
-def edit_distance(a: str, b: str, limit: int) -> int:
-    """Levenshtein distance, or ``limit + 1`` when it is larger.
-
-    One column of the distance table is a pair of long integers whose bits say
-    where the next cell is one more or one less, so a column costs a few integer
-    operations whatever the length of ``a``.
-    """
-    if abs(len(a) - len(b)) > limit:
-        return limit + 1
-    if not a or not b:
-        return max(len(a), len(b))
-    places: dict[str, int] = {}
-    for i, char in enumerate(a):
-        places[char] = places.get(char, 0) | (1 << i)
-    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    more, less, distance = full, 0, len(a)
-    for left, char in enumerate(b, 1 - len(b)):
-        same = places.get(char, 0)
-        diagonal = same | less
-        across = (((same & more) + more) ^ more) | same
-        up = less | (full & ~(across | more))
-        down = more & across
-        distance += bool(up & last) - bool(down & last)
-        if distance + left > limit:
-            return limit + 1
-        up = (up << 1) | 1
-        more = ((down << 1) | ~(diagonal | up)) & full
-        less = up & diagonal & full
-    return distance
-
-
-def similar(a: str, b: str, threshold: float) -> bool:
-    """Normalised Levenshtein similarity of at least ``threshold``."""
-    longest = max(len(a), len(b))
-    limit = math.floor((1 - threshold) * longest + 1e-9)
-    return 1 - edit_distance(a, b, limit) / longest >= threshold
-
-
-def _candidates(keys: list[str], threshold: float) -> dict[int, list[int]]:
-    """For each key the earlier keys that may be similar, in order.
-
-    Two bounds that no similar pair breaks: the lengths differ by at most the
-    allowed distance, and each edit spoils at most two character pairs. The dot
-    product of two count vectors is never below the pairs they share and is quick
-    to take for whole blocks; the shared count itself is taken for what remains.
-    """
-    counts = _gram_counts(keys)
-    lengths = np.array([len(k) for k in keys])
-    by_length = np.argsort(lengths, kind="stable")
-    sorted_lengths = lengths[by_length]
-    earlier: dict[int, list[int]] = {}
-    for start in range(0, len(keys), GRAM_ROWS):
-        rows = by_length[start : start + GRAM_ROWS]
-        longest = math.floor(lengths[rows].max() / threshold + 1e-9)
-        columns = by_length[start : np.searchsorted(sorted_lengths, longest, side="right")]
-        longer = np.maximum(lengths[rows][:, None], lengths[columns][None, :])
-        allowed = np.floor((1 - threshold) * longer + 1e-9)
-        close = np.abs(lengths[rows][:, None] - lengths[columns][None, :]) <= allowed
-        needed = longer - 1 - 2 * allowed
-        close &= counts[rows] @ counts[columns].T >= needed
-        for left in range(len(rows)):
-            right = np.nonzero(close[left])[0]
-            shared = np.minimum(counts[rows[left]], counts[columns[right]]).sum(axis=1)
-            for other in columns[right[shared >= needed[left, right]]]:
-                first, second = sorted((int(rows[left]), int(other)))
-                if first != second:
-                    earlier.setdefault(second, []).append(first)
-    return {key: sorted(set(found)) for key, found in earlier.items()}
-
-
-def leader_clusters(keys: list[str], threshold: float) -> list[int]:
-    """Position of each key's representative: the first earlier representative
-    that is similar, otherwise the key itself."""
-    candidates = _candidates(keys, threshold)
-    leader: list[int] = []
-    for position, key in enumerate(keys):
-        found = position
-        for earlier in candidates.get(position, ()):
-            if leader[earlier] == earlier and similar(key, keys[earlier], threshold):
-                found = earlier
-                break
-        leader.append(found)
-    return leader
-
-
-def cluster_keys(frequency: DataFrame, threshold: float = SIM_THRESHOLD) -> DataFrame:
-    """``firm, key, n_docs, cluster_id, rep, n_members`` for the keys of each firm.
-
-    The greedy rule depends on the order of all keys, so a firm's distinct keys are
-    settled together, in one task.
-    """
-
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_docs", "key"], ascending=[False, True])
-        keys = group["key"].tolist()
-        leader = leader_clusters(keys, threshold)
-        number = {lead: i for i, lead in enumerate(dict.fromkeys(leader))}
-        out = group[["firm", "key", "n_docs"]].copy()
-        out["cluster_id"] = [number[lead] for lead in leader]
-        out["rep"] = [keys[lead] for lead in leader]
-        out["n_members"] = out.groupby("cluster_id")["key"].transform("size")
-        return out
-
-    return frequency.select("firm", "key", "n_docs").groupBy("firm").applyInPandas(
-        settle,
-        "firm string, key string, n_docs long, cluster_id int, rep string, n_members long",
-    )
+# --- clusters ---------------------------------------------------------------------
 
 
 def _clusters(frequency: DataFrame, max_keys: int | None, threshold: float) -> DataFrame:
@@ -271,7 +148,7 @@ def cluster_document_frequency(segmented: DataFrame, clusters: DataFrame) -> Dat
     members = clusters.filter(F.col("n_members") > 1).select("firm", "key", "cluster_id")
     hits = lookup_join(_distinct_keys(segmented), members, ["firm", "key"])
     several = (
-        hits.groupBy("firm", "cluster_id", "offer_id")
+        hits.groupBy("firm", "cluster_id", "_row")
         .agg(F.lit(1).alias("one"))
         .groupBy("firm", "cluster_id")
         .agg(F.count("*").alias("df_offers"))

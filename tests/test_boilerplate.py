@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from offerscope.operators import boilerplate as B
 from offerscope.operators import joins
+from offerscope.operators import key_clusters as K
 from offerscope.session import materialize
 
 
@@ -34,13 +35,13 @@ def direct_leaders(keys, threshold):
     return found
 
 
-def test_edit_distance():
+@pytest.mark.parametrize("threshold", [0.88, 0.7, 0.5])
+def test_similar_keys(spark, threshold):
     rng = random.Random(3)
-    for _ in range(2000):
-        a, b = ("".join(rng.choices("abc", k=rng.randint(0, 12))) for _ in range(2))
-        expected = direct_distance(a, b)
-        for limit in (0, 2, 5, 12):
-            assert B.edit_distance(a, b, limit) == min(expected, limit + 1)
+    pairs = [tuple("".join(rng.choices("abc", k=rng.randint(1, 12))) for _ in range(2)) for _ in range(2000)]
+    found = spark.createDataFrame(pairs, "a string, b string").select("a", "b", K.similar("a", "b", threshold).alias("s"))
+    for a, b, s in found.collect():
+        assert s == (1 - direct_distance(a, b) / max(len(a), len(b)) >= threshold)
 
 
 def near_copies(rng, n):
@@ -54,11 +55,45 @@ def near_copies(rng, n):
     return list(dict.fromkeys(keys))
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_leaders_follow_the_greedy_rule(seed):
-    keys = near_copies(random.Random(seed), 300)
-    for threshold in (0.88, 0.7):
-        assert B.leader_clusters(keys, threshold) == direct_leaders(keys, threshold)
+@pytest.mark.parametrize("threshold", [0.88, 0.7])
+def test_leaders_follow_the_greedy_rule(spark, threshold):
+    firms, rows = {}, []
+    for seed in range(4):
+        rng = random.Random(seed)
+        keys = near_copies(rng, 200)
+        if seed == 1:  # long keys, over several pieces and widths of bucket
+            base = "".join(rng.choices("abcdefgh é", k=700))
+            keys += [base[:k] + "xyz"[: k % 4] + base[k + k % 9 :] for k in range(0, 700, 45)]
+            keys += [base[j : j + 130] + "q" * (j % 3) for j in range(0, 20)]
+        counts = {key: rng.randint(1, 3) for key in keys}
+        firms[f"f{seed}"] = sorted(counts, key=lambda key: (-counts[key], key))
+        rows += [(f"f{seed}", key, n) for key, n in counts.items()]
+    frame = materialize(spark.createDataFrame(rows, "firm string, key string, n_docs long").repartition(3), "keys")
+    found = {(r["firm"], r["key"]): r for r in K.cluster_keys(frame, threshold).collect()}
+    assert len(found) == len(rows)
+    for firm, keys in firms.items():
+        leaders = direct_leaders(keys, threshold)
+        numbers = {lead: n for n, lead in enumerate(dict.fromkeys(leaders))}
+        for key, lead in zip(keys, leaders):
+            row = found[firm, key]
+            assert (row["rep"], row["cluster_id"], row["n_members"]) == (keys[lead], numbers[lead], leaders.count(lead))
+        assert any(leaders.count(lead) > 2 for lead in leaders)
+
+
+def test_no_keys_have_no_clusters(spark):
+    frame = materialize(spark.createDataFrame([], "firm string, key string, n_docs long"), "keys")
+    assert K.cluster_keys(frame, 0.88).collect() == []
+
+
+@pytest.mark.parametrize("ids", [(1, 2, 3, 4), (None, None, None, None), (7, 7, 7, 7)])
+def test_offers_are_counted_by_row_whatever_their_ids(spark, ids):
+    texts = ["Nous recrutons des personnes motivees a Lyon.", "Nous recrutons des personnes motivees a Lyom.",
+             "Nous recrutons des personnes motivees a Lyo.", "Nous recrutons des personnes motives a Lyon."]
+    frame = spark.createDataFrame(list(zip(ids, texts, ["f"] * 4)), "id int, text string, firm string")
+    segmented = B.segment_offers(frame, "id", "text", "firm")
+    report = B.boilerplate_report(segmented).collect()
+    assert [(r["df_offers"], r["n_members"], r["share"]) for r in report] == [(4, 4, 1.0)]
+    assert B.learn_boilerplate(segmented, min_count=4).count() == 4
 
 
 def offers_frame(spark, seed=0):
