@@ -29,6 +29,15 @@ def hash_order(id_col: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
+def row_order(df: DataFrame, id_col: str, seed: int) -> Column:
+    """The hash order of ids, and within it of whole rows; a row without an id is drawn
+    by its content. Only equal rows have equal places (columns with maps, which have no
+    hash, aside)."""
+    hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    own = F.lpad(F.hex(F.xxhash64(*hashed)), 16, "0")
+    return F.concat(hash_order(F.coalesce(F.col(id_col).cast("string"), own), seed), own)
+
+
 def _prefix_ends(hashed: DataFrame, groups: list[str]) -> DataFrame:
     """Rows per group and hash prefix, with the running total."""
     prefix = Window.partitionBy(*groups).orderBy("_prefix")
@@ -43,8 +52,9 @@ def hash_cuts(hashed: DataFrame, groups: list[str], quotas: DataFrame) -> DataFr
     """The hash of the ``_quota``-th row per group and quota.
 
     ``hashed`` has the group columns and ``_hash``; ``quotas`` the group columns
-    and ``_quota`` (1 or more, at most the group's size), materialised. The
-    result adds ``_cut``.
+    and ``_quota`` (1 or more, at most the group's size), materialised. The result
+    adds ``_cut``, and of the ``_same`` rows with that hash, ``_take`` are among the
+    first ``_quota``.
     """
     ends = _prefix_ends(hashed, groups)
     located = materialize(
@@ -60,38 +70,60 @@ def hash_cuts(hashed: DataFrame, groups: list[str], quotas: DataFrame) -> DataFr
     )
     order = Window.partitionBy(*groups, "_quota").orderBy("_hash")
     return (
-        inside.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") == F.col("_nth"))
-        .select(*groups, "_quota", F.col("_hash").alias("_cut"))
+        inside.groupBy(*groups, "_quota", "_nth", "_hash")
+        .agg(F.count("*").alias("_same"))
+        .withColumn("_sum", F.sum("_same").over(order))
+        .withColumn("_take", F.col("_nth") - F.col("_sum") + F.col("_same"))
+        .filter((F.col("_take") > 0) & (F.col("_take") <= F.col("_same")))
+        .select(*groups, "_quota", F.col("_hash").alias("_cut"), "_take", "_same")
     )
 
 
+def _up_to_cuts(df: DataFrame, groups: list[str], cuts: DataFrame, how: str) -> DataFrame:
+    """Rows of ``df`` (with ``_hash``) up to their group's cut; without one all (``how``: left)
+    or none (inner). ``cuts`` is materialised. Rows at a cut are equal, so where not all
+    of them are wanted one of them stands for the copies."""
+    held = [name for name in df.columns if name != "_hash"]
+    placed = lookup_join(df, cuts.select(*groups, "_cut", "_take", "_same"), groups, how)
+    at_cut = F.col("_hash") == F.col("_cut")
+    too_many = at_cut & (F.col("_take") < F.col("_same"))
+    whole = placed.filter(F.col("_cut").isNull() | ((F.col("_hash") <= F.col("_cut")) & ~too_many)).select(*held)
+    if cuts.filter(F.col("_take") < F.col("_same")).isEmpty():
+        return whole
+    copies = (
+        placed.filter(too_many)
+        .groupBy(*groups)
+        .agg(F.first(F.struct(*held)).alias("_row"), F.first("_take").alias("_take"))
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), "_take")))
+    )
+    return whole.unionByName(copies.select("_row.*"))
+
+
 def keep_first_by_hash(
     df: DataFrame, groups: list[str], id_col: str, cap: int, seed: int
 ) -> DataFrame:
-    """At most ``cap`` rows of each group; groups within the cap stay whole."""
-    hashed = df.select(*groups, hash_order(id_col, seed).alias("_hash"))
+    """At most ``cap`` rows of each group, whatever ids are null or repeated; groups
+    within the cap, and rows of no group, stay whole."""
+    placed = df.withColumn("_hash", row_order(df, id_col, seed))
+    hashed = materialize(placed.select(*groups, "_hash"), "hashes")
     large = hashed.groupBy(*groups).agg(F.count("*").alias("_size")).filter(F.col("_size") > cap)
     quotas = materialize(large.select(*groups, F.lit(cap).alias("_quota")), "caps")
     hashed = lookup_join(hashed, quotas.select(*groups), groups, "left_semi")
-    cuts = materialize(hash_cuts(hashed, groups, quotas).select(*groups, "_cut"), "cap-cuts")
-    return (
-        lookup_join(df.withColumn("_hash", hash_order(id_col, seed)), cuts, groups, "left")
-        .filter(F.col("_cut").isNull() | (F.col("_hash") <= F.col("_cut")))
-        .drop("_hash", "_cut")
-    )
+    cuts = materialize(hash_cuts(hashed, groups, quotas), "cap-cuts")
+    return _up_to_cuts(placed, groups, cuts, "left")
 
 
 def sample_fraction(df: DataFrame, fraction: float, id_col: str, seed: int = 42) -> DataFrame:
-    """Exactly ``round(fraction * rows)`` rows, half to even."""
-    total = df.count()
-    wanted = round(fraction * total)
+    """Exactly ``round(fraction * rows)`` rows, half to even, whatever ids are null or
+    repeated."""
+    placed = df.withColumn("_all", F.lit(0)).withColumn("_hash", row_order(df, id_col, seed))
+    hashed = materialize(placed.select("_all", "_hash"), "hashes")
+    wanted = round(fraction * hashed.count())
     if wanted <= 0:
         return df.limit(0)
-    hashed = df.select(F.lit(0).alias("_all"), hash_order(id_col, seed).alias("_hash"))
     quota = df.sparkSession.createDataFrame([(0, wanted)], "_all int, _quota long")
-    cut = hash_cuts(hashed, ["_all"], quota).first()["_cut"]
-    return df.filter(hash_order(id_col, seed) <= cut)
+    cuts = materialize(hash_cuts(hashed, ["_all"], quota), "cuts")
+    return _up_to_cuts(placed, ["_all"], cuts, "inner").drop("_all")
 
 
 # --- stratified draw -------------------------------------------------------------
@@ -126,12 +158,14 @@ def stratified_sample(
     seed: int = 42,
 ) -> DataFrame:
     """``n`` offers with long enough text, spread over occupation domains; adds
-    ``rome_domain``. There are at most 27 domains, so quotas and cut-offs are
-    small enough for the driver and for literals in the filter."""
+    ``rome_domain``. Null and repeated ids do not change the number. There are at most
+    27 domains, so their counts and quotas are small enough for the driver."""
     valid = offers.filter(
         F.length(F.coalesce(F.col(text_col), F.lit(""))) >= min_text_len
     ).withColumn("rome_domain", X.occupation_domain(F.col(code_col)))
-    counts = {r["rome_domain"]: r["count"] for r in valid.groupBy("rome_domain").count().collect()}
+    placed = valid.withColumn("_hash", row_order(offers, id_col, seed))
+    hashed = materialize(placed.select("rome_domain", "_hash"), "hashes")
+    counts = {r["rome_domain"]: r["count"] for r in hashed.groupBy("rome_domain").count().collect()}
     if sum(counts.values()) < n:
         raise ValueError(f"only {sum(counts.values())} offers are long enough, {n} wanted")
     quotas = {
@@ -139,13 +173,11 @@ def stratified_sample(
     }
     if not quotas:
         return valid.limit(0)
-    hashed = valid.select("rome_domain", hash_order(id_col, seed).alias("_hash"))
     wanted = offers.sparkSession.createDataFrame(
         list(quotas.items()), "rome_domain string, _quota long"
     )
-    cuts = {r["rome_domain"]: r["_cut"] for r in hash_cuts(hashed, ["rome_domain"], wanted).collect()}
-    cut = F.create_map(*[F.lit(v) for pair in cuts.items() for v in pair])[F.col("rome_domain")]
-    return valid.filter(hash_order(id_col, seed) <= cut)
+    cuts = materialize(hash_cuts(hashed, ["rome_domain"], wanted), "cuts")
+    return _up_to_cuts(placed, ["rome_domain"], cuts, "inner").select(*valid.columns)
 
 
 def stratum_distribution(df: DataFrame, stratum_col: str) -> DataFrame:

@@ -173,6 +173,53 @@ def test_arrivals_are_done_once(spark):
     assert sorted((r["id"], r["a"]) for r in rows) == [(i, i % 2) for i in range(15)]
 
 
+def test_arrivals_without_an_id_all_stay(spark):
+    source, store, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+    for rows in ([(None, "a"), (None, "a"), (1, "b"), (1, "c")], [(None, "a"), (1, "d"), (2, "e")]):
+        spark.createDataFrame(rows, "id int, text string").coalesce(1).write.mode("append").parquet(source)
+        stream = I.arriving_offers(spark, source, spark.createDataFrame(rows, "id int, text string").schema)
+        I.process_arrivals(stream, "id", lambda batch: batch, store, progress).awaitTermination()
+    found = I.read_results(spark, store).collect()
+    assert sorted(str(r["id"]) for r in found) == ["1", "2", "None", "None", "None"]
+    assert [r["text"] for r in found if r["id"] is None] == ["a"] * 3
+
+
+def test_a_batch_that_breaks_is_repeated_whole(spark):
+    source, store, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+    fails = [True]
+
+    def transform(batch):
+        if fails[0] and batch.filter("id >= 10").count():
+            batch.limit(1).write.mode("overwrite").parquet(f"{store}/batch=1")  # cut off in the middle
+            raise RuntimeError("lost")
+        return batch
+
+    def run():
+        I.process_arrivals(I.arriving_offers(spark, source, offers(spark).schema, 8), "id", transform, store, progress).awaitTermination()
+
+    offers(spark, 10).coalesce(1).write.parquet(source)
+    run()
+    offers(spark, 15).coalesce(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    fails[0] = False
+    run()
+    assert sorted(r["id"] for r in I.read_results(spark, store).collect()) == list(range(15))
+
+
+def test_an_old_id_is_forgotten(spark):
+    source, store, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
+    for day in ("01-01", "01-03", "03-01", "06-01", "06-02", "01-01"):
+        frame = spark.sql(f"SELECT id, TIMESTAMP '2024-{day}' AS at FROM VALUES (1), (null), (null) AS t(id)")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = I.arriving_offers(spark, source, frame.schema)
+        I.process_arrivals(stream, "id", lambda batch: batch, store, progress, "at", "10 days").awaitTermination()
+    found = [(r["id"], str(r["at"])[5:10]) for r in I.read_results(spark, store).collect()]
+    # an id goes after the batch that finds it older than the watermark; late rows are left out
+    assert [day for i, day in sorted(found, key=str) if i == 1] == ["01-01", "06-01"]
+    assert sorted(day for i, day in found if i is None) == sorted(["01-01", "01-03", "03-01", "06-01", "06-02"] * 2)
+
+
 def test_stream_with_known_boilerplate(spark):
     source, store, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
     frame = spark.createDataFrame([(1, "f", "Bonjour. Mission un."), (2, "f", "Bonjour. Mission deux.")], "id long, firm string, text string")
