@@ -39,6 +39,15 @@ Annotator = Callable[[list[dict]], str | None]
 # --- batches and prompts ------------------------------------------------------------
 
 
+def annotation_key(id_col: str, text_col: str | None = None) -> Column:
+    """What an offer's annotation is stored under: its id, or without one a digest of its
+    text. Offers that share an id, or have none and the same text, share an annotation."""
+    key = F.col(id_col).cast("string")
+    if text_col is None:
+        return key
+    return F.coalesce(key, F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+
+
 def make_batches(
     df: DataFrame,
     id_col: str,
@@ -47,14 +56,16 @@ def make_batches(
     max_chars: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """``batch_id, offers``: up to ``batch_size`` offers ``(id, text)`` in order.
+    """``batch_id, offers``: up to ``batch_size`` offers ``(id, text, key)`` in order.
 
-    Texts are whole unless ``max_chars`` is given. A null id is an empty one.
+    ``id`` tells the offers of a batch apart: their ``key`` (``annotation_key``), or their
+    place in the batch where keys are empty or shared. Texts are whole unless
+    ``max_chars`` is given.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     numbered = dense_row_id(
         df.select(
-            F.col(id_col).cast("string").alias("id"),
+            annotation_key(id_col, text_col).alias("id"),
             (text if max_chars is None else X.truncate(text, max_chars)).alias("text"),
         ),
         "id",
@@ -63,14 +74,22 @@ def make_batches(
     )
     batch = F.floor(F.col("_row") / batch_size).alias("batch_id")
     members = F.array_sort(F.collect_list(F.struct("_row", "id", "text")))
+    keys = F.col("_members.id")
+    differ = (F.size(F.array_distinct(keys)) == F.size(keys)) & ~F.array_contains(keys, "")
     return (
         numbered.groupBy(batch)
         .agg(members.alias("_members"))
+        .withColumn("_differ", differ)
         .select(
             "batch_id",
-            F.transform("_members", lambda m: F.struct(m["id"].alias("id"), m["text"].alias("text"))).alias(
-                "offers"
-            ),
+            F.transform(
+                "_members",
+                lambda m, i: F.struct(
+                    F.when(F.col("_differ"), m["id"]).otherwise(F.concat(F.lit("#"), (i + 1).cast("string"))).alias("id"),
+                    m["text"].alias("text"),
+                    m["id"].alias("key"),
+                ),
+            ).alias("offers"),
         )
     )
 
@@ -228,9 +247,10 @@ def annotate_batches(
         read = materialize(
             read_answers(answers, labels).select("batch_id", "offers", "annotations"), "answers"
         )
-        accepted = read.filter(F.col("annotations").isNotNull()).select(
-            F.explode("annotations").alias("a")
+        named = F.transform(  # answers come in the order of the offers
+            "annotations", lambda a, i: a.withField("id", F.col("offers")[i]["key"])
         )
+        accepted = read.filter(F.col("annotations").isNotNull()).select(F.explode(named).alias("a"))
         waiting = read.filter(F.col("annotations").isNull()).select("batch_id", "offers")
         done = waiting.isEmpty()
         yield accepted.select("a.*"), None if done else waiting
@@ -264,7 +284,7 @@ def run_annotation(
     if path_exists(spark, store_path):
         done = read_annotations(spark, store_path, labels)
         seq = (spark.read.json(store_path, schema="seq long").agg(F.max("seq")).first()[0] or 0) + 1
-        remaining = not_yet_annotated(df, id_col, done)
+        remaining = not_yet_annotated(df, id_col, done, text_col)
     tasks = parallel_calls or spark.sparkContext.defaultParallelism
     wave = checkpoint_every * tasks
     batches = make_batches(remaining, id_col, text_col, batch_size, max_chars)
@@ -279,33 +299,36 @@ def run_annotation(
             append_annotations(accepted, store_path, labels, seq)
             seq += 1
         if refused is not None:
-            ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.id").alias("id"))
+            ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.key").alias("id"))
             ids.write.mode("append").parquet(failed_path)
     if not path_exists(spark, failed_path):
         spark.createDataFrame([], "id string").write.parquet(failed_path)
     failed = spark.read.schema("id string").parquet(failed_path)
     if not path_exists(spark, store_path):
         nothing = spark.createDataFrame([], record_schema(labels)).drop("seq")
-        return attach_annotations(df, id_col, nothing), failed
-    return attach_annotations(df, id_col, read_annotations(spark, store_path, labels)), failed
+        return attach_annotations(df, id_col, nothing, text_col), failed
+    return attach_annotations(df, id_col, read_annotations(spark, store_path, labels), text_col), failed
 
 
-def not_yet_annotated(df: DataFrame, id_col: str, done: DataFrame) -> DataFrame:
+def not_yet_annotated(df: DataFrame, id_col: str, done: DataFrame, text_col: str | None = None) -> DataFrame:
     done_ids = done.select(F.col("id").alias("_done"))
-    return df.join(done_ids, F.col(id_col).cast("string") == F.col("_done"), "left_anti")
+    return df.join(done_ids, annotation_key(id_col, text_col) == F.col("_done"), "left_anti")
 
 
-def attach_annotations(df: DataFrame, id_col: str, annotations: DataFrame) -> DataFrame:
-    """All rows of ``df``; rows without annotation have null labels."""
-    keyed = df.withColumn("_annotation_id", F.col(id_col).cast("string"))
+def attach_annotations(
+    df: DataFrame, id_col: str, annotations: DataFrame, text_col: str | None = None
+) -> DataFrame:
+    """All rows of ``df``; rows without annotation have null labels. Rows without an id
+    find theirs where ``text_col`` is given."""
+    keyed = df.withColumn("_annotation_id", annotation_key(id_col, text_col))
     return keyed.join(annotations.withColumnRenamed("id", "_annotation_id"), "_annotation_id", "left")
 
 
 def recover_annotations(
-    df: DataFrame, id_col: str, store_path: str, labels: list[str]
+    df: DataFrame, id_col: str, store_path: str, labels: list[str], text_col: str | None = None
 ) -> DataFrame:
     """The annotated table from the store alone, joined by the stable key."""
-    return attach_annotations(df, id_col, read_annotations(df.sparkSession, store_path, labels))
+    return attach_annotations(df, id_col, read_annotations(df.sparkSession, store_path, labels), text_col)
 
 
 # --- terms instead of a model -----------------------------------------------------------

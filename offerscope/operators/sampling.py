@@ -79,6 +79,16 @@ def hash_cuts(hashed: DataFrame, groups: list[str], quotas: DataFrame) -> DataFr
     )
 
 
+def _up_to_few_cuts(df: DataFrame, group: str, cuts: DataFrame) -> DataFrame:
+    """``_up_to_cuts`` of the few groups that have a cut, as literals in a filter."""
+    known = {row[group]: row for row in cuts.collect()}
+    held = [name for name in df.columns if name != "_hash"]
+    if any(row["_take"] < row["_same"] for row in known.values()):
+        return _up_to_cuts(df, [group], cuts, "inner").select(*held)
+    limit = F.create_map(*[F.lit(v) for name, row in known.items() for v in (name, row["_cut"])])
+    return df.filter(F.col("_hash") <= limit[F.col(group)]).select(*held)
+
+
 def _up_to_cuts(df: DataFrame, groups: list[str], cuts: DataFrame, how: str) -> DataFrame:
     """Rows of ``df`` (with ``_hash``) up to their group's cut; without one all (``how``: left)
     or none (inner). ``cuts`` is materialised. Rows at a cut are equal, so where not all
@@ -123,7 +133,7 @@ def sample_fraction(df: DataFrame, fraction: float, id_col: str, seed: int = 42)
         return df.limit(0)
     quota = df.sparkSession.createDataFrame([(0, wanted)], "_all int, _quota long")
     cuts = materialize(hash_cuts(hashed, ["_all"], quota), "cuts")
-    return _up_to_cuts(placed, ["_all"], cuts, "inner").drop("_all")
+    return _up_to_few_cuts(placed, "_all", cuts).drop("_all")
 
 
 # --- stratified draw -------------------------------------------------------------
@@ -177,7 +187,7 @@ def stratified_sample(
         list(quotas.items()), "rome_domain string, _quota long"
     )
     cuts = materialize(hash_cuts(hashed, ["rome_domain"], wanted), "cuts")
-    return _up_to_cuts(placed, ["rome_domain"], cuts, "inner").select(*valid.columns)
+    return _up_to_few_cuts(placed, "rome_domain", cuts)
 
 
 def stratum_distribution(df: DataFrame, stratum_col: str) -> DataFrame:

@@ -173,6 +173,25 @@ def test_arrivals_are_done_once(spark):
     assert sorted((r["id"], r["a"]) for r in rows) == [(i, i % 2) for i in range(15)]
 
 
+@pytest.mark.parametrize("ids", [(1, 1, 2, 3, 4), (None, None, 2, None, 4), ("", "#2", "", "a", "#2")])
+def test_shared_and_missing_ids_do_not_refuse_a_batch(spark, ids):
+    rows = [(i, "remote work" if i in (1, "") or i is None else "office") for i in ids]
+    frame = spark.createDataFrame(rows, f"id {'string' if isinstance(ids[0], str) else 'int'}, text string")
+    store, calls = scratch_path(spark, "store"), spark.sparkContext.accumulator(0)
+    answer = A.keyword_annotator({"a": ["remote"]})
+
+    def annotate(batch):
+        calls.add(1)
+        assert len({offer["id"] for offer in batch}) == len(batch)
+        return answer(batch)
+
+    for _ in range(2):  # the second start has nothing left to ask
+        table, failed = A.run_annotation(frame, "id", "text", annotate, store, ["a"])
+        assert failed.count() == 0
+        assert sorted((str(r["id"]), r["a"]) for r in table.collect()) == sorted((str(i), int("remote" in t)) for i, t in rows)
+        assert calls.value == 1
+
+
 def test_arrivals_without_an_id_all_stay(spark):
     source, store, progress = (scratch_path(spark, n) for n in ("in", "out", "progress"))
     for rows in ([(None, "a"), (None, "a"), (1, "b"), (1, "c")], [(None, "a"), (1, "d"), (2, "e")]):
