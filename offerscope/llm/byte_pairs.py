@@ -213,7 +213,7 @@ class BytePairs:
 
 def byte_pairs(path: str, pattern: str) -> BytePairs:
     """One vocabulary per worker process."""
-    held, key = files.worker_state(), ("byte pairs", path, pattern)
+    held, key = files.worker_state("byte pairs"), ("byte pairs", path, pattern)
     if key not in held:
         held[key] = BytePairs(path, pattern)
     return held[key]

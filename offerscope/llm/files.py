@@ -32,8 +32,15 @@ def open_file(uri: str):
     return system.open_input_file(path)
 
 
-def worker_state() -> dict:
-    """What lives as long as the worker process. Functions of this package travel with
-    each task by value, so their own module's variables last for a task only."""
+def worker_state(owner: str) -> dict:
+    """What an operator keeps as long as the worker process lives: a worker is used again
+    for later stages, and what another operator kept there goes first. Functions of this
+    package travel with each task by value, so their own module's variables last for a
+    task only."""
     name = "_offerscope_worker_state"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if owner not in held:
+        for other in [key for key in held if not key.startswith("__")]:
+            del held[other]
+        held[owner] = {}
+    return held[owner]

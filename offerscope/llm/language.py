@@ -61,7 +61,7 @@ class Languages:
 
     def compressors(self) -> list:
         """One compressor per language and worker process."""
-        held = worker_state()
+        held = worker_state("languages")
         key = ("languages", hashlib.sha1(b"\0".join(self.contents)).digest())
         if key not in held:
             made = []

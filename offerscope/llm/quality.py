@@ -82,7 +82,7 @@ class Features:
 
 
 def features() -> Features:
-    held = worker_state()
+    held = worker_state("quality")
     if "quality features" not in held:
         held["quality features"] = Features()
     return held["quality features"]

@@ -173,7 +173,7 @@ class Encoder:
 
 def encoder(path: str, plain_controls: bool = False) -> Encoder:
     """One encoder per worker process, file and option."""
-    held, key = worker_state(), ("encoder", path, plain_controls)
+    held, key = worker_state("tokens"), ("encoder", path, plain_controls)
     if key not in held:
         held[key] = Encoder(path, plain_controls)
     return held[key]
