@@ -20,7 +20,6 @@ are plain text. An id that the vocabulary does not have raises when decoded.
 from __future__ import annotations
 
 import base64
-from array import array
 from heapq import heappop, heappush
 
 import numpy as np
@@ -32,13 +31,16 @@ from pyspark.sql import functions as F
 from offerscope.llm import files
 from offerscope.llm.common import plain
 
-#: Bytes that a worker's cache of pre-tokens may take before it starts anew, what an
-#: entry takes beside its letters and ids, and the longest pre-token kept.
-CACHE_BYTES = 48 * 1024 * 1024
+#: Bytes that a worker's cache of pre-tokens may take, half of them for those met since
+#: the last change; what an entry takes beside its letters and ids; the longest kept.
+CACHE_BYTES = 160 * 1024 * 1024
 ENTRY_BYTES = 160
 CACHE_CHARS = 64
 #: Letters of texts whose new pre-tokens are merged together; a longer text is alone.
-RUN_CHARS = 1 << 20
+RUN_CHARS = 1 << 22
+#: Positions at one rank from which they are merged together, ranks in a row with fewer
+#: that end this, and the longest pre-token for it.
+TOGETHER, FEW, TOGETHER_BYTES = 40, 20, 256
 
 #: Bits of a word of the bitmap, as a power of two.
 WORD_BITS = 8
@@ -87,6 +89,21 @@ class RankQueue:
             del level[rank]
 
 
+def _wait(queue: RankQueue, positions: np.ndarray, pair: np.ndarray) -> None:
+    """Puts positions into the buckets of their pairs' ranks."""
+    order = np.argsort(pair[positions], kind="stable")
+    positions = positions[order]
+    ranks = pair[positions]
+    cuts = [0, *(np.flatnonzero(np.diff(ranks)) + 1).tolist(), len(ranks)]
+    firsts, positions = ranks[cuts[:-1]].tolist() if len(ranks) else [], positions.tolist()
+    for rank, start, end in zip(firsts, cuts, cuts[1:]):
+        bucket = queue.buckets.get(rank)
+        if bucket is None:
+            queue.fill(rank, positions[start:end])
+        else:
+            bucket += positions[start:end]
+
+
 class BytePairs:
     """The vocabulary of a rank file (a token in base64 and its rank per line)."""
 
@@ -94,39 +111,102 @@ class BytePairs:
         with open(path, "rb") as file:
             lines = (line.split() for line in file if line.strip())
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.size = max(self.tokens, default=-1) + 1
+        self.size = max(self.ranks.values(), default=-1) + 1
+        tokens = {rank: token for token, rank in self.ranks.items()}
+        #: All tokens' bytes in a row, and each one's start and length (0: no token).
+        self.letters = np.frombuffer(b"".join(tokens.get(rank, b"") for rank in range(self.size)), np.uint8)
+        self.lengths = np.array([len(tokens.get(rank, b"")) for rank in range(self.size)], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.first = np.full(1 << 16, -1, np.int32)  # ranks of two bytes
         for token, rank in self.ranks.items():
             if len(token) == 2:
                 self.first[token[0] << 8 | token[1]] = rank
+        self.bytes = np.array([self.ranks.get(bytes([byte]), -1) for byte in range(256)], np.int64)
+        splits = (
+            (self.ranks[token[:cut]] * self.size + self.ranks[token[cut:]], rank)
+            for token, rank in self.ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in self.ranks and token[cut:] in self.ranks
+        )
+        table = np.array(sorted(splits), np.int64).reshape(-1, 2)
+        #: Pairs of tokens that are joined to one, in order, and its rank.
+        self.pairs, self.joined = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
         self.find = regex.compile(pattern).findall
-        self.cache: dict[str, bytes] = {}
-        self.held = 0
+        self.cache, self.older, self.held = {}, {}, 0
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of pre-tokens, little-endian. All lie in one list, and no pair reaches
-        from one to the next, so the order of merges within each is its own."""
-        data, ranks = b"".join(pieces), self.ranks
-        ends = np.cumsum([len(piece) for piece in pieces], dtype=np.int64)
+        from one to the next, so the order of merges within each is its own.
+
+        While many positions wait at the lowest rank, the first of each pre-token are
+        merged together; after that one position at a time is.
+        """
+        data = b"".join(pieces)
+        lengths = [len(piece) for piece in pieces]
+        ends = np.cumsum(lengths, dtype=np.int64)
         size = len(data)
-        codes = np.frombuffer(data, np.uint8).astype(np.int32)
-        first = np.full(size, -1, np.int32)
-        first[:-1] = self.first[codes[:-1] << 8 | codes[1:]] if size else first[:-1]
-        first[ends - 1] = -1
-        edge = bytearray(size + 1)  # where a pre-token starts, and the end
-        edge[0] = 1
-        for end in ends.tolist():
-            edge[end] = 1
-        after, before = list(range(1, size + 1)), list(range(-1, size))
+        codes = np.frombuffer(data, np.uint8).astype(np.int64)
+        pair = np.full(size, -1, np.int64)
+        if size:
+            pair[:-1] = self.first[codes[:-1] << 8 | codes[1:]]
+        pair[ends - 1] = -1
+        edge = np.zeros(size + 1, bool)  # where a pre-token starts, and the end
+        edge[0] = True
+        edge[ends] = True
+        after, before = np.arange(1, size + 1), np.arange(-1, size)
         queue = RankQueue(self.size)
-        waiting = np.flatnonzero(first >= 0)
-        waiting = waiting[np.argsort(first[waiting], kind="stable")]
-        cuts = np.flatnonzero(np.diff(first[waiting])) + 1
-        for positions in np.split(waiting, cuts) if len(waiting) else []:
-            queue.fill(int(first[positions[0]]), positions.tolist())
-        pair = first.tolist()
-        rank_of, bucket_of, fill = ranks.get, queue.buckets.get, queue.fill
+        _wait(queue, np.flatnonzero(pair >= 0), pair)
+        token, held = self.bytes[codes], np.ones(size, bool)  # places that still start a token
+        if max(lengths, default=0) <= TOGETHER_BYTES:
+            owner = np.repeat(np.arange(len(pieces)), lengths)
+            self._merge_together(queue, token, held, pair, after, before, edge, owner)
+        if queue.lowest() is not None:
+            rest = [pair.tolist(), after.tolist(), before.tolist(), edge.tobytes()]
+            changed = self._merge_singly(queue, data, held, *rest)
+            token[list(changed)] = list(changed.values())
+        ids, counts = token[held].astype("<u4").tobytes(), np.cumsum(held)
+        cuts = [0, *(4 * counts[ends - 1]).tolist()]
+        return [ids[start:end] for start, end in zip(cuts, cuts[1:])]
+
+    def _rank_of(self, keys: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of tokens, -1 where they do not join."""
+        place = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[place] == keys, self.joined[place], -1)
+
+    def _merge_together(self, queue, token, held, pair, after, before, edge, owner) -> None:
+        few = 0
+        while few < FEW and (rank := queue.lowest()) is not None:
+            bucket = queue.buckets[rank]
+            few = 0 if len(bucket) >= TOGETHER else few + 1
+            waiting = np.sort(np.array(bucket, np.int64))
+            waiting = waiting[pair[waiting] == rank]  # the others are stale
+            lead = np.ones(len(waiting), bool)
+            lead[1:] = owner[waiting[1:]] != owner[waiting[:-1]]
+            if lead.all():
+                queue.clear(rank)
+            else:
+                queue.buckets[rank] = waiting[~lead].tolist()
+            at = waiting[lead]
+            gone = after[at]
+            right = after[gone]
+            after[at] = right
+            token[at], held[gone] = rank, False
+            pair[at] = pair[gone] = -1
+            inner = ~edge[right]
+            begin, right = at[inner], right[inner]
+            before[right] = begin
+            pair[begin] = self._rank_of(rank * self.size + token[right])
+            left = before[at[~edge[at]]]
+            pair[left] = self._rank_of(token[left] * self.size + rank)
+            changed = np.concatenate([begin, left])
+            _wait(queue, changed[pair[changed] >= 0], pair)
+        for bucket in queue.buckets.values():
+            bucket.sort()
+
+    def _merge_singly(self, queue, data, held, pair, after, before, edge) -> dict[int, int]:
+        """The tokens that changed, by place."""
+        changed = {}
+        rank_of, bucket_of, fill = self.ranks.get, queue.buckets.get, queue.fill
         while (rank := queue.lowest()) is not None:
             bucket, least = bucket_of(rank), rank
             while bucket and least == rank:
@@ -135,6 +215,7 @@ class BytePairs:
                     continue  # stale
                 gone = after[at]
                 right = after[at] = after[gone]
+                changed[at], held[gone] = rank, False
                 pair[at] = pair[gone] = -1
                 if not edge[right]:
                     before[right] = at
@@ -162,36 +243,41 @@ class BytePairs:
                             least = now
             if not bucket:
                 queue.clear(rank)
-        out, at = [], 0
-        for end in ends.tolist():
-            ids = array("I")
-            while at < end:
-                ids.append(ranks[data[at : after[at]]])
-                at = after[at]
-            out.append(ids.tobytes())
-        return out
+        return changed
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not in the cache; short ones are added to it."""
-        pieces = [word.encode("utf-8") for word in words]
-        known = {word: self.ranks[piece] for word, piece in zip(words, pieces) if piece in self.ranks}
-        found = {word: rank.to_bytes(4, "little") for word, rank in known.items()}
-        rest = [(word, piece) for word, piece in zip(words, pieces) if word not in known]
+        older, ranks = self.older.get, self.ranks.get
+        found, rest, pieces, long = {}, [], [], []
+        for word in words:
+            ids = older(word)
+            if ids is None:
+                piece = word.encode("utf-8")
+                rank = ranks(piece)
+                if rank is None:
+                    if len(piece) > TOGETHER_BYTES:
+                        long.append(word)
+                    else:
+                        rest.append(word)
+                        pieces.append(piece)
+                    continue
+                ids = rank.to_bytes(4, "little")
+            found[word] = ids
         if rest:
-            found.update(zip([word for word, _ in rest], self.merge([piece for _, piece in rest])))
-        for word, ids in found.items():
-            if len(word) <= CACHE_CHARS:
-                self.cache[word] = ids
-                self.held += ENTRY_BYTES + len(word) + len(ids)
+            found.update(zip(rest, self.merge(pieces)))
+        if long:
+            found.update(zip(long, self.merge([word.encode("utf-8") for word in long])))
+        kept = {word: ids for word, ids in found.items() if len(word) <= CACHE_CHARS}
+        self.cache.update(kept)
+        self.held += ENTRY_BYTES * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out, at = [], 0
         while at < len(texts):
-            if self.held > CACHE_BYTES:
-                self.cache.clear()
-                self.held = 0
+            if self.held > CACHE_BYTES // 2:  # what was not met since the last time goes
+                self.cache, self.older, self.held = {}, self.cache, 0
             found, fresh, chars = [], set(), 0
             while at < len(texts) and (not found or chars + len(texts[at] or "") <= RUN_CHARS):
                 words = self.find(texts[at] or "")
@@ -208,7 +294,14 @@ class BytePairs:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for."""
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        known = np.frombuffer(ids, "<u4").astype(np.int64)
+        if known.size and (known.max() >= self.size or not self.lengths[known].all()):
+            raise ValueError("an id that the vocabulary does not have")
+        lengths = self.lengths[known]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self.starts[known] - ends + lengths, lengths)
+        places += np.arange(len(places))
+        return self.letters[places].tobytes()
 
 
 def byte_pairs(path: str, pattern: str) -> BytePairs:
