@@ -5,8 +5,16 @@ range and owns the records whose member starts inside it. It looks for the gzip
 magic, and takes a place for a member if its first bytes decode to a WARC header,
 the member decodes to its end, and what follows is another such member or the end
 of the file; from then on members follow one another. Magic bytes inside compressed
-data fail these tests. An archive that lies uncompressed inside a record, as several
-members, is the one input for which a range could start wrongly.
+data fail these tests. Where only the last test fails, the member may lie inside a
+larger one or before a damaged one: the range then looks backward for a member around
+it. An archive that lies uncompressed inside a record, as several members, is the one
+input for which a range could start wrongly.
+
+Damage: the first range starts at byte 0, and a task that has come to its end tests the
+member that follows, so that every stretch that does not decode is met by the one task
+that knows where it starts. It is an error, or by ``damaged="list"`` one row of type
+``damaged`` with its file and place; records before and behind it are read. A whole
+record that lies uncompressed in a damaged one counts as a record.
 
 Results for special input: a null payload is empty; a null address is the record's
 own name; of equal payloads that are long enough, all rows with the largest page id
@@ -187,28 +195,75 @@ class Members:
             return None
         return b"".join(parts), at - len(inflate.unused_data)
 
-    def first(self) -> int | None:
-        place = self.start
-        while place < self.end:
-            data = self._read(place, min(READ_BYTES, self.end - place) + len(MAGIC) - 1)
+    def whole(self, place: int) -> tuple[bytes, int] | None:
+        """The member there if it has a WARC header and decodes to its end."""
+        return self.member(place) if self.header(place) else None
+
+    def _magic(self, start: int, end: int) -> Iterator[int]:
+        """Places in ``[start, end)`` where a member with a WARC header seems to begin."""
+        for place in range(start, end, READ_BYTES):
+            length = min(READ_BYTES, end - place)
+            data = self._read(place, length + len(MAGIC) - 1)
             at = data.find(MAGIC)
-            while at >= 0:
+            while 0 <= at < length:
                 if self.header(place + at):
-                    found = self.member(place + at)
-                    if found and (found[1] == self.size or self.header(found[1])):
-                        return place + at
+                    yield place + at
                 at = data.find(MAGIC, at + 1)
-            place += READ_BYTES
+
+    def _end_around(self, place: int) -> int | None:
+        """The end of a member that starts before ``place`` and goes on behind it; None if
+        there is none or a member ends right there."""
+        end = place
+        while end > 0:
+            start = max(0, end - READ_BYTES)
+            for at in reversed(list(self._magic(start, end))):
+                found = self.member(at)
+                if found and found[1] >= place:
+                    return found[1] if found[1] > place else None
+            end = start
         return None
 
-    def __iter__(self) -> Iterator[bytes]:
+    def first(self) -> int | None:
+        """Where the first whole member of the range starts. At byte 0 there must be one."""
+        if self.start == 0:
+            return 0 if min(self.end, self.size) > 0 else None
+        for at in self._magic(self.start, self.end):
+            found = self.member(at)
+            if not found:
+                continue
+            if found[1] == self.size or self.header(found[1]):
+                return at
+            around = self._end_around(at)
+            if around is None:
+                return at
+            if around < self.end and self.whole(around):
+                return around
+            return self._next_whole(around)
+        return None
+
+    def _next_whole(self, place: int) -> int | None:
+        return next((at for at in self._magic(place, self.end) if self.member(at)), None)
+
+    def records(self) -> Iterator[tuple[int, bytes | None]]:
+        """Place and content of each member; the content is None where a damaged stretch
+        starts."""
         place = self.first()
         while place is not None and place < self.end:
-            found = self.member(place)
-            if found is None:
+            found = self.whole(place)
+            if found:
+                yield place, found[0]
+                place = found[1]
+                if self.end <= place < self.size and not self.whole(place):
+                    yield place, None
+            else:
+                yield place, None
+                place = self._next_whole(place + 1)
+
+    def __iter__(self) -> Iterator[bytes]:
+        for place, data in self.records():
+            if data is None:
                 raise ValueError(f"a damaged record at byte {place}")
-            yield found[0]
-            place = found[1]
+            yield data
 
 
 def parse(data: bytes) -> dict:
@@ -236,9 +291,14 @@ def parse(data: bytes) -> dict:
     }
 
 
-def read_warc(spark: SparkSession, archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """A row per record of the files in ``archives`` (``file, bytes``). A file longer
-    than ``split_bytes`` is read by several tasks."""
+def read_warc(
+    spark: SparkSession, archives: DataFrame, split_bytes: int = SPLIT_BYTES, damaged: str = "raise"
+) -> DataFrame:
+    """A row per record of the files in ``archives`` (``file, bytes``), with its file and
+    the byte it starts at. A file longer than ``split_bytes`` is read by several tasks.
+    ``damaged``: ``raise``, or ``list`` for a row per damaged stretch."""
+    if damaged not in ("raise", "list"):
+        raise ValueError(f"damaged must be raise or list, not {damaged}")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     ranges = archives.select("file", "bytes", F.explode(starts).alias("start"))
     ranges = ranges.select("file", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
@@ -246,19 +306,31 @@ def read_warc(spark: SparkSession, archives: DataFrame, split_bytes: int = SPLIT
     kinds = {
         "record_type": pa.string(), "uri": pa.string(), "page_id": pa.int64(), "refers_to": pa.int64(),
         "payload_digest": pa.string(), "payload_bytes": pa.int64(), "payload": pa.binary(),
+        "file": pa.string(), "place": pa.int64(),
     }
 
     def batch_of(rows: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in kinds.items()], list(kinds))
+        return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], kind) for k, kind in kinds.items()], list(kinds))
+
+    def row_of(file: str, place: int, data: bytes | None) -> dict:
+        row = {"record_type": "damaged"}
+        try:
+            if data is None:
+                raise ValueError("it does not decode")
+            row = parse(data)
+        except (KeyError, ValueError) as error:
+            if damaged == "raise":
+                raise ValueError(f"a damaged record at byte {place} of {file}: {error}") from error
+        return row | {"file": file, "place": place}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for batch in batches:
             for task in batch.to_pylist():
                 with files.open_file(task["file"]) as file:
-                    for data in Members(file, task["start"], task["end"]):
-                        rows.append(parse(data))
-                        held += len(data)
+                    for place, data in Members(file, task["start"], task["end"]).records():
+                        rows.append(row_of(task["file"], place, data))
+                        held += len(data or b"")
                         if held >= 4 * READ_BYTES:
                             yield batch_of(rows)
                             rows, held = [], 0
@@ -266,7 +338,8 @@ def read_warc(spark: SparkSession, archives: DataFrame, split_bytes: int = SPLIT
             yield batch_of(rows)
 
     schema = (
-        "record_type string, uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, payload binary"
+        "record_type string, uri string, page_id long, refers_to long, payload_digest string, payload_bytes long, "
+        "payload binary, file string, place long"
     )
     return ranges.repartition(min(tasks, 100_000), "file", "start").mapInArrow(read, schema)
 

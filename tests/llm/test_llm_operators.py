@@ -117,6 +117,48 @@ def test_warc_reader_is_not_fooled_by_magic_in_payloads():
         assert ids == list(range(6))
 
 
+@pytest.mark.parametrize("hit", range(4))
+def test_warc_damage_is_listed_and_whole_records_are_read(hit):
+    random = np.random.default_rng(1)
+    inner = warc.record(9, "u", b"x" * 50, None, None)
+    parts = [warc.record(k, "u", random.bytes(300) + inner + random.bytes(200), None, None) for k in range(4)]
+    starts = np.cumsum([0] + [len(x) for x in parts]).tolist()
+    for at in (0, 1, 12, 60, 250, len(parts[hit]) - 5):
+        data = bytearray(b"".join(parts))
+        for place in (starts[hit] + at, starts[hit] + at + 1):
+            data[place] ^= 0xFF
+        for step in (1, 53, 97, 200, 450, 1000, 10**6) if at == 0 else (53, 200, 10**6):
+            found = []
+            for start in range(0, len(data), step):
+                found += warc.Members(_File(bytes(data)), start, min(start + step, len(data))).records()
+            ids = [(place, None if x is None else warc.parse(x)["page_id"]) for place, x in found]
+            own = [(place, page) for place, page in ids if page != 9]
+            assert own == [(starts[k], None if k == hit else k) for k in range(4)], (at, step)
+    with pytest.raises(ValueError, match=f"byte {starts[hit]}"):
+        list(warc.Members(_File(bytes(data)), 0, len(data)))
+
+
+def test_warc_cut_off_files(spark, tmp_path):
+    parts = [warc.record(k, "u", bytes([65 + k]) * 400, None, None) for k in range(3)]
+    data = b"".join(parts)
+    cases = {"whole": data, "cut": data[:-9], "tail": data + b"junk", "head": b"junk" + data, "none": b"", "junk": b"junk"}
+    for name, content in cases.items():
+        (tmp_path / name).write_bytes(content)
+    table = spark.createDataFrame([(str(tmp_path / n), len(c)) for n, c in cases.items()], "file string, bytes long")
+    right = {
+        "whole": [0, 1, 2], "cut": [0, 1, "damaged"], "tail": [0, 1, 2, "damaged"], "head": ["damaged", 0, 1, 2],
+        "none": [], "junk": ["damaged"],
+    }
+    for split in (150, 1 << 20):
+        rows = warc.read_warc(spark, table, split, damaged="list").orderBy("file", "place").collect()
+        seen = {name: [r.page_id if r.record_type != "damaged" else "damaged" for r in rows if r.file.endswith("/" + name)] for name in cases}
+        assert seen == right
+    with pytest.raises(Exception, match="a damaged record at byte"):
+        warc.read_warc(spark, table).count()
+    with pytest.raises(ValueError):
+        warc.read_warc(spark, table, damaged="skip")
+
+
 class _File(io.BytesIO):
     def size(self):
         return len(self.getvalue())
