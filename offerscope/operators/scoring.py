@@ -5,16 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerscope.functions import text as X
+from offerscope.operators import linear
 from offerscope.operators.metrics import macro_ranking_quality, ranking_quality
 from offerscope.operators.quality import class_weights
 
@@ -116,66 +116,79 @@ def embed_by_words(df: DataFrame, text_col: str, dims: int = 256, out_col: str =
 
 
 class LabelModel:
-    """Word features with one weighted logistic regression per label."""
+    """Word features with a weighted logistic regression per label."""
 
-    def __init__(self, features: PipelineModel, models: dict[str, LogisticRegressionModel]):
+    def __init__(self, features: PipelineModel, weights: dict[str, linear.Weights]):
         self.features = features
-        self.models = models
+        self.weights = weights
 
     @property
     def labels(self) -> list[str]:
-        return list(self.models)
+        return list(self.weights)
 
     def score(self, df: DataFrame, text_col: str) -> DataFrame:
-        """Adds ``proba_<label>``; a narrow pass over the table."""
+        """Adds ``proba_<label>``; a narrow pass over the table, all labels at once."""
+        weights = list(self.weights.values())
+
+        @F.arrow_udf("array<double>")
+        def probabilities(places: pa.Array, values: pa.Array) -> pa.Array:
+            rows = linear.sparse_rows(places, values)
+            margins = [rows.times(coefficients) + intercept for intercept, coefficients in weights]
+            return pa.array(list(linear.probability(np.stack(margins, axis=1))), pa.list_(pa.float64()))
+
         scored = self.features.transform(df.withColumn("_text", X.minimal_clean(F.col(text_col))))
-        for label, model in self.models.items():
-            scored = model.setFeaturesCol("_features").setProbabilityCol("_p").setRawPredictionCol(
-                "_r"
-            ).setPredictionCol("_l").transform(scored)
-            scored = scored.withColumn(f"proba_{label}", vector_to_array("_p")[1]).drop("_p", "_r", "_l")
-        return scored.drop("_text", "_words", "_counts", "_weighted", "_features")
+        scored = scored.withColumn("_proba", probabilities(*linear.sparse_parts(F.col("_features"))))
+        return _spread_scores(scored, self.labels).drop("_text", "_words", "_counts", "_weighted", "_features")
 
     def save(self, path: str) -> None:
         self.features.write().overwrite().save(f"{path}/features")
-        for label, model in self.models.items():
-            model.write().overwrite().save(f"{path}/label-{label}")
+        rows = [(label, w.intercept, w.coefficients.tolist()) for label, w in self.weights.items()]
+        schema = "label string, intercept double, coefficients array<double>"
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/weights")
 
     @classmethod
     def load(cls, path: str, labels: list[str]) -> LabelModel:
-        return cls(
-            PipelineModel.load(f"{path}/features"),
-            {label: LogisticRegressionModel.load(f"{path}/label-{label}") for label in labels},
-        )
+        rows = SparkSession.getActiveSession().read.parquet(f"{path}/weights").collect()
+        held = {row["label"]: linear.Weights(row["intercept"], np.array(row["coefficients"])) for row in rows}
+        missing = [label for label in labels if label not in held]
+        if missing:
+            raise ValueError(f"the model has no label {missing}")
+        return cls(PipelineModel.load(f"{path}/features"), {label: held[label] for label in labels})
 
 
-def train_label_model(
+def train_label_models(
     train: DataFrame,
     text_col: str,
     labels: list[str],
+    regularisations: list[float],
     dims: int = 4096,
     weighted: bool = True,
-    regularisation: float = 0.01,
-    iterations: int = 20,
-) -> LabelModel:
-    """Fits all labels on the same features, kept for the passes of the solver."""
+    iterations: int = 100,
+    tolerance: float = 1e-6,
+) -> list[LabelModel]:
+    """A model per penalty. All labels and penalties are fitted in the same passes over
+    the stored features."""
     clean = train.withColumn("_text", X.minimal_clean(F.col(text_col)))
     features = Pipeline(stages=_text_features("_text", "_features", dims)).fit(clean)
-    table = features.transform(clean).select("_features", *labels).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        weights = {r["label"]: r["pos_weight"] for r in class_weights(table, labels).collect()}
-        models = {}
-        for label in labels:
-            weight = F.when(F.col(label) == 1, F.lit(weights[label] if weighted else 1.0)).otherwise(F.lit(1.0))
-            solver = LogisticRegression(
-                featuresCol="_features", labelCol="_y", weightCol="_w", regParam=regularisation, maxIter=iterations
-            )
-            models[label] = solver.fit(
-                table.select("_features", F.col(label).cast("double").alias("_y"), weight.alias("_w"))
-            )
-    finally:
-        table.unpersist()
-    return LabelModel(features, models)
+    table = linear.training_table(features.transform(clean), "_features", labels)
+    marks = train.select(*labels)
+    weights = {r["label"]: r["pos_weight"] for r in class_weights(marks, labels).collect()} if weighted else {}
+    problems = [
+        linear.Problem(i, weights.get(label, 1.0), value) for value in regularisations for i, label in enumerate(labels)
+    ]
+    found, _ = linear.fit(table, problems, dims, iterations, tolerance)
+    width = len(labels)
+    return [
+        LabelModel(features, dict(zip(labels, found[at : at + width]))) for at in range(0, len(found), width)
+    ]
+
+
+def train_label_model(
+    train: DataFrame, text_col: str, labels: list[str], regularisation: float = 0.01, **settings
+) -> LabelModel:
+    """All labels on the same features; ``settings`` as in ``train_label_models``."""
+    return train_label_models(train, text_col, labels, [regularisation], **settings)[0]
 
 
 def select_label_model(
@@ -186,10 +199,9 @@ def select_label_model(
     regularisations: list[float],
     **settings,
 ) -> LabelModel:
-    """The model with the best mean average precision on ``valid``."""
+    """The model with the best mean average precision on ``valid``, the first of equals."""
     best, best_quality = None, -np.inf
-    for value in regularisations:
-        model = train_label_model(train, text_col, labels, regularisation=value, **settings)
+    for model in train_label_models(train, text_col, labels, regularisations, **settings):
         pairs = {label: (label, f"proba_{label}") for label in labels}
         quality = macro_ranking_quality(ranking_quality(model.score(valid, text_col), pairs)).first()
         ap = quality["ap_macro"] if quality["ap_macro"] is not None else -np.inf

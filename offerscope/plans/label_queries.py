@@ -423,3 +423,30 @@ def classifier_scores(spark, sf_dir):
     table = documents(spark, sf_dir).select("doc_id", "text")
     train = table.join(_labels(spark, sf_dir), "doc_id")
     return train_label_model(train, "text", LABELS).score(table, "text").drop("text")
+
+
+_WEIGHT = "least(greatest((n - pos) / greatest(pos, 1.0), 1.0), 10.0)"
+
+
+@query(
+    f"""WITH c AS (
+          SELECT 'quality' AS label, count(*) AS n, CAST(sum(quality) AS DOUBLE) AS pos FROM documents JOIN labels USING (doc_id)
+          UNION ALL SELECT 'toxic', count(*), CAST(sum(toxic) AS DOUBLE) FROM documents JOIN labels USING (doc_id))
+        SELECT label, n AS n_rows, CAST(pos AS BIGINT) AS n_positive,
+               round(pos * {_WEIGHT} / (pos * {_WEIGHT} + n - pos), 4) AS mean_score FROM c"""
+)
+def classifier_calibration(spark, sf_dir):
+    """Weighted mean score of the fitted rows. Where the solver has come to the optimum,
+    the free intercept makes it the weighted share of positives."""
+    train = documents(spark, sf_dir).select("doc_id", "text").join(_labels(spark, sf_dir), "doc_id")
+    weights = Q.class_weights(train, LABELS).withColumnRenamed("label", "_label")
+    scored = train_label_model(train, "text", LABELS).score(train, "text")
+    rows = scored.select(
+        F.explode(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).alias("y"), F.col(f"proba_{x}").alias("p")) for x in LABELS])).alias("s")
+    ).select("s.*")
+    rows = rows.join(F.broadcast(weights), F.col("label") == F.col("_label"))
+    weight = F.when(F.col("y") == 1, F.col("pos_weight")).otherwise(F.lit(1.0))
+    return rows.groupBy("label").agg(
+        F.count("*").alias("n_rows"), F.sum("y").cast("long").alias("n_positive"),
+        F.round(F.sum(weight * F.col("p")) / F.sum(weight), 4).alias("mean_score"),
+    )
