@@ -203,7 +203,7 @@ def _evened(segments: list[Segment], near: dict, over: list[int]) -> list[Segmen
         by_file.setdefault(segment.file, []).append(segment)
     pool: dict[int, list[tuple[int, str, int]]] = {}
     for (name, at), size in near.items():
-        segment = next(s for s in by_file[name] if s.first <= at < s.last)
+        segment = by_file[name][bisect.bisect_right(by_file[name], at, key=lambda s: s.first) - 1]
         pool.setdefault(segment.shard, []).append((size, name, at))
     for rows in pool.values():
         rows.sort()
@@ -224,10 +224,14 @@ def _evened(segments: list[Segment], near: dict, over: list[int]) -> list[Segmen
         over[giver] -= size
         over[taker] += size
         moved[name, at] = taker
+    places: dict[str, list[int]] = {}
+    for name, at in sorted(moved):
+        places.setdefault(name, []).append(at)
     out = []
     for segment in segments:
-        first = segment.first
-        for name, at in sorted(x for x in moved if x[0] == segment.file and segment.first <= x[1] < segment.last):
+        name, first = segment.file, segment.first
+        at_file = places.get(name, [])
+        for at in at_file[bisect.bisect_left(at_file, first) : bisect.bisect_left(at_file, segment.last)]:
             if at > first:
                 out.append(Segment(name, first, at, segment.old, segment.shard))
             out.append(Segment(name, at, at + 1, segment.old, moved[name, at]))
@@ -253,13 +257,13 @@ def reshard(
     shard, slot = free_name(rows, "shard"), free_name(rows, "slot")
     segments, _ = plan(rows, layout.old, layout.size, capacity, shards, cost)
     whole = {s.file for s in segments if s.shard == s.old} - {s.file for s in segments if s.shard != s.old}
-    base, table = [0] * shards, []
+    base, table = [0] * shards, {}
     for s in segments:
-        table.append((s.file, s.first, s.last, s.shard, base[s.shard] - s.first))
+        table.setdefault(s.file, []).append((s.file, s.first, s.last, s.shard, base[s.shard] - s.first))
         base[s.shard] += s.last - s.first
 
     def placed(names: list[str]) -> DataFrame:
-        own = [t for t in table if t[0] in set(names)]
+        own = [t for name in names for t in table[name]]
         known = spark.createDataFrame(own, "_file string, _first long, _last long, _shard int, _base long")
         some = spark.read.option("basePath", layout.folder).schema(rows.schema).parquet(*names)
         some = some.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
