@@ -30,6 +30,8 @@ from offerscope.session import materialize
 
 #: Bound of the labelled rows that the model is fitted on, drawn by the hash of their id.
 TRAIN_ROWS = 6_000
+#: Bits of a hash that the draw of training rows counts by.
+PREFIX_BITS = 16
 BUCKETS, RANK, BINS = 1 << 16, 6, 10
 EPOCHS, BATCH, RATE, DECAY = 6, 128, 0.02, 1e-5
 CACHE_WORDS = 400_000
@@ -176,7 +178,9 @@ def train(
     limit: int = BROADCAST_BYTES,
 ) -> Model | None:
     """A model from at most ``rows`` labelled documents whose remainder by 5 is not 0.
-    Features are made where the texts lie; the driver gets numbers of those rows."""
+    Features are made where the texts lie; the driver gets numbers of those rows. Ids may
+    repeat: beyond twice ``rows`` equal rows count once, and a draw by hash takes at most
+    that many."""
     known = labels.select(plain(id_col).alias("id"), plain(label_col).cast("int").alias("label"))
     known = known.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     known = known.filter(remainder(F.col("id"), 5) != 0).orderBy(F.xxhash64("id"), "id").limit(rows)
@@ -197,11 +201,27 @@ def train(
             yield pd.DataFrame(out, columns=["buckets", "numbers", "label"])
 
     chosen = measured_join(held, known, ["id"], "inner", "id", limit).select("text", "meta", "label")
-    found = chosen.limit(2 * rows).mapInPandas(make, "buckets binary, numbers binary, label int").collect()  # ids may repeat
+    kept = materialize(chosen.mapInPandas(make, "buckets binary, numbers binary, label int"), "features")
+    if kept.count() > 2 * rows:
+        kept = drawn(kept, 2 * rows)
+    found = kept.collect()
     found.sort(key=lambda r: (bytes(r["numbers"]), bytes(r["buckets"])))  # the same order each time
     return fit([(np.frombuffer(r["buckets"], "<i4").astype(np.int64), np.frombuffer(r["numbers"]), r["label"]) for r in found])
 
 
+def drawn(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` of the distinct rows, the same each time: those whose hash lies below
+    a bound that counts per hash prefix give. Driver memory: a count per prefix."""
+    columns = rows.columns
+    rows = materialize(rows.distinct().withColumn("_prefix", F.shiftrightunsigned(F.xxhash64(*columns), 64 - PREFIX_BITS)), "distinct")
+    bound, held = 0, 0
+    for row in sorted(rows.groupBy("_prefix").count().collect()):
+        if held + row["count"] > most:
+            break
+        bound, held = row["_prefix"] + 1, held + row["count"]
+    return rows.filter(F.col("_prefix") < bound).drop("_prefix")
+
+
 def score(model: Model | None, text: Column, meta: list[Column]) -> Column:
     """The score of a text (0 to 1) as a column; the text is read whole."""
 

@@ -354,6 +354,31 @@ def test_resharding_of_special_rows(spark):
     assert resharding.reshard(spark, layout, 4, scratch_path(spark, "new")).count() == 0
 
 
+def test_resharding_moves_what_the_flow_must_and_rewrites_no_other_file(spark):
+    random = np.random.default_rng(11)
+    texts = [(k, "x" * int(n)) for k, n in enumerate(random.integers(1, 60, 1200))]
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(6, "doc_id")
+    old = common.F.when(common.F.col("doc_id") % 10 < 6, 0).when(common.F.col("doc_id") % 10 < 9, 1).otherwise(2)
+    layout = resharding.lay_out(table, old, "text", scratch_path(spark, "old"))
+    held = spark.read.parquet(layout.folder).withColumn("file", common.F.col("_metadata.file_path")).toPandas()
+    new_folder = scratch_path(spark, "new")
+    out = resharding.reshard(spark, layout, 5, new_folder)
+    rows = out.toPandas().merge(held[["doc_id", "file", layout.old, layout.size]], on="doc_id", suffixes=("", "_"))
+    assert len(rows) == 1200 and rows.doc_id.is_unique
+    total = rows[layout.size].sum()
+    capacity = [total // 5 + (j < total % 5) for j in range(5)]
+    least = sum(max(0, n - capacity[i]) for i, n in rows.groupby(layout.old)[layout.size].sum().items())
+    gone = rows[rows["shard"] != rows[layout.old]]
+    sizes = rows.groupby("shard")[layout.size].sum()
+    assert sizes.max() - sizes.min() <= 61
+    assert abs(gone[layout.size].sum() - least) <= 8 * 61
+    touched, read = set(gone.file), out.inputFiles()
+    path = lambda uri: uri.removeprefix("file:").replace("///", "/")
+    assert {path(f) for f in read if path(new_folder) not in path(f)} == {path(f) for f in set(rows.file) - touched}
+    rewritten = spark.read.parquet(new_folder).toPandas()
+    assert set(rewritten.doc_id) == set(rows.doc_id[rows.file.isin(touched)])
+
+
 # --- classifiers --------------------------------------------------------------------------------
 
 
@@ -371,6 +396,20 @@ def test_quality_of_special_rows(spark):
     assert texts.limit(0).select(score).count() == 0
 
 
+def test_quality_learns_from_a_bounded_draw_when_ids_repeat(spark):
+    texts = docs(spark, [(10 + k % 8, f"{'good words' if k % 2 else '### !!!'} {k}") for k in range(400)] + [(17, "good words again")] * 300)
+    labels = spark.createDataFrame([(10 + k, k % 2) for k in range(8)], "doc_id long, quality int")
+    models = [quality.train(table, labels, "doc_id", "text", "quality", [], rows=30, limit=limit)
+              for table, limit in ((texts, 1 << 24), (texts.repartition(7), 1 << 24), (texts.repartition(3), 0))]
+    for model in models[1:]:
+        assert (model.weights == models[0].weights).all() and (model.factors == models[0].factors).all()
+    table = spark.createDataFrame([(k % 500, k % 2) for k in range(3000)], "a long, label int")
+    some = quality.drawn(table, 100).collect()
+    assert 90 <= len(some) <= 100 and len(set(some)) == len(some)
+    assert sorted(quality.drawn(table.repartition(5), 100).collect()) == sorted(some)
+    assert len(quality.drawn(table, 10**6).collect()) == 500
+
+
 def test_factorisation_machine_equals_all_pairs():
     random = np.random.default_rng(8)
     edges = np.sort(random.normal(size=(2, quality.BINS - 1)))
