@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerscope.llm.common import BROADCAST_BYTES, free_name, measured_join, numbered, plain
+from offerscope.llm.common import BROADCAST_BYTES, free_name, measured_join, numbered, plain, table_bytes
 from offerscope.session import materialize
 
 #: What stands between words once A-Z are lower case.
@@ -66,6 +66,55 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, size: int) -> Dat
     )
 
 
+def _hits_in_place(places, prefix: DataFrame, widths: list[int]) -> DataFrame:
+    """``row, doc_id, n_words, span, window``: the hits of a benchmark that is broadcast,
+    checked where the texts lie, and a row without a hit per document."""
+    start = F.col("place") - F.col("at")
+    fits = (start >= 0) & (start + F.size("words") <= F.size("text_words"))
+    equal = F.slice("text_words", F.greatest(start, F.lit(0)) + 1, F.size("words")) == F.col("words")
+    found = None
+    for number, width in enumerate(widths):
+        part = places(width).join(F.broadcast(prefix.filter(F.col("width") == width)), ["width", "token"], "left")
+        part = part.withColumn("hit", F.coalesce(fits & equal, F.lit(False)))
+        head = F.coalesce("place", F.lit(0)) == 0 if number == 0 else F.lit(False)
+        part = part.filter(F.col("hit") | head).select(
+            "row", "doc_id", F.size("text_words").alias("n_words"),
+            F.when(F.col("hit"), F.struct(start.alias("start"), (start + F.size("words")).alias("end"))).alias("span"),
+            F.when(F.col("hit"), F.struct("window", "words")).alias("window"),
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _hits_by_row(texts: DataFrame, prefix: DataFrame, distinct: DataFrame, widths: list[int], limit: int) -> DataFrame:
+    """``row, span, window`` of the hits of a large benchmark. Only numbers are shuffled per
+    shingle; a text moves once, to the starts that its shingles gave, and hits are compared
+    word by word with their window."""
+    found = None
+    for width in widths:
+        words = words_of(F.col("text"))
+        part = texts.select(F.col("row"), words.alias("text_words")).select(
+            "row", F.size("text_words").alias("n_words"), F.lit(width).alias("width"),
+            F.posexplode(shingles(F.col("text_words"), width)).alias("place", "token"),
+        )
+        rare = prefix.filter(F.col("width") == width).select("width", "token", "at", "window", F.size("words").alias("length"))
+        part = measured_join(part, materialize(rare, "rare"), ["width", "token"], "inner", "row", limit)
+        part = part.withColumn("start", F.col("place") - F.col("at"))
+        part = part.filter((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words")))
+        part = part.select("row", "start", "length", "window")
+        found = part if found is None else found.unionByName(part)
+    starts = found.groupBy("row").agg(F.collect_list(F.struct("start", "length", "window")).alias("starts"))
+    here = texts.select("row", "text").join(materialize(starts, "starts"), "row")
+    here = here.select("row", words_of(F.col("text")).alias("text_words"), "starts")
+    here = here.select("row", "text_words", F.inline("starts"))
+    here = here.select("row", "start", "window", F.slice("text_words", F.col("start") + 1, F.col("length")).alias("held_words"))
+    here = here.filter(F.xxhash64("held_words") == F.col("window"))
+    windows = materialize(distinct, "distinct")
+    here = measured_join(here, windows, ["window"], "inner", "row", limit).filter("held_words = words")
+    span = F.struct(F.col("start"), (F.col("start") + F.size("words")).alias("end"))
+    return here.select("row", span.alias("span"), F.struct("window", "words").alias("window"))
+
+
 def contamination(
     documents: DataFrame,
     items: DataFrame,
@@ -85,7 +134,7 @@ def contamination(
     Two passes over the texts. The first counts the shingles that windows have, over
     all documents; the second joins the documents' shingles with the rarest one of
     each window. Benchmark tables are broadcast when they measure at most ``limit``
-    bytes, and else joined over salts.
+    bytes; else numbers per shingle are joined over salts, and each text moves once.
     """
     windows = materialize(
         item_windows(items, item_id_col, item_text_col, size)
@@ -146,22 +195,12 @@ def contamination(
         "prefix",
     )
 
-    start = F.col("place") - F.col("at")
-    fits = (start >= 0) & (start + F.size("words") <= F.size("text_words"))
-    equal = F.slice("text_words", F.greatest(start, F.lit(0)) + 1, F.size("words")) == F.col("words")
-    found = None
-    for number, width in enumerate(widths):
-        part = measured_join(
-            places(width), prefix.filter(F.col("width") == width), ["width", "token"], "left", "row", limit
-        )
-        part = part.withColumn("hit", F.coalesce(fits & equal, F.lit(False)))
-        head = F.coalesce("place", F.lit(0)) == 0 if number == 0 else F.lit(False)
-        part = part.filter(F.col("hit") | head).select(
-            "row", "doc_id", F.size("text_words").alias("n_words"),
-            F.when(F.col("hit"), F.struct(start.alias("start"), (start + F.size("words")).alias("end"))).alias("span"),
-            F.when(F.col("hit"), F.struct("window", "words")).alias("window"),
-        )
-        found = part if found is None else found.unionByName(part)
+    if table_bytes(prefix) <= limit:
+        found = _hits_in_place(places, prefix, widths)
+    else:
+        texts = documents.select(plain(row_col).alias("row"), plain(text_col).alias("text"))
+        head = held.select("row", "doc_id", F.size("text_words").alias("n_words"))
+        found = head.join(_hits_by_row(texts, prefix, distinct, widths, limit), "row", "left")
     per_row = materialize(
         found.groupBy("row").agg(
             F.any_value("doc_id").alias("doc_id"),

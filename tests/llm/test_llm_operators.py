@@ -2,6 +2,7 @@
 
 import io
 import itertools
+import re
 
 import numpy as np
 import public_tokenizers
@@ -235,6 +236,30 @@ def test_near_vectors_equal_brute_force(spark, block, limit):
 # --- decontamination ------------------------------------------------------------------------
 
 
+def test_a_large_benchmark_shuffles_numbers_and_each_text_once(spark, monkeypatch, capsys):
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    near = sorted(map(str, decontaminate.contamination(read("documents"), read("benchmark")).collect()))
+    plans, real = [], decontaminate.materialize
+
+    def spy(df, name):
+        capsys.readouterr()
+        df.explain("formatted")
+        plans.append(capsys.readouterr().out)
+        return real(df, name)
+
+    monkeypatch.setattr(decontaminate, "materialize", spy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        far = decontaminate.contamination(read("documents"), read("benchmark"), limit=0)
+        assert sorted(map(str, far.collect())) == near
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = [columns for plan in plans for columns in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan)]
+    assert moved and not any("text_words" in columns for columns in moved)
+    assert sum(bool(re.search(r"\btext#", columns)) for columns in moved) == 1
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 24])
 def test_decontamination_of_special_rows(spark, limit):
     long_item = " ".join(f"w{k}" for k in range(14))
