@@ -202,3 +202,13 @@ def incremental_labels(spark, sf_dir):
             checkpoint,
         ).awaitTermination()
     return read_results(spark, store)
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, quality, toxic FROM labels")
+def response_format(spark, sf_dir):
+    """Answers in the format demanded of annotators, read by its schema."""
+    table = load_table(spark, f"{sf_dir}/labels.parquet")
+    entry = F.struct(F.col("doc_id").cast("string").alias("id"), *LABELS)
+    answers = table.select(F.to_json(F.struct(F.array(entry).alias("annotations"))).alias("answer"))
+    read = F.from_json("answer", A.response_schema(LABELS), {"mode": "FAILFAST"})
+    return answers.select(F.inline(read["annotations"]))

@@ -30,7 +30,15 @@ from offerscope.plans.inputs import (
 )
 from offerscope.plans.registry import query
 from offerscope.plans.text_queries import _CLEAN
-from offerscope.sources.tables import load_table
+from offerscope.session import scratch_path
+from offerscope.sources.tables import (
+    load_splits,
+    load_table,
+    read_artefact,
+    save_splits,
+    table_as_mapping,
+    write_artefact,
+)
 
 _MARKS = {"quality": 0.5, "toxic": 0.6}
 
@@ -98,6 +106,15 @@ def label_split(spark, sf_dir):
     return S.split_train_valid_test(_labels(spark, sf_dir), "doc_id", LABELS)
 
 
+@query(f"WITH {_split('labels', _STRATA)} SELECT doc_id, quality, toxic, split FROM split WHERE split IN ('valid', 'test')")
+def split_read_back(spark, sf_dir):
+    """The splits stored in folders, and two of them read back."""
+    table = S.split_train_valid_test(_labels(spark, sf_dir), "doc_id", LABELS)
+    path = scratch_path(spark, "splits")
+    save_splits(table, path)
+    return load_splits(spark, path, table.schema, ["valid", "test"])
+
+
 _ALL_ROWS = "'all'"
 
 
@@ -321,6 +338,17 @@ def best_thresholds(spark, sf_dir):
     return M.best_thresholds(scored(spark, sf_dir), PAIRS)
 
 
+@query(
+    f"""WITH {SCORED}, {LONG_SCORES}, {_curve('long_scores')}
+        SELECT label, threshold FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY f1 DESC, threshold) AS r FROM curve) WHERE r = 1"""
+)
+def thresholds_artefact(spark, sf_dir):
+    """The best thresholds kept as a JSON artefact and read back."""
+    path = scratch_path(spark, "thresholds") + ".json"
+    write_artefact(spark, table_as_mapping(M.best_thresholds(scored(spark, sf_dir), PAIRS), "label", "threshold"), path)
+    return spark.createDataFrame(sorted(read_artefact(spark, path).items()), "label string, threshold double")
+
+
 @query(
     f"""WITH {SCORED}, {LONG_SCORES}, {_curve('long_scores')},
         fit AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY recall DESC, threshold) AS r FROM curve WHERE precision >= 0.75)

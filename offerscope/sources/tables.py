@@ -40,6 +40,25 @@ def save_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy("split").parquet(path)
 
 
+def load_splits(
+    spark: SparkSession, path: str, schema: T.StructType | str, names: list[str] | DataFrame | None = None
+) -> DataFrame:
+    """The table that ``save_splits`` wrote, ``split`` last, or only some of its splits:
+    those in ``names``, or in the column ``split`` of a small table, which Spark reads
+    first. Folders of other splits are not opened. An unknown name gives no rows."""
+    split = T.StructField("split", T.StringType())
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    rest = [field for field in schema.fields if field.name != "split"]
+    table = spark.read.schema(T.StructType([*rest, split])).parquet(path)
+    if names is None:
+        return table
+    if isinstance(names, DataFrame):
+        return table.join(F.broadcast(names.select("split").filter(F.col("split").isNotNull())), "split", "left_semi").select(
+            *[field.name for field in rest], "split"
+        )
+    return table.filter(F.col("split").isin(names))
+
+
 def spread(df: DataFrame, key_col: str) -> DataFrame:
     """Rows over all cores when the input is too small to fill them.
 

@@ -343,6 +343,23 @@ def test_tables(spark, tmp_path):
             call()
 
 
+def test_other_splits_are_not_opened(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "train"), (2, "test"), (3, "valid"), (4, None)], "i int, split string")
+    path = tmp_path / "splits"
+    T.save_splits(frame, str(path))
+    read = lambda names=None: sorted(map(tuple, T.load_splits(spark, str(path), "split string, i int", names).collect()))
+    assert [row[0] for row in read()] == [1, 2, 3, 4]
+    for file in (path / "split=train").glob("*.parquet"):
+        (path / "split=train" / f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"not parquet")
+    wanted = spark.createDataFrame([("test", 1), ("train", 0), (None, 1), ("none", 1)], "split string, use int").filter("use = 1")
+    assert read(["test", "valid"]) == [(2, "test"), (3, "valid")]
+    assert read(wanted) == [(2, "test")]
+    assert read(["none"]) == [] and read(wanted.limit(0)) == []
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read(["train"])
+
+
 def test_splits_and_artefacts(spark, tmp_path):
     frame = spark.createDataFrame([(1, "train"), (2, "test")], "i int, split string")
     T.save_splits(frame, str(tmp_path / "splits"))
