@@ -273,6 +273,24 @@ def pca_lengths(spark, sf_dir):
     return turned.select("vec_id", F.round(V.squared_norm(F.col("turned")), 6).alias("squared_length"))
 
 
+@query(
+    """WITH entries AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+       covariances AS (SELECT a.dim AS i, b.dim AS j, covar_samp(a.v, b.v) AS c FROM entries a JOIN entries b USING (vec_id) GROUP BY 1, 2)
+       SELECT count(DISTINCT i) AS n_components, round(sum(c) FILTER (i = j), 6) AS total, round(sum(c * c), 6) AS squares
+       FROM covariances"""
+)
+def pca_spectrum(spark, sf_dir):
+    """The variances of the projected columns add up to the trace of the covariance
+    matrix, and their squares to its squared norm only if the basis diagonalises it."""
+    table = load_table(spark, f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    turned = P.project(table, "embedding", P.fit_components(table, "embedding"), 64, "turned", "array<double>")
+    parts = turned.select(F.posexplode("turned").alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("variance"))
+    return parts.agg(
+        F.count("*").alias("n_components"), F.round(F.sum("variance"), 6).alias("total"),
+        F.round(F.sum(F.col("variance") * F.col("variance")), 6).alias("squares"),
+    )
+
+
 @query()
 def centroid_map_2d(spark, sf_dir):
     table = G.centroids(vectors(spark, sf_dir), ["occ"], "embedding", code_col="occ")
