@@ -1,4 +1,8 @@
-"""Principal components of offer vectors and of centroids."""
+"""Principal components of offer vectors and of centroids.
+
+A row without a vector counts for no basis and has no components; a table without
+vectors has no basis, which is an error.
+"""
 
 from __future__ import annotations
 
@@ -34,8 +38,12 @@ class Components:
 def fit_components(df: DataFrame, vector_col: str) -> Components:
     """One fit with all components. Spark projects without centring, so the
     vectors are centred first. A component's largest loading is positive."""
-    vectors = df.select(array_to_vector(V.as_doubles(F.col(vector_col))).alias("_vector"))
-    dims = vectors.first()["_vector"].size
+    known = df.filter(F.col(vector_col).isNotNull())
+    vectors = known.select(array_to_vector(V.as_doubles(F.col(vector_col))).alias("_vector"))
+    one = vectors.first()
+    if one is None:
+        raise ValueError(f"no vectors in {vector_col}")
+    dims = one["_vector"].size
     centre = StandardScaler(inputCol="_vector", outputCol="_centred", withMean=True, withStd=False)
     rotate = PCA(k=dims, inputCol="_centred", outputCol="_rotated")
     model = Pipeline(stages=[centre, rotate]).fit(vectors)
@@ -57,14 +65,14 @@ def project(
     out_type: str = "array<float>",
 ) -> DataFrame:
     """Adds the first ``k`` components."""
-    rotated = basis.model.transform(
-        df.withColumn("_vector", array_to_vector(V.as_doubles(F.col(vector_col))))
-    )
+    filled = F.coalesce(V.as_doubles(F.col(vector_col)), V.literal_vector([0.0] * len(basis.signs)))
+    rotated = basis.model.transform(df.withColumn("_vector", array_to_vector(filled)))
     signed = F.zip_with(
         F.slice(vector_to_array("_rotated"), 1, k),
         V.literal_vector(basis.signs[:k]),
         lambda x, sign: x * sign,
     )
+    signed = F.when(F.col(vector_col).isNotNull(), signed)
     return rotated.withColumn(out_col, signed.cast(out_type)).drop(
         "_vector", "_centred", "_rotated"
     )

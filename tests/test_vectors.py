@@ -163,3 +163,17 @@ def test_centroid_map(spark):
     frame = spark.createDataFrame(rows, "k string, centroid array<double>, n_offers long")
     placed = P.centroid_map(frame, "k", labelled=30).collect()
     assert len(placed) == 40 and {r["k"] for r in placed if r["labelled"]} == {f"k{i}" for i in range(10, 40)}
+
+
+def test_components_leave_rows_without_a_vector_alone(spark):
+    rows = [(k, [float(k % 3), float(k % 5), float(k * k % 7)]) for k in range(40)]
+    with_null = spark.createDataFrame([(-1, None), *rows, (99, None)], "i int, v array<double>").coalesce(1)
+    without = spark.createDataFrame(rows, "i int, v array<double>")
+    got, right = (
+        {r["i"]: r["embedding_pca"] for r in P.reduce_vectors(table, "v", 0.99).collect()} for table in (with_null, without)
+    )
+    assert got.pop(-1) is None and got.pop(99) is None
+    assert got.keys() == right.keys()
+    assert all(np.allclose(got[k], right[k], atol=1e-5) for k in right)
+    with pytest.raises(ValueError, match="no vectors"):
+        P.fit_components(with_null.filter("v is null"), "v")
