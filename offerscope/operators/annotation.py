@@ -1,17 +1,22 @@
 """Batch annotation with binary labels that can stop and resume.
 
 Offers are numbered in hash order and grouped in small batches. A caller's
-``annotate`` receives a batch and answers with text; answers are stored as a
-table before they are read, so a lost executor never repeats finished calls.
+``annotate`` receives a batch and answers with text. One job asks for a whole table:
+each task has several calls under way, repeats refused ones itself, and commits its
+answers to the store when it ends, so a lost executor or driver costs only the calls
+of tasks that had not ended. Texts are never stored.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+import time
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,19 +24,23 @@ from pyspark.sql import types as T
 from offerscope.functions import text as X
 from offerscope.labels import LABELS_17
 from offerscope.operators.sampling import dense_row_id
-from offerscope.session import materialize, scratch_path
 from offerscope.sources.tables import (
+    append_as_tasks_end,
+    next_commit,
     path_exists,
-    append_annotations,
     read_annotations,
     record_schema,
 )
 
-# Offers per call, attempts per batch, batches between two writes to
-# the store.
+# Offers per call, attempts per batch, batches per call under way between
+# two writes to the store.
 BATCH_SIZE = 5
 MAX_ATTEMPTS = 3
 CHECKPOINT_EVERY = 50
+# Ours: calls under way in a task, seconds before the second attempt, tasks of a run.
+PARALLEL_CALLS = 4
+RETRY_DELAY = 0.5
+MAX_TASKS = 20_000
 
 Annotator = Callable[[list[dict]], str | None]
 
@@ -55,12 +64,15 @@ def make_batches(
     batch_size: int = BATCH_SIZE,
     max_chars: int | None = None,
     seed: int = 0,
+    per_task: int | None = None,
+    tasks: int = 1,
 ) -> DataFrame:
     """``batch_id, offers``: up to ``batch_size`` offers ``(id, text, key)`` in order.
 
     ``id`` tells the offers of a batch apart: their ``key`` (``annotation_key``), or their
     place in the batch where keys are empty or shared. Texts are whole unless
-    ``max_chars`` is given.
+    ``max_chars`` is given. With ``per_task``, so many batches in a row meet in each of
+    ``tasks`` tasks, whose number ``task`` comes first.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     numbered = dense_row_id(
@@ -72,16 +84,21 @@ def make_batches(
         "_row",
         seed,
     )
-    batch = F.floor(F.col("_row") / batch_size).alias("batch_id")
+    numbered = numbered.withColumn("batch_id", F.floor(F.col("_row") / batch_size))
+    keys_of_group = ["batch_id"]
+    if per_task is not None:
+        numbered = numbered.withColumn("task", F.floor(F.col("batch_id") / per_task).cast("int"))
+        numbered = numbered.repartitionById(tasks, "task")  # grouping needs no other exchange
+        keys_of_group = ["task", "batch_id"]
     members = F.array_sort(F.collect_list(F.struct("_row", "id", "text")))
     keys = F.col("_members.id")
     differ = (F.size(F.array_distinct(keys)) == F.size(keys)) & ~F.array_contains(keys, "")
     return (
-        numbered.groupBy(batch)
+        numbered.groupBy(*keys_of_group)
         .agg(members.alias("_members"))
         .withColumn("_differ", differ)
         .select(
-            "batch_id",
+            *keys_of_group,
             F.transform(
                 "_members",
                 lambda m, i: F.struct(
@@ -155,8 +172,10 @@ def read_answers(answers: DataFrame, labels: list[str]) -> DataFrame:
     expected id, no other id, none twice, and every label. One fault makes the
     whole batch null. Entries come in the order of ``ids``.
     """
-    body = F.try_parse_json(F.nullif(F.regexp_extract("response", r"(?s)\{.*\}", 0), F.lit("")))
-    entries = F.try_variant_get(body, "$.annotations", "array<variant>")
+    found = F.nullif(F.regexp_extract("response", r"(?s)\{.*\}", 0), F.lit(""))
+    body = F.try_parse_json(F.concat(F.lit("["), found, F.lit("]")))  # as the only value: none may follow
+    alone = F.try_variant_get("_body", "$[1]", "variant").isNull()
+    entries = F.when(alone, F.try_variant_get("_body", "$[0].annotations", "array<variant>"))
     given = F.transform(
         "_entries", lambda e: F.coalesce(F.try_variant_get(e, "$.id", "string"), F.lit(""))
     )
@@ -191,74 +210,105 @@ def read_answers(answers: DataFrame, labels: list[str]) -> DataFrame:
         ),
     )
     return (
-        answers.withColumn("_entries", entries)
+        answers.withColumn("_body", body)
+        .withColumn("_entries", entries)
         .withColumn("_given", given)
         .withColumn("annotations", F.when(F.coalesce(valid, F.lit(False)), ordered))
-        .drop("_entries", "_given")
+        .drop("_body", "_entries", "_given")
     )
 
 
 # --- the pipeline -----------------------------------------------------------------------
 
 
-def request_answers(
-    batches: DataFrame, annotate: Annotator, parallel_calls: int | None = None
-) -> DataFrame:
-    """``batch_id, offers, ids, response``: one call per batch; a failed call
-    gives null.
+def usable_answer(response: str | None, ids: list[str], labels: list[str]) -> bool:
+    """Whether ``read_answers`` will take this response, so that a task can ask again."""
+
+    def once(pairs: list[tuple]) -> dict:
+        if len({name for name, _ in pairs}) < len(pairs):
+            raise ValueError("repeated name")
+        return dict(pairs)
+
+    def refuse(constant: str):
+        raise ValueError(constant)
+
+    response = response or ""
+    first, last = response.find("{"), response.rfind("}")
+    try:
+        found = json.loads(response[first : last + 1], object_pairs_hook=once, parse_constant=refuse) if first >= 0 else None
+    except (ValueError, RecursionError):
+        return False
+    entries = found.get("annotations") if isinstance(found, dict) else None
+    if not isinstance(entries, list) or not all(isinstance(e, dict) and all(n in e for n in labels) for e in entries):
+        return False
+    given = [str(e["id"]) if e.get("id") is not None else "" for e in entries]
+    return sorted(given) == sorted(ids) and len(set(given)) == len(given)
+
+
+def _ask(annotate: Annotator, offers: list[dict], labels: list[str], attempts: int, delay: float) -> str | None:
+    """The first usable response, else the last one; each attempt waits longer."""
+    asked = [{"id": o["id"], "text": o["text"]} for o in offers]
+    ids = [o["id"] for o in offers]
+    response = None
+    for attempt in range(attempts):
+        if attempt:
+            time.sleep(delay * attempt)
+        try:
+            response = annotate([dict(o) for o in asked])
+        except Exception:
+            # A caller's failure of any kind counts as a failed attempt.
+            response = None
+        response = response if isinstance(response, str) else None
+        if usable_answer(response, ids, labels):
+            break
+    return response
 
-    Calls are slow and batches small, so batches are dealt out to
-    ``parallel_calls`` tasks, by default one per core.
-    """
-    tasks = parallel_calls or batches.sparkSession.sparkContext.defaultParallelism
-
-    @F.pandas_udf(T.StringType())
-    def ask(column: pd.Series) -> pd.Series:
-        responses = []
-        for offers in column:
-            try:
-                response = annotate([{"id": o["id"], "text": o["text"]} for o in offers])
-            except Exception:
-                # A caller's failure of any kind counts as a failed attempt.
-                response = None
-            responses.append(response)
-        return pd.Series(responses, dtype=object)
-
-    return batches.repartition(tasks, "batch_id").select(
-        "batch_id",
-        "offers",
-        F.col("offers.id").alias("ids"),
-        ask.asNondeterministic()("offers").alias("response"),
-    )
 
-
-def annotate_batches(
+def request_answers(
     batches: DataFrame,
     annotate: Annotator,
     labels: list[str],
     attempts: int = MAX_ATTEMPTS,
-    parallel_calls: int | None = None,
-) -> Iterator[tuple[DataFrame, DataFrame | None]]:
-    """Per attempt the accepted annotations and the batches still refused, or
-    None when there are none."""
-    waiting = batches
-    for _ in range(attempts):
-        answers = request_answers(waiting, annotate, parallel_calls)
-        read = materialize(
-            read_answers(answers, labels).select("batch_id", "offers", "annotations"), "answers"
-        )
-        named = F.transform(  # answers come in the order of the offers
-            "annotations", lambda a, i: a.withField("id", F.col("offers")[i]["key"])
-        )
-        accepted = read.filter(F.col("annotations").isNotNull()).select(F.explode(named).alias("a"))
-        waiting = read.filter(F.col("annotations").isNull()).select("batch_id", "offers")
-        done = waiting.isEmpty()
-        yield accepted.select("a.*"), None if done else waiting
-        if done:
-            return
-
+    parallel_calls: int = PARALLEL_CALLS,
+    retry_delay: float = RETRY_DELAY,
+) -> DataFrame:
+    """``batch_id, keys, ids, response`` (after ``task``, if there is one) without texts.
 
-def run_annotation(
+    Each task has up to ``parallel_calls`` calls under way, so ``annotate`` must bear
+    threads. A batch whose response is not usable is asked again at once, ``attempts``
+    times in all, after ``retry_delay`` seconds, twice, three times as many. The last
+    response stands; a call that fails or gives no text gives null.
+    """
+    names = [name for name in ("task", "batch_id") if name in batches.columns]
+    kept = [batches.schema[name] for name in names]
+    texts = T.ArrayType(T.StringType())
+    schema = T.StructType([*kept, T.StructField("keys", texts), T.StructField("ids", texts), T.StructField("response", T.StringType())])
+    kinds = {"task": pa.int32(), "batch_id": pa.int64()}
+    out = pa.schema([*[(name, kinds[name]) for name in names], ("keys", pa.list_(pa.string())), ("ids", pa.list_(pa.string())), ("response", pa.string())])
+
+    def ask(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def answered(row: dict, future) -> pa.RecordBatch:
+            offers = row["offers"]
+            line = {name: row[name] for name in names} | {
+                "keys": [o["key"] for o in offers], "ids": [o["id"] for o in offers], "response": future.result(),
+            }
+            return pa.RecordBatch.from_pylist([line], schema=out)
+
+        under_way: deque = deque()
+        with ThreadPoolExecutor(parallel_calls) as pool:
+            for part in parts:
+                for i in range(part.num_rows):
+                    row = part.slice(i, 1).to_pylist()[0]
+                    if len(under_way) >= 2 * parallel_calls:
+                        yield answered(*under_way.popleft())
+                    under_way.append((row, pool.submit(_ask, annotate, row["offers"], labels, attempts, retry_delay)))
+            while under_way:
+                yield answered(*under_way.popleft())
+
+    return batches.select(*names, "offers").mapInArrow(ask, schema)
+
+
+def annotate_store(
     df: DataFrame,
     id_col: str,
     text_col: str,
@@ -270,40 +320,54 @@ def run_annotation(
     parallel_calls: int | None = None,
     checkpoint_every: int = CHECKPOINT_EVERY,
     max_chars: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """The annotated table and the failed ids.
+    retry_delay: float = RETRY_DELAY,
+) -> DataFrame:
+    """Asks for the rows of ``df`` that the store lacks, in one job, and returns the keys of
+    those that failed as ``id``.
 
-    Ids in the store are not asked for again. Work goes in waves of
-    ``checkpoint_every`` batches per parallel call; what a wave's attempt accepts
-    is appended before the next one starts. A lost task repeats its calls, so
-    ``annotate`` must not mind being asked twice.
+    A task takes ``checkpoint_every`` batches per call under way and is one commit with a
+    ``seq`` of its own: its records are in the store once it has ended. A task that is
+    repeated repeats its calls, so ``annotate`` must not mind being asked twice. Beyond
+    ``MAX_TASKS`` tasks, tasks grow.
     """
     spark = df.sparkSession
-    seq = 0
     remaining = df
     if path_exists(spark, store_path):
-        done = read_annotations(spark, store_path, labels)
-        seq = (spark.read.json(store_path, schema="seq long").agg(F.max("seq")).first()[0] or 0) + 1
-        remaining = not_yet_annotated(df, id_col, done, text_col)
-    tasks = parallel_calls or spark.sparkContext.defaultParallelism
-    wave = checkpoint_every * tasks
-    batches = make_batches(remaining, id_col, text_col, batch_size, max_chars)
-    waves_path, failed_path = scratch_path(spark, "batches"), scratch_path(spark, "failed")
-    batches.withColumn("wave", F.floor(F.col("batch_id") / wave)).write.partitionBy("wave").parquet(waves_path)
-    stored = spark.read.schema(T.StructType([*batches.schema, T.StructField("wave", T.LongType())])).parquet(waves_path)
-    last = stored.agg(F.max("wave")).first()[0]
-    for number in range(0 if last is None else last + 1):
-        inside = stored.filter(F.col("wave") == number).drop("wave")  # reads the wave's folder only
-        refused = None
-        for accepted, refused in annotate_batches(inside, annotate, labels, attempts, tasks):
-            append_annotations(accepted, store_path, labels, seq)
-            seq += 1
-        if refused is not None:
-            ids = refused.select(F.explode("offers").alias("o")).select(F.col("o.key").alias("id"))
-            ids.write.mode("append").parquet(failed_path)
-    if not path_exists(spark, failed_path):
-        spark.createDataFrame([], "id string").write.parquet(failed_path)
-    failed = spark.read.schema("id string").parquet(failed_path)
+        remaining = not_yet_annotated(df, id_col, read_annotations(spark, store_path, labels), text_col)
+    calls = parallel_calls or PARALLEL_CALLS
+    n_batches = -(-df.count() // batch_size)
+    if n_batches == 0:
+        return spark.createDataFrame([], "id string")
+    per_task = max(checkpoint_every * calls, -(-n_batches // MAX_TASKS))
+    tasks = -(-n_batches // per_task)
+    batches = make_batches(remaining, id_col, text_col, batch_size, max_chars, per_task=per_task, tasks=tasks)
+    read = read_answers(request_answers(batches, annotate, labels, attempts, calls, retry_delay), labels)
+    no_label = [F.lit(None).cast("int").alias(label) for label in labels]
+    good = F.transform(  # answers come in the order of the offers
+        "annotations",
+        lambda a, i: F.struct(F.col("keys")[i].alias("id"), *[a[label].alias(label) for label in labels], F.lit(None).cast("boolean").alias("_failed")),
+    )
+    bad = F.transform("keys", lambda key: F.struct(key.alias("id"), *no_label, F.lit(True).alias("_failed")))
+    first = next_commit(spark, store_path)
+    lines = read.select((F.lit(first) + F.col("task")).alias("seq"), F.explode(F.coalesce(good, bad)).alias("r"))
+    folder = append_as_tasks_end(lines.select("r.id", "seq", *[F.col("r")[n].alias(n) for n in (*labels, "_failed")]), store_path, first + tasks - 1)
+    written = spark.read.schema("id string, _failed boolean").json(folder)
+    return written.filter("_failed").select("id")
+
+
+def run_annotation(
+    df: DataFrame,
+    id_col: str,
+    text_col: str,
+    annotate: Annotator,
+    store_path: str,
+    labels: list[str] = LABELS_17,
+    **settings,
+) -> tuple[DataFrame, DataFrame]:
+    """The annotated table and the failed ids; ids in the store are not asked for again.
+    ``settings`` are those of ``annotate_store``."""
+    spark = df.sparkSession
+    failed = annotate_store(df, id_col, text_col, annotate, store_path, labels, **settings)
     if not path_exists(spark, store_path):
         nothing = spark.createDataFrame([], record_schema(labels)).drop("seq")
         return attach_annotations(df, id_col, nothing, text_col), failed

@@ -120,7 +120,7 @@ def annotation_resume(spark, sf_dir):
     """A store that already holds the labelled documents; the rest is annotated."""
     store = scratch_path(spark, "annotations")
     done = load_table(spark, f"{sf_dir}/labels.parquet").withColumn("id", F.col("doc_id").cast("string"))
-    append_annotations(done, store, LABELS, seq=0)
+    append_annotations(done, store, LABELS)
     annotated, _ = A.run_annotation(
         documents(spark, sf_dir), "doc_id", "text", A.keyword_annotator(_ANSWER_TERMS), store, LABELS
     )
@@ -146,7 +146,7 @@ def annotation_failed(spark, sf_dir):
     annotate = _refusing(A.keyword_annotator(_ANSWER_TERMS), "license")
     store = scratch_path(spark, "annotations")
     _, failed = A.run_annotation(
-        documents(spark, sf_dir), "doc_id", "text", annotate, store, LABELS, attempts=2
+        documents(spark, sf_dir), "doc_id", "text", annotate, store, LABELS, attempts=2, retry_delay=0
     )
     return failed
 
@@ -159,8 +159,8 @@ def annotation_recovered(spark, sf_dir):
     """A sample joined to a store in which later lines correct earlier ones."""
     store = scratch_path(spark, "annotations")
     done = load_table(spark, f"{sf_dir}/labels.parquet").withColumn("id", F.col("doc_id").cast("string"))
-    append_annotations(done.withColumns({label: 1 - F.col(label) for label in LABELS}), store, LABELS, seq=0)
-    append_annotations(done, store, LABELS, seq=1)
+    append_annotations(done.withColumns({label: 1 - F.col(label) for label in LABELS}), store, LABELS)
+    append_annotations(done, store, LABELS)
     sample = S.stratified_sample(offers(spark, sf_dir), 100, "doc_id", "text", "occ")
     return A.recover_annotations(sample, "doc_id", store, LABELS).select("doc_id", *LABELS)
 
@@ -170,8 +170,8 @@ def annotation_store(spark, sf_dir):
     """Records written twice and read back, the later ones standing."""
     store = scratch_path(spark, "annotations")
     done = load_table(spark, f"{sf_dir}/labels.parquet").withColumn("id", F.col("doc_id").cast("string"))
-    append_annotations(done.withColumns({label: 1 - F.col(label) for label in LABELS}), store, LABELS, seq=0)
-    append_annotations(done, store, LABELS, seq=1)
+    append_annotations(done.withColumns({label: 1 - F.col(label) for label in LABELS}), store, LABELS)
+    append_annotations(done, store, LABELS)
     return read_annotations(spark, store, LABELS)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,20 +86,24 @@ def record_schema(labels: list[str]) -> T.StructType:
 def read_annotations(spark: SparkSession, path: str, labels: list[str]) -> DataFrame:
     """``id`` and labels from JSON lines, the latest line of an id.
 
-    Lines written by ``append_annotations`` carry ``seq``. Lines without it are
-    ordered by file time, file, and place in the file. Blank and broken lines
-    are skipped; a label that a line leaves out is null.
+    Lines in commits (``append_annotations``, ``annotate_store``) are ordered by their
+    ``seq`` and come after all others; those by ``seq`` where they have one, then by file
+    time, file, and place in the file. Blank and broken lines, lines that say an offer
+    failed, and what unfinished appends left are skipped; a label that a line leaves out
+    is null.
     """
     order = F.struct(
+        F.contains(F.col("_metadata.file_path"), F.lit("/commit=")).alias("committed"),
         F.coalesce("seq", F.lit(-1)).alias("seq"),
         F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    lines = spark.read.schema(record_schema(labels)).json(path)
+    lines = _record_lines(spark, readable_records(spark, path), labels)
     return (
-        lines.select("id", F.struct(*labels).alias("record"), order.alias("order"))
+        lines.filter(F.col("_failed").isNull() | ~F.col("_failed"))
+        .select("id", F.struct(*labels).alias("record"), order.alias("order"))
         .filter(F.col("id").isNotNull())
         .groupBy("id")
         .agg(F.max_by("record", "order").alias("record"))
@@ -105,9 +111,67 @@ def read_annotations(spark: SparkSession, path: str, labels: list[str]) -> DataF
     )
 
 
-def append_annotations(annotations: DataFrame, path: str, labels: list[str], seq: int) -> None:
+def _record_lines(spark: SparkSession, paths: list[str], labels: list[str]) -> DataFrame:
+    schema = record_schema(labels).add("_failed", T.BooleanType())
+    if not paths:
+        empty = T.StructType([T.StructField("file_path", T.StringType()), T.StructField("file_modification_time", T.TimestampType()),
+                              T.StructField("file_block_start", T.LongType())])
+        return spark.createDataFrame([], schema.add("_metadata", empty))
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(paths)
+
+
+def append_annotations(annotations: DataFrame, path: str, labels: list[str], seq: int | None = None) -> int:
+    """Adds records as one commit, which is read whole or, until Spark's job committer has
+    marked it complete, not at all. Returns its number, by default the next one; of an id
+    that several commits hold, the highest number stands."""
+    spark = annotations.sparkSession
+    seq = next_commit(spark, path) if seq is None else seq
     rows = annotations.select("id", F.lit(seq).cast("long").alias("seq"), *labels)
-    rows.write.mode("append").json(path)
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").json(commit_path(path, seq, "all"))
+    return seq
+
+
+def append_as_tasks_end(records: DataFrame, path: str, last_seq: int) -> str:
+    """Adds records that are slow to come by: what a task made is in the store as soon as
+    the task has ended, and stays if the job is lost. Rows carry ``seq``, at most
+    ``last_seq``. A task that is repeated writes the same file again. Returns the folder.
+    """
+    folder = commit_path(path, last_seq, "each")
+    records.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").json(folder)
+    return folder
+
+
+def commit_path(path: str, seq: int, kind: str) -> str:
+    """``commit=<number>-<kind>-<unique>``: of kind ``all`` only complete ones count, of
+    kind ``each`` every file does. Writers that run at once never share a folder."""
+    return f"{path.rstrip('/')}/commit={seq:012d}-{kind}-{uuid.uuid4().hex}"
+
+
+def next_commit(spark: SparkSession, path: str) -> int:
+    """One more than the highest number of any commit, from the names of folders alone."""
+    numbers = [re.match(r"commit=(\d+)-", name) for name, _ in _listed(spark, path)]
+    return max((int(n[1]) + 1 for n in numbers if n), default=0)
+
+
+def readable_records(spark: SparkSession, path: str) -> list[str]:
+    """What of a store may be read: all of it, or all but the unfinished commits."""
+    listed = _listed(spark, path)
+    unfinished = {
+        name for name, place in listed
+        if re.match(r"commit=\d+-all-", name) and not path_exists(spark, f"{place}/_SUCCESS")
+    }
+    if not unfinished:
+        return [path]
+    return [place for name, place in listed if name not in unfinished and not name.startswith(("_", "."))]
+
+
+def _listed(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Names and paths right under a folder; nothing for a file or where nothing is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place) or system.getFileStatus(place).isFile():
+        return []
+    return [(s.getPath().getName(), s.getPath().toString()) for s in system.listStatus(place)]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
