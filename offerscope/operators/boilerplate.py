@@ -232,18 +232,19 @@ def boilerplate_report(
 # --- removal --------------------------------------------------------------------
 
 
-def _with_dropped(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
+def _with_dropped(segmented: DataFrame, drop_keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``segmented`` with ``dropped``: the places of the sentences to remove.
 
     When the drop table is measured small, each firm's keys travel to the offers
     by broadcast and nothing is shuffled. Otherwise keys, places and ids are
-    shuffled, and the sentences move once to meet the answer.
+    shuffled, where a broadcast filter of the drop keys does not rule them out first, and
+    the sentences move once to meet the answer.
     """
     none = F.array().cast("array<int>")
     by_firm = drop_keys.groupBy("firm").agg(F.collect_list("key").alias("_drops"))
     widest = drop_keys.groupBy("firm").agg(F.sum(F.octet_length("key") + 16).alias("w"))
     if (
-        fits_broadcast(drop_keys, BROADCAST_BYTES)
+        fits_broadcast(drop_keys, limit)
         and (widest.agg(F.max("w")).first()[0] or 0) <= FIRM_ARRAY_BYTES
     ):
         found = (
@@ -262,7 +263,7 @@ def _with_dropped(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
     placed = segmented.filter(F.col("firm") != "").select(
         "firm", "_place", F.posexplode("keys").alias("place", "key")
     )
-    hits = lookup_join(placed.filter(F.col("key") != ""), drop_keys, ["firm", "key"])
+    hits = lookup_join(placed.filter(F.col("key") != ""), drop_keys, ["firm", "key"], limit=limit, few_match=True)
     by_offer = hits.groupBy("_place").agg(F.collect_list("place").alias("_places"))
     return (
         segmented.join(by_offer, "_place", "left")
@@ -277,14 +278,15 @@ def _kept_text() -> Column:
     return X.minimal_clean(F.array_join(sentences, " "))
 
 
-def remove_boilerplate(segmented: DataFrame, drop_keys: DataFrame) -> DataFrame:
+def remove_boilerplate(segmented: DataFrame, drop_keys: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``offer_id`` (or the kept row) with ``description_clean``: the sentences
     that stay, in order.
 
     An offer made only of boilerplate gives an empty string. ``drop_keys`` must
-    be materialised, as ``learn_boilerplate`` returns it.
+    be materialised, as ``learn_boilerplate`` returns it; above ``limit`` bytes it is not
+    broadcast.
     """
-    return _with_dropped(segmented, drop_keys).select(
+    return _with_dropped(segmented, drop_keys, limit).select(
         "row.*" if "row" in segmented.columns else "offer_id",
         _kept_text().alias("description_clean"),
     )

@@ -242,19 +242,27 @@ def boilerplate_keys(spark, sf_dir):
     return B.learn_boilerplate(_segmented(spark, sf_dir), sim_threshold=1.0)
 
 
-@query(
-    f"""WITH {_DROPS},
-       kept AS (
-         SELECT doc_id, string_agg(sentence, ' ' ORDER BY pos) AS text
-         FROM sentences ANTI JOIN drops USING (firm, key) GROUP BY doc_id)
-       SELECT doc_id AS offer_id, {_CLEAN} AS description_clean
-       FROM (SELECT d.doc_id, k.text FROM documents d LEFT JOIN kept k USING (doc_id))"""
-)
+_REMOVED = f"""WITH {_DROPS},
+    kept AS (
+      SELECT doc_id, string_agg(sentence, ' ' ORDER BY pos) AS text
+      FROM sentences ANTI JOIN drops USING (firm, key) GROUP BY doc_id)
+    SELECT doc_id AS offer_id, {_CLEAN} AS description_clean
+    FROM (SELECT d.doc_id, k.text FROM documents d LEFT JOIN kept k USING (doc_id))"""
+
+
+@query(_REMOVED)
 def boilerplate_removed(spark, sf_dir):
     segmented = _segmented(spark, sf_dir)
     return B.remove_boilerplate(segmented, B.learn_boilerplate(segmented, sim_threshold=1.0))
 
 
+@query(_REMOVED)
+def boilerplate_removed_wide(spark, sf_dir):
+    """As with a drop table too large to broadcast: keys are filtered, then shuffled."""
+    segmented = _segmented(spark, sf_dir)
+    return B.remove_boilerplate(segmented, B.learn_boilerplate(segmented, sim_threshold=1.0), limit=0)
+
+
 @query(
     f"""WITH {_DROPS},
        marked AS (SELECT s.*, d.key IS NOT NULL AS removed FROM sentences s LEFT JOIN drops d USING (firm, key)),
