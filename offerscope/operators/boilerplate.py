@@ -23,6 +23,8 @@ SHORT_RESULT_CHARS = 150
 
 # Partial top lists per firm before the final one.
 KEY_SALTS = 64
+# Offers of a key from which it is spread over salts.
+HOT_DOCS = 10_000
 # Per-firm arrays of drop keys ride on every offer row of the broadcast path.
 FIRM_ARRAY_BYTES = 256 * 1024
 
@@ -136,6 +138,17 @@ def _clusters(frequency: DataFrame, max_keys: int | None, threshold: float) -> D
     return materialize(cluster_keys(keys, threshold), "key-clusters")
 
 
+def _member_hits(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` of member keys with their cluster. Beyond a broadcast, only keys of many
+    offers, which are few, are joined with salts."""
+    on = ["firm", "key"]
+    if fits_broadcast(members):
+        return rows.join(F.broadcast(members), on)
+    hot = F.col("n_docs") > HOT_DOCS
+    rare = lookup_join(rows, members.filter(~hot), on, salts=1, few_match=True)
+    return rare.unionByName(lookup_join(rows, members.filter(hot), on, few_match=True))
+
+
 def cluster_document_frequency(segmented: DataFrame, clusters: DataFrame) -> DataFrame:
     """``firm, cluster_id, df_offers``: offers with at least one member key.
 
@@ -145,8 +158,8 @@ def cluster_document_frequency(segmented: DataFrame, clusters: DataFrame) -> Dat
     single = clusters.filter(F.col("n_members") == 1).select(
         "firm", "cluster_id", F.col("n_docs").alias("df_offers")
     )
-    members = clusters.filter(F.col("n_members") > 1).select("firm", "key", "cluster_id")
-    hits = lookup_join(_distinct_keys(segmented), members, ["firm", "key"])
+    members = clusters.filter(F.col("n_members") > 1).select("firm", "key", "cluster_id", "n_docs")
+    hits = _member_hits(_distinct_keys(segmented), members)
     several = (
         hits.groupBy("firm", "cluster_id", "_row")
         .agg(F.lit(1).alias("one"))
@@ -190,9 +203,9 @@ def learn_boilerplate(
     verdicts = materialize(bounds.filter(F.col("most") >= F.col("floor")), "cluster-bounds")
     certain = verdicts.filter(F.col("least") >= F.col("floor")).select("firm", "cluster_id")
     unsure = verdicts.filter(F.col("least") < F.col("floor"))
+    of_cluster = ["firm", "cluster_id"]
     open_clusters = materialize(
-        clusters.join(unsure.select("firm", "cluster_id"), ["firm", "cluster_id"], "left_semi"),
-        "open-clusters",
+        lookup_join(clusters, unsure.select(*of_cluster), of_cluster, "left_semi"), "open-clusters"
     )
     counted = (
         cluster_document_frequency(segmented, open_clusters)
@@ -200,7 +213,8 @@ def learn_boilerplate(
         .filter(F.col("df_offers") >= F.col("floor"))
         .select("firm", "cluster_id")
     )
-    drops = clusters.join(certain.unionByName(counted), ["firm", "cluster_id"], "left_semi")
+    chosen = materialize(certain.unionByName(counted), "chosen-clusters")
+    drops = lookup_join(clusters.select(*of_cluster, "key"), chosen, of_cluster, "left_semi")
     return materialize(drops.select("firm", "key"), "drop-keys")
 
 
@@ -216,9 +230,13 @@ def boilerplate_report(
     sizes = materialize(firm_sizes(segmented), "firm-sizes")
     clusters = _clusters(key_document_frequency(segmented), max_keys_per_firm, sim_threshold)
     heads = clusters.filter(F.col("key") == F.col("rep")).select(
-        "firm", "cluster_id", "n_members", "rep"
+        "firm", "cluster_id", "n_members", "rep", "n_docs"
     )
-    counted = cluster_document_frequency(segmented, clusters).join(heads, ["firm", "cluster_id"])
+    # a cluster of one key has its count and its name in its own row
+    alone = heads.filter(F.col("n_members") == 1).withColumnRenamed("n_docs", "df_offers")
+    several = clusters.filter(F.col("n_members") > 1)
+    named = heads.filter(F.col("n_members") > 1).drop("n_docs")
+    counted = cluster_document_frequency(segmented, several).join(named, ["firm", "cluster_id"]).unionByName(alone)
     return lookup_join(counted, sizes, ["firm"]).select(
         "firm",
         "cluster_id",

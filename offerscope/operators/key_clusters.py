@@ -11,11 +11,20 @@ it stands in the shorter key, shifted by no more than its number, and by no more
 ``d`` less its number as seen from the end. Segments join substrings by firm, content
 and a bucket of places, candidates are checked by ``levenshtein`` with that limit, and
 leaders are settled in rounds over the few similar pairs.
+
+Keys are shuffled, not their substrings: a key goes whole to the cells of its firm where
+partners of its length are, and is cut there. A cell holds a bounded number of letters of
+longer keys. Candidates are checked there, those first whose counts of letters allow the
+edits, and only similar pairs leave a cell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerscope.operators.joins import lookup_join
@@ -23,6 +32,12 @@ from offerscope.session import materialize
 
 #: Letters of a segment at most, and of a piece in which substrings are looked up.
 SEGMENT, PIECE = 7, 64
+#: Letters of longer keys that are cut into segments in one cell.
+CELL_LETTERS = 8_000_000
+#: Classes of letters that are counted modulo 16, eight to a column; others are in no class.
+BAGS = {"bag": (" ", "e", "a", "t", "n", "o", "i", "r"), "bags": ("s", "h", "d", "lz", "ukq", "cmx", "pgjwv", "byf")}
+#: Whether a join on cell and content may use rows that lie by cell.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def edits(length: Column, threshold: float) -> Column:
@@ -44,68 +59,131 @@ def _segment(length: Column, threshold: float) -> Column:
 
 
 def _width(length: Column) -> Column:
-    """Places of a bucket: some more than segments of a key of this length may shift."""
+    """Places of a bucket: about as many as segments of a key of this length may shift."""
     fourfold = F.floor(F.log2(length) / 2 + F.lit(1e-9))
-    return F.greatest(F.lit(8), F.pow(F.lit(4), fourfold) / 2).cast("int")
+    return F.greatest(F.lit(8), F.pow(F.lit(4), fourfold) / 4).cast("int")
 
 
 def _mark(text: str, place: Column) -> Column:
-    return F.xxhash64(F.col("firm"), F.expr(text), F.col("w"), F.floor(place / F.col("w")))
+    return F.hash(F.expr(text), F.col("w"), F.floor(place / F.col("w")))
+
+
+def _bag(key: str, classes: tuple[str, ...]) -> Column:
+    """Letters of each class, modulo 16, in eight bits each: a run of ones that enters at
+    the low end and leaves at the high one, so counts differ in as many bits as they are
+    apart on the ring."""
+    counts = ["(" + " + ".join(f"length(`{key}`) - length(replace(`{key}`, '{letter}', ''))" for letter in x) + ") & 15" for x in classes]
+    return F.expr(" | ".join(f"shiftleft(shiftright(shiftleft(255L, {c}), 8) & 255L, {8 * k})" for k, c in enumerate(counts)))
+
+
+def _band(length: Column, threshold: float) -> Column:
+    """The length on a scale where similar keys are about one apart at most."""
+    return F.floor(F.log(length.cast("double")) / max(-math.log(threshold), 0.01)).cast("int")
+
 
+def _cells(keys: DataFrame, threshold: float, letters: int) -> tuple[DataFrame, DataFrame]:
+    """The keys as longer and as shorter ones of a pair, with the ``cell`` where they meet.
 
-def _segments(keys: DataFrame, threshold: float) -> DataFrame:
+    A cell is a firm, a band of lengths of the shorter keys, and a share of the longer
+    ones where these have more than so many letters; the shorter keys go to each share.
+    """
+    length = F.col("l")
+    longest = F.floor((length + F.lit(1e-6)) / float(threshold)).cast("int")
+    held = keys.select("firm", "id", "key", "n_docs", "l", *BAGS)
+    longer = held.filter(edits(length, threshold) > 0)
+    least = F.greatest(length - edits(length, threshold), F.lit(1))
+    longer = longer.withColumn("band", F.explode(F.sequence(_band(least, threshold), _band(length, threshold))))
+    shorter = held.filter((edits(longest, threshold) > 0) & (length > 0)).withColumn("band", _band(length, threshold))
+    sizes = longer.groupBy("firm", "band").agg(F.ceil(F.sum("l") / letters).cast("int").alias("shares"))
+    # at most as many rows as cells of full size
+    crowded = F.broadcast(materialize(sizes.filter("shares > 1"), "key-cells"))
+    shares = F.coalesce("shares", F.lit(1))
+    longer = longer.join(crowded, ["firm", "band"], "left").withColumn("share", F.pmod(F.xxhash64("id"), shares).cast("int"))
+    shorter = shorter.join(crowded, ["firm", "band"], "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    columns = [F.hash("firm", "band", "share").alias("cell"), "firm", "id", "key", "n_docs", "l", *BAGS]
+    return longer.select(*columns), shorter.select(*columns)
+
+
+def _segments(longer: DataFrame, threshold: float) -> DataFrame:
     """A row per segment of a key and bucket of places where its like may begin."""
-    held = keys.withColumn("d", edits(F.col("l"), threshold)).filter("d > 0")
+    held = longer.withColumn("d", edits(F.col("l"), threshold))
     held = held.withColumn("q", _segment(F.col("l"), threshold)).withColumn("w", _width(F.col("l")))
     held = held.withColumn("at", F.expr(f"explode(transform(sequence(0, cast(floor(d * q / {PIECE}) as int)), k -> k * {PIECE}))"))
     held = held.withColumn("s", F.expr(f"substring(key, at + 1, {PIECE - 1} + q)"))
     inside = f"sequence(cast(ceil(at / q) as int), least(d, cast(floor((at + {PIECE - 1}) / q) as int)))"
-    held = held.filter("ceil(at / q) <= d").select("firm", "id", "l", "d", "q", "w", "at", "s", F.expr(f"explode({inside})").alias("i"))
+    held = held.filter("ceil(at / q) <= d").select("cell", "id", "l", *BAGS, "d", "q", "w", "at", "s", F.expr(f"explode({inside})").alias("i"))
     held = held.withColumn("p", F.col("i") * F.col("q"))
     low = F.floor(F.greatest(F.col("p") - F.col("i"), F.lit(0)) / F.col("w"))
     high = F.floor((F.col("p") + F.least(F.col("i"), F.col("d") - F.col("i"))) / F.col("w"))
     held = held.withColumn("bucket", F.explode(F.sequence(low, high)))
-    return held.select(_mark("substring(s, p - at + 1, q)", F.col("bucket") * F.col("w")).alias("h"), "id", "l", "d", "i", "p")
+    mark = _mark("substring(s, p - at + 1, q)", F.col("bucket") * F.col("w"))
+    return held.select("cell", mark.alias("h"), "id", "l", *BAGS, "d", "i", "p")
 
 
-def _substrings(keys: DataFrame, threshold: float) -> DataFrame:
+def _substrings(shorter: DataFrame, threshold: float) -> DataFrame:
     """A row per place of a key and kind of segment that a longer partner may have."""
     longest = F.floor((F.col("l") + F.lit(1e-6)) / float(threshold)).cast("int")
     kinds = F.transform(F.sequence(F.col("l"), longest), lambda l: F.struct(_segment(l, threshold).alias("q"), _width(l).alias("w")))
-    held = keys.filter(edits(longest, threshold) > 0).select("firm", "id", "l", "key", F.explode(F.array_distinct(kinds)).alias("kind"))
-    held = held.select("firm", "id", "l", "key", "kind.*").filter("l >= q")
+    held = shorter.select("cell", "id", "l", *BAGS, "key", F.explode(F.array_distinct(kinds)).alias("kind"))
+    held = held.select("cell", "id", "l", *BAGS, "key", "kind.*").filter("l >= q")
     pieces = F.expr(
         f"transform(sequence(0, cast(floor((l - q) / {PIECE}) as int)), k -> struct(k * {PIECE} as at, substring(key, k * {PIECE} + 1, {PIECE - 1} + q) as s))"
     )
-    held = held.select("firm", "id", "l", "q", "w", F.explode(pieces).alias("x"))
-    held = held.select("firm", "id", "l", "q", "w", "x.*", F.expr(f"explode(sequence(0, least({PIECE - 1}, l - q - x.at)))").alias("j"))
+    held = held.select("cell", "id", "l", *BAGS, "q", "w", F.explode(pieces).alias("x"))
+    held = held.select("cell", "id", "l", *BAGS, "q", "w", "x.*", F.expr(f"explode(sequence(0, least({PIECE - 1}, l - q - x.at)))").alias("j"))
     place = F.col("at") + F.col("j")
+    mark = _mark("substring(s, j + 1, q)", place)
     return held.select(
-        _mark("substring(s, j + 1, q)", place).alias("h"), F.col("id").alias("id2"), F.col("l").alias("l2"), place.alias("p2"),
+        "cell", mark.alias("h"), F.col("id").alias("id2"), F.col("l").alias("l2"), *[F.col(x).alias(f"{x}2") for x in BAGS], place.alias("p2")
     )
 
 
-def similar_pairs(keys: DataFrame, threshold: float) -> DataFrame:
-    """``a, b``: ids of similar keys of one firm, ``a`` before ``b`` in the firm's order.
+@contextmanager
+def _joined_where_they_lie(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CO_PARTITION, "true")
+    spark.conf.set(CO_PARTITION, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(CO_PARTITION, before)
 
-    ``keys``: materialised ``id, firm, key, l, n_docs``; keys of a firm differ.
-    """
+
+def _found(keys: DataFrame, threshold: float, letters: int) -> DataFrame:
+    spark = keys.sparkSession
     shift = F.col("p2") - F.col("p")
     near = (F.abs(shift) <= F.col("i")) & (F.abs(shift + F.col("l") - F.col("l2")) <= F.col("d") - F.col("i"))
     fits = (F.col("l2") <= F.col("l")) & (F.col("l") - F.col("l2") <= F.col("d")) & (F.col("id") != F.col("id2"))
+    # a substitution changes two counts by one, another edit one
+    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}2"))) for x in BAGS), F.lit(0))
+    alike = apart <= 2 * F.col("d") - (F.col("l") - F.col("l2"))
+    total = keys.agg(F.sum("l")).first()[0] or 0
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    parts = max(least, math.ceil(2 * total / letters))
+    longer, shorter = (side.repartition(parts, "cell") for side in _cells(keys, threshold, letters))
     # the segments are a sixth of the substrings: hashing them saves sorting both
-    segments = _segments(keys, threshold).hint("shuffle_hash")
-    found = segments.join(_substrings(keys, threshold), "h").filter(fits & near)
-    pairs = found.select(F.greatest("id", "id2").alias("u"), F.least("id", "id2").alias("v")).distinct()
-    pairs = materialize(pairs, "key-candidates")
-    text = keys.select("id", "firm", "key", "l", "n_docs")
-    for end in ("u", "v"):
-        columns = [F.col(c).alias(end if c == "id" else f"{c}_{end}") for c in text.columns]
-        pairs = pairs.join(text.select(*columns), end)
-    # marks of two firms may be equal
+    segments = _segments(longer, threshold).hint("shuffle_hash")
+    pairs = segments.join(_substrings(shorter, threshold), ["cell", "h"]).filter(fits & near).filter(alike)
+    pairs = pairs.select("cell", "id", "id2").distinct()
+    for side, key_id, end in ((longer, "id", "u"), (shorter, "id2", "v")):
+        held = side.select("cell", F.col("id").alias(key_id), *[F.col(c).alias(f"{c}_{end}") for c in ("firm", "key", "n_docs")])
+        pairs = pairs.join(held, ["cell", key_id])
+    # cells of two firms may be equal
     pairs = pairs.filter((F.col("firm_u") == F.col("firm_v")) & similar("key_u", "key_v", threshold))
     first = F.struct((-F.col("n_docs_u")).alias("n"), F.col("key_u").alias("k")) < F.struct((-F.col("n_docs_v")).alias("n"), F.col("key_v").alias("k"))
-    return pairs.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("a"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("b"))
+    a = F.when(first, F.col("id")).otherwise(F.col("id2"))
+    b = F.when(first, F.col("id2")).otherwise(F.col("id"))
+    return pairs.select(a.alias("a"), b.alias("b")).distinct()  # of equal length, each is the longer one once
+
+
+def similar_pairs(keys: DataFrame, threshold: float, letters: int = CELL_LETTERS) -> DataFrame:
+    """The materialised table ``a, b``: ids of similar keys of one firm, ``a`` before ``b``
+    in the firm's order.
+
+    ``keys``: materialised ``id, firm, key, l, n_docs`` and the counts of letters; keys of
+    a firm differ.
+    """
+    with _joined_where_they_lie(keys.sparkSession):
+        return materialize(_found(keys, threshold, letters), "key-pairs")
 
 
 def followers(pairs: DataFrame) -> DataFrame:
@@ -148,18 +226,21 @@ def _numbered(heads: DataFrame) -> DataFrame:
 def cluster_keys(frequency: DataFrame, threshold: float) -> DataFrame:
     """``firm, key, n_docs, cluster_id, rep, n_members`` for the keys of each firm; clusters are
     numbered in the order of their leaders."""
-    keys = frequency.select("firm", "key", "n_docs", F.length("key").alias("l"))
+    bags = [_bag("key", classes).alias(name) for name, classes in BAGS.items()]
+    keys = frequency.select("firm", "key", "n_docs", F.length("key").alias("l"), *bags)
     keys = materialize(keys.withColumn("id", F.monotonically_increasing_id()), "keys")
-    pairs = materialize(similar_pairs(keys, threshold), "key-pairs")
+    pairs = similar_pairs(keys, threshold)
     follow = materialize(followers(pairs), "key-followers")
     order = keys.select(F.col("id").alias("a"), F.struct((-F.col("n_docs")).alias("n"), F.col("key").alias("k")).alias("order"))
     led = pairs.join(follow.withColumnRenamed("id", "a"), "a", "left_anti").join(order, "a")
     led = led.groupBy("b").agg(F.min_by("a", "order").alias("lead"), F.min("order").alias("order"))
     led = materialize(led.select(F.col("b").alias("id"), "lead", F.col("order.k").alias("lead_key")), "key-leaders")
-    heads = _numbered(lookup_join(keys, follow, ["id"], "left_anti").select("firm", "n_docs", "key", "id"))
+    # ids are unique: no salts
+    heads = _numbered(lookup_join(keys, follow, ["id"], "left_anti", salts=1).select("firm", "n_docs", "key", "id"))
     sizes = led.groupBy(F.col("lead").alias("id")).agg((F.count("*") + 1).alias("n_members"))
-    heads = heads.join(sizes, "id", "left").withColumn("n_members", F.coalesce("n_members", F.lit(1)))
-    heads = materialize(heads, "clusters")
+    heads = lookup_join(heads, materialize(sizes, "cluster-sizes"), ["id"], "left", salts=1)
+    heads = materialize(heads.withColumn("n_members", F.coalesce("n_members", F.lit(1))), "clusters")
     out = ["firm", "key", "n_docs", "cluster_id", "rep", "n_members"]
-    members = keys.join(led, "id").join(heads.select(F.col("id").alias("lead"), "cluster_id", "n_members"), "lead")
+    leaders = heads.filter("n_members > 1").select(F.col("id").alias("lead"), "cluster_id", "n_members")
+    members = lookup_join(keys, led, ["id"], salts=1, few_match=True).join(leaders, "lead")
     return heads.withColumn("rep", F.col("key")).select(*out).unionByName(members.withColumn("rep", F.col("lead_key")).select(*out))

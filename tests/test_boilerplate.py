@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,33 @@ def test_no_keys_have_no_clusters(spark):
     assert K.cluster_keys(frame, 0.88).collect() == []
 
 
+def test_similar_pairs_meet_in_cells(spark):
+    """Whole keys are shuffled, not their substrings, and crowded cells lose no pair."""
+    draw, rows = random.Random(5), []
+    words = ["and", "ing", "ndre", "tion", "he", "ouor", "est", "ünd", "zoo"]
+    for firm in ("a", "b"):
+        texts = {" ".join(draw.choices(words, k=draw.randint(1, 30))) for _ in range(60)}
+        for text in list(texts):
+            for _ in range(2):
+                at = draw.randrange(len(text))
+                texts.add(text[:at] + draw.choice("xyz") + text[at + draw.randint(0, 2) :])
+        rows += [(firm, text, draw.randint(1, 3)) for text in sorted(texts)]
+    numbered = [(i, *row, len(row[1])) for i, row in enumerate(rows)]
+    keys = spark.createDataFrame(numbered, "id long, firm string, key string, n_docs long, l int")
+    keys = keys.select("*", *[K._bag("key", classes).alias(name) for name, classes in K.BAGS.items()])
+    every = keys.crossJoin(keys.select(*[F.col(c).alias(f"{c}2") for c in keys.columns]))
+    every = every.filter((F.col("firm") == F.col("firm2")) & (F.col("id") < F.col("id2")) & K.similar("key", "key2", 0.88))
+    wanted = {(r["id"], r["id2"]) for r in every.collect()}
+    assert len(wanted) > 50
+    for letters in (200, 8_000_000):
+        found = [(min(r), max(r)) for r in K.similar_pairs(keys, 0.88, letters).collect()]
+        assert len(found) == len(wanted) and set(found) == wanted
+    with K._joined_where_they_lie(spark):
+        plan = K._found(keys, 0.88, 200)._jdf.queryExecution().executedPlan().toString()
+    places = re.findall(r"Exchange hashpartitioning\(([a-z]+)#", plan)
+    assert places and set(places) <= {"cell", "a"}  # "a": the distinct pairs
+
+
 @pytest.mark.parametrize("ids", [(1, 2, 3, 4), (None, None, None, None), (7, 7, 7, 7)])
 def test_offers_are_counted_by_row_whatever_their_ids(spark, ids):
     texts = ["Nous recrutons des personnes motivees a Lyon.", "Nous recrutons des personnes motivees a Lyom.",
