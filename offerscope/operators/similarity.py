@@ -84,7 +84,7 @@ def pair_statistics(df: DataFrame, vector_col: str) -> DataFrame:
     )
 
 
-def _block_matrices(units: DataFrame, key_col: str, block_rows: int) -> tuple[DataFrame, int]:
+def _block_matrices(units: DataFrame, key_col: str, block_rows: int) -> DataFrame:
     """Unit vectors packed into one binary row per block of about ``block_rows``.
 
     Blocks go by the unique key, not by the vector: copies of one vector spread
@@ -102,37 +102,28 @@ def _block_matrices(units: DataFrame, key_col: str, block_rows: int) -> tuple[Da
             }
         )
 
-    packed = (
+    return (
         units.select("u", F.pmod(F.xxhash64(key_col), F.lit(blocks)).cast("int").alias("block"))
         .groupBy("block")
         .applyInPandas(pack, "block int, dims int, matrix binary")
     )
-    return packed, blocks
-
-
-def _block_pairs(packed: DataFrame, blocks: int) -> DataFrame:
-    """Each matrix once for every pair of blocks it belongs to."""
-    other = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return other.select(
-        F.least("block", "other").alias("bi"),
-        F.greatest("block", "other").alias("bj"),
-        "block",
-        "dims",
-        "matrix",
-    )
 
 
-def _similarities(group: pd.DataFrame):
+def _block_pairs(packed: DataFrame) -> DataFrame:
+    """A row per pair of blocks. Tasks read both from the stored table, whose size keeps
+    the product from a broadcast beyond small tables, so blocks are not shuffled."""
+    left, right = (packed.select(*[F.col(c).alias(f"{c}_{end}") for c in packed.columns]) for end in ("i", "j"))
+    # a pair of blocks is met where the sum of their numbers says, so partitions share the work
+    even = (F.col("block_i") + F.col("block_j")) % 2 == 0
+    once = (even & (F.col("block_i") <= F.col("block_j"))) | (~even & (F.col("block_i") > F.col("block_j")))
+    return left.join(right, once)
+
+
+def _similarities(row: dict):
     """Chunks of cosines for one pair of blocks, each pair of rows once."""
-    group = group.sort_values("block")
-    parts = [
-        np.frombuffer(m, dtype=np.float64).reshape(-1, d)
-        for m, d in zip(group["matrix"], group["dims"])
-    ]
-    same = group["bi"].iloc[0] == group["bj"].iloc[0]
-    if not same and len(parts) < 2:
-        return
-    left, right = parts[0], parts[-1]
+    ends = sorted("ij", key=lambda end: row[f"block_{end}"])
+    left, right = (np.frombuffer(row[f"matrix_{e}"], dtype=np.float64).reshape(-1, row[f"dims_{e}"]) for e in ends)
+    same = row["block_i"] == row["block_j"]
     for start in range(0, len(left), CHUNK_ROWS):
         cosines = left[start : start + CHUNK_ROWS] @ right.T
         if same:
@@ -142,6 +133,12 @@ def _similarities(group: pd.DataFrame):
             yield cosines.ravel()
 
 
+def _all_similarities(batches):
+    for batch in batches:
+        for at in range(batch.num_rows):
+            yield from _similarities(batch.slice(at, 1).to_pylist()[0])
+
+
 def pair_histogram(
     df: DataFrame, key_col: str, vector_col: str, bins: int = 300, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -149,34 +146,34 @@ def pair_histogram(
     to the greatest; the last bin is closed.
 
     Rows are hashed to blocks, and each pair of blocks is one matrix product that
-    gives back its range, then its counts. Pairs of rows are never stored. The
-    shuffle carries every block once per block.
+    gives back its range, then its counts. Pairs of rows are never stored, and each
+    task gives one range and one list of counts; the shuffle carries every vector once.
     """
     spark = df.sparkSession
-    packed, blocks = _block_matrices(_units(df, vector_col, key_col), key_col, block_rows)
-    pairs = _block_pairs(materialize(packed, "vector-blocks"), blocks).groupBy("bi", "bj")
+    packed = _block_matrices(_units(df, vector_col, key_col), key_col, block_rows)
+    pairs = _block_pairs(materialize(packed, "vector-blocks"))
 
-    def extent(group: pd.DataFrame) -> pd.DataFrame:
-        ends = [(c.min(), c.max()) for c in _similarities(group) if c.size]
-        if not ends:
-            return pd.DataFrame({"lo": [], "hi": []})
-        return pd.DataFrame({"lo": [min(e[0] for e in ends)], "hi": [max(e[1] for e in ends)]})
+    def extent(batches):
+        ends = [(c.min(), c.max()) for c in _all_similarities(batches) if c.size]
+        if ends:
+            lo, hi = min(e[0] for e in ends), max(e[1] for e in ends)
+            yield pa.RecordBatch.from_pydict({"lo": pa.array([lo], pa.float64()), "hi": pa.array([hi], pa.float64())})
 
-    ends = pairs.applyInPandas(extent, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
+    ends = pairs.mapInArrow(extent, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
     numbers = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     if ends[0] is None:
         return numbers.select("bin", F.lit(None).cast("double").alias("lower"), F.lit(0).cast("long").alias("n_pairs"))
     lo, width = _bin_grid(ends[0], ends[1], bins)
 
-    def count(group: pd.DataFrame) -> pd.DataFrame:
+    def count(batches):
         total = np.zeros(bins, dtype=np.int64)
-        for cosines in _similarities(group):
+        for cosines in _all_similarities(batches):
             place = np.minimum(np.floor((cosines - lo) / width).astype(np.int64), bins - 1)
             total += np.bincount(place, minlength=bins)
         held = np.nonzero(total)[0]
-        return pd.DataFrame({"bin": held.astype(np.int32), "n": total[held]})
+        yield pa.RecordBatch.from_pydict({"bin": pa.array(held, pa.int32()), "n": pa.array(total[held], pa.int64())})
 
-    counts = pairs.applyInPandas(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    counts = pairs.mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     return _all_bins(numbers, counts, lo, width, "n_pairs")
 
 

@@ -11,6 +11,7 @@ from offerscope.operators import groups as G
 from offerscope.operators import pca as P
 from offerscope.operators import ranges as R
 from offerscope.operators import similarity as S
+from offerscope.session import materialize
 
 
 def table(spark, n=400, dims=6, seed=0, zeros=()):
@@ -177,3 +178,14 @@ def test_components_leave_rows_without_a_vector_alone(spark):
     assert all(np.allclose(got[k], right[k], atol=1e-5) for k in right)
     with pytest.raises(ValueError, match="no vectors"):
         P.fit_components(with_null.filter("v is null"), "v")
+
+
+def test_pair_histogram_shuffles_no_block_twice(spark):
+    rng = np.random.default_rng(8)
+    frame = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(90)], "id int, v array<double>")
+    packed = materialize(S._block_matrices(S._units(frame, "v", "id"), "id", 8), "blocks")
+    plan = S._block_pairs(packed)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Explode" not in plan
+    met = [tuple(sorted(r)) for r in S._block_pairs(packed).select("block_i", "block_j").collect()]
+    blocks = [r["block"] for r in packed.select("block").collect()]
+    assert len(met) == len(set(met)) == len(blocks) * (len(blocks) + 1) // 2
