@@ -19,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -79,7 +80,29 @@ def probability(margin: np.ndarray) -> np.ndarray:
 def training_table(df: DataFrame, features_col: str, labels: list[str]) -> DataFrame:
     """What the passes read, stored once."""
     marks = F.array(*[F.coalesce(F.col(label).cast("double"), F.lit(-1.0)) for label in labels])
-    return materialize(df.select(*sparse_parts(F.col(features_col)), marks.alias("labels")), "features")
+    rows = df.select(*sparse_parts(F.col(features_col)), marks.alias("labels"))
+    return materialize(rows.mapInArrow(_packed, "places binary, values binary, labels array<double>"), "features")
+
+
+def _packed(batches):
+    """Lists of numbers as bytes, which the passes take over whole, not number by number."""
+    for batch in batches:
+        columns = []
+        for column, kind in zip(batch.columns[:2], ("<i4", "<f8")):
+            flat = np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False), kind)
+            lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(lengths)]) * flat.itemsize
+            offsets = pa.py_buffer(ends.astype("<i8").tobytes())
+            whole = pa.Array.from_buffers(pa.large_binary(), len(column), [None, offsets, pa.py_buffer(flat.tobytes())])
+            columns.append(whole.cast(pa.binary()))
+        yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["places", "values", "labels"])
+
+
+def packed_rows(places: pa.Array, values: pa.Array) -> Rows:
+    """``sparse_rows`` of a stored table."""
+    lengths = pc.binary_length(places).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    place, value = (np.frombuffer(b"".join(x.to_pylist()), kind) for x, kind in ((places, "<i4"), (values, "<f8")))
+    return Rows(len(lengths), np.repeat(np.arange(len(lengths)), lengths), place, value)
 
 
 def _sums(table: DataFrame, problems: list[Problem], width: int, add) -> np.ndarray:
@@ -95,7 +118,7 @@ def _sums(table: DataFrame, problems: list[Problem], width: int, add) -> np.ndar
                 part = batch.slice(at, BLOCK_ROWS)
                 marks = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)[:, label]
                 weight = np.where(marks == 1, positive, np.where(marks == 0, 1.0, 0.0))
-                add(total, sparse_rows(part.column(0), part.column(1)), (marks == 1).astype(float), weight)
+                add(total, packed_rows(part.column(0), part.column(1)), (marks == 1).astype(float), weight)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(problems)), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], ["i", "part"]
         )

@@ -17,6 +17,7 @@ from offerscope.functions import text as X
 from offerscope.operators import linear
 from offerscope.operators.metrics import macro_ranking_quality, ranking_quality
 from offerscope.operators.quality import class_weights
+from offerscope.session import materialize
 
 # Rows per model call when embedding and when scoring.
 EMBED_BATCH = 64
@@ -170,8 +171,13 @@ def train_label_models(
     """A model per penalty. All labels and penalties are fitted in the same passes over
     the stored features."""
     clean = train.withColumn("_text", X.minimal_clean(F.col(text_col)))
-    features = Pipeline(stages=_text_features("_text", "_features", dims)).fit(clean)
-    table = linear.training_table(features.transform(clean), "_features", labels)
+    words, *rest = _text_features("_text", "_features", dims)
+    counted = PipelineModel([words, rest[0]]).transform(clean)
+    # texts are cut into words once; their counts serve the document frequencies and the features
+    counted = materialize(counted.select("_counts", *labels), "word-counts")
+    weighted_features = Pipeline(stages=rest[1:]).fit(counted)
+    features = PipelineModel([words, rest[0], *weighted_features.stages])
+    table = linear.training_table(weighted_features.transform(counted), "_features", labels)
     marks = train.select(*labels)
     weights = {r["label"]: r["pos_weight"] for r in class_weights(marks, labels).collect()} if weighted else {}
     problems = [

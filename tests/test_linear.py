@@ -57,3 +57,12 @@ def test_rows_without_a_label_and_labels_of_one_class(spark, frame):
         linear.fit(linear.training_table(half.filter("l1 = 0"), "x", ["some"]), [linear.Problem(0, 1.0, 0.1)], DIMS)
     with pytest.raises(ValueError, match="no rows"):
         linear.fit(linear.training_table(half.limit(0), "x", ["l0"]), [linear.Problem(0, 1.0, 0.1)], DIMS)
+
+
+def test_training_rows_are_stored_as_bytes(spark):
+    """Passes take a row's numbers over whole; an empty vector keeps its row."""
+    rows = [(Vectors.sparse(5, {1: 0.5, 4: 2.0}), 1), (Vectors.sparse(5, {}), 0), (Vectors.dense([1, 2, 3, 4, 5]), 1)]
+    table = linear.training_table(spark.createDataFrame(rows, ["x", "y"]), "x", ["y"])
+    assert dict(table.dtypes)["places"] == dict(table.dtypes)["values"] == "binary"
+    held = sorted((np.frombuffer(r["places"], "<i4").tolist(), np.frombuffer(r["values"], "<f8").tolist(), r["labels"]) for r in table.collect())
+    assert held == [([], [], [0.0]), ([0, 1, 2, 3, 4], [1, 2, 3, 4, 5], [1.0]), ([1, 4], [0.5, 2.0], [1.0])]
