@@ -62,6 +62,14 @@ def test_components_equal_union_find(spark, limit):
     assert common.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_stars_are_components_without_a_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    edges = spark.createDataFrame([(7, 1), (1, 9), (9, 1), (5, 4), (3, 3)], "u long, v long")
+    assert sorted(map(tuple, common.connected_components(edges).collect())) == [(1, 1), (4, 4), (5, 4), (7, 1), (9, 1)]
+    assert written == ["edges"]
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 @settings(deadline=None)
 @given(texts=st.lists(st.text(st.one_of(st.sampled_from(" \n\t\r'.,!a\xa0\x1c\x85́éßΣİx1١<|>"), st.characters(codec="utf-8")), max_size=40), max_size=6))
@@ -74,6 +82,16 @@ def test_cut_texts_encode_like_whole_ones(path, texts):
 _ENCODERS = {}
 
 
+def test_words_with_odd_space_are_found_by_one_pattern():
+    import sys
+
+    from offerscope.llm.tokens import ODD_SPACE
+
+    letters = map(chr, range(sys.maxunicode + 1))
+    odd = [c for c in letters if (c.isspace() or c in "\u180e\u200b\u2060\ufeff") and c not in " \n\t\r"]
+    assert ODD_SPACE.findall("".join(map(chr, range(sys.maxunicode + 1)))) == odd
+
+
 # --- WARC ------------------------------------------------------------------------------
 
 
@@ -200,6 +218,23 @@ def test_near_texts_equal_brute_force(spark, monkeypatch, limit, meet):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str) == expected
 
 
+def test_hashes_of_words_tell_them_apart_and_keep_nothing():
+    import tracemalloc
+
+    made = near_text.Shingles(2)
+    words = [c * n for c in ("a", "b", "\0", "é") for n in range(1, 70)] + [f"{'x' * n}{k}" for n in (0, 5, 8, 60, 70) for k in range(100)]
+    hashed = made._words(" \t".join(words).encode())
+    assert len(hashed) == len(set(words)) == len(set(hashed.tolist()))
+    assert made._words(("\n " + "\x0b".join(words[::-1]) + "\r").encode()).tolist() == hashed[::-1].tolist()
+    assert len(made._words(b" \n")) == len(made._words(b"")) == 0
+    text = " ".join(f"w{k}" for k in range(100_000))
+    tracemalloc.start()
+    made.of(text)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 100_000
+
+
 def test_near_texts_of_an_empty_table(spark):
     assert near_text.similar_documents(docs(spark, [])).count() == 0
 
