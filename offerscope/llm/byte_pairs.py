@@ -20,6 +20,8 @@ are plain text. An id that the vocabulary does not have raises when decoded.
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Callable
 from heapq import heappop, heappush
 
 import numpy as np
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from offerscope.llm import files
 from offerscope.llm.common import plain
+from offerscope.llm.tokens import KEEPS_SPACE
 
 #: Bytes that a worker's cache of pre-tokens may take, half of them for those met since
 #: the last change; what an entry takes beside its letters and ids; the longest kept.
@@ -46,6 +49,33 @@ TOGETHER, FEW, TOGETHER_BYTES = 40, 20, 256
 WORD_BITS = 8
 
 
+#: Letters below this are listed in the plain pattern, class by class.
+LISTED = 0x2070
+
+
+def _listed(kind: str) -> str:
+    """The listed letters of a class of the ``regex`` module, as ranges."""
+    known = {code for code in range(LISTED) if regex.match(kind, chr(code))}
+    starts = sorted(code for code in known if code - 1 not in known)
+    ends = sorted(code for code in known if code + 1 not in known)
+    return "".join(f"\\u{start:04x}-\\u{end:04x}" for start, end in zip(starts, ends))
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """The matches of a pattern in a text. Those of the byte-level pattern come from ``re``,
+    which is faster, where all letters of the text are listed."""
+    every = regex.compile(pattern).findall
+    if pattern != KEEPS_SPACE:
+        return every
+    letter, number, space = (_listed(kind) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+    # a contraction begins with a mark and the first two runs do not, so these may be tried first
+    listed = re.compile(
+        f" ?[{letter}]+| ?[{number}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+    ).findall
+    other = re.compile(f"[{chr(LISTED)}-\U0010ffff]").search
+    return lambda text: every(text) if other(text) else listed(text)
+
+
 class RankQueue:
     """Positions by rank: a heap per rank, and bit words that say which ranks have one."""
 
@@ -131,7 +161,7 @@ class BytePairs:
         table = np.array(sorted(splits), np.int64).reshape(-1, 2)
         #: Pairs of tokens that are joined to one, in order, and its rank.
         self.pairs, self.joined = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
-        self.find = regex.compile(pattern).findall
+        self.find = finder(pattern)
         self.cache, self.older, self.held = {}, {}, 0
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:

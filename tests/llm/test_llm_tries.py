@@ -251,3 +251,21 @@ def test_a_parent_resumes_where_its_child_was():
     for slot in range(5):
         assert parent.fold(slot, children[slot]) == parent.digest
         assert parent.fold(slot, b"x") == sha(b"".join([*children[:slot], b"x", *children[slot + 1 :]])).encode()
+
+
+def test_listed_letters_are_cut_by_the_plain_pattern():
+    import random
+    import sys
+
+    import regex
+
+    every = regex.compile(public_tokenizers.PATTERN).findall
+    letters = [chr(code) for code in range(sys.maxunicode + 1) if not 0xD800 <= code < 0xE000]
+    for c in letters[:10_000] + letters[::7]:
+        text = f"a 1.{c}{c} {c}'s{c}"
+        assert PAIRS.find(text) == every(text)
+    draw = random.Random(1)
+    for _ in range(5000):
+        text = "".join(draw.choices("  \n\t\r\x0b\x1c\x85\xa0''stremvld.,!aZé1²½İ\u2003\u3000", k=draw.randrange(12)))
+        assert PAIRS.find(text) == every(text)
+    assert "listed" in PAIRS.find.__code__.co_freevars
