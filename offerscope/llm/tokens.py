@@ -36,9 +36,8 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(other)}
 
 
-def _odd(word: str) -> bool:
-    """Whether white space other than the four plain kinds stands in ``word``."""
-    return any(c.isspace() or c in "᠎​⁠﻿" for c in word.lstrip(" \n\t\r"))
+#: White space other than the four plain kinds, and signs without width.
+ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 
 def _cuts(spec: dict) -> tuple[Callable[[str], list[str]], bool] | None:
@@ -157,7 +156,7 @@ class Encoder:
             parts.append(words)
             new |= set(words).difference(self.words)
         fresh = list(new)
-        odd = set(filter(_odd, fresh)) if strict else set()
+        odd = set(filter(ODD_SPACE.search, fresh)) if strict else set()
         self._learn(fresh)
         out = []
         for text, words in zip(texts, parts):
