@@ -29,7 +29,7 @@ from offerscope.session import scratch_path
 
 #: Pieces that are packed in one task; more pieces are packed in more groups.
 GROUP_PIECES = 50_000
-BATCH_TEXTS = 256
+BATCH_TEXTS = 1024
 
 
 def cut_pieces(

@@ -30,7 +30,7 @@ from offerscope.llm.tokens import encoder
 from offerscope.session import scratch_path
 
 FRAME_IDS = 65_536
-BATCH_TEXTS = 256
+BATCH_TEXTS = 1024
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, DOCUMENTS = 0x184D2A5E, 0x8F92EAB1, 0x184D2A50
 _FOOTER, _ENTRY, _HEAD, _DOCUMENT = "<IBI", "<III", "<II", "<?qq"

@@ -1,7 +1,7 @@
 """Token ids of whole texts with a tokenizer file, fast on large corpora.
 
-The tokenizers library encodes every distinct word once per worker and its ids are
-put together from a bounded cache. That is exact where the file's own rules cut the
+Texts are split at spaces by Arrow, the tokenizers library encodes every distinct word once per
+worker, and ids are put together from a bounded cache. That is exact where the file's own rules cut the
 text at the same places: ``_cuts`` recognises the two pre-tokenizers for which it
 holds; texts of any other file are encoded whole, and so are texts that hold an added token
 such as ``<|endoftext|>``. That gets its own id, as the library has it, unless the caller
@@ -17,10 +17,15 @@ from array import array
 from collections.abc import Callable
 from string import punctuation
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from offerscope.llm.files import worker_state
 
-#: Words in a worker's cache before it starts anew, and the longest word kept.
-CACHE_WORDS = 1_200_000
+#: Words in a worker's cache before it begins a new one and keeps only that one beside it,
+#: and the longest word kept.
+CACHE_WORDS = 300_000
 CACHE_WORD_CHARS = 48
 
 #: The pre-token patterns after which texts are cut at white space.
@@ -66,6 +71,15 @@ def _cuts(spec: dict) -> tuple[Callable[[str], list[str]], bool] | None:
     return None
 
 
+#: A run of Latin-1 letters, with the space it owns; the same with ASCII marks after it.
+PLAIN = re.compile(r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+").fullmatch
+MARKED = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Encodes texts to the little-endian unsigned 32-bit bytes of their ids."""
 
@@ -85,6 +99,7 @@ class Encoder:
         self.cut = None if known or spec.get("truncation") or spec.get("post_processor") else _cuts(spec)
         self.keeps = self.cut is not None and self.cut[1]
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = WhitespaceSplit()
         self.alphabet = byte_alphabet() | {10: "\n"}  # line ends stand between words
@@ -93,13 +108,8 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _plain(self, word: str) -> bool:
-        """Whether a word is one run of Latin-1 letters, with the space it owns."""
-        letters = word[1:] if self.keeps and word[:1] == " " else word
-        return letters.isalpha() and (letters.isascii() or max(letters) <= "\xff")
-
     def _runs(self, words: list[str]) -> list[bytes]:
-        """Ids of plain words. Each is one pre-token, so the file's model gets it without
+        """Ids of ``PLAIN`` words. Each is one pre-token, so the file's model gets it without
         the steps before; lower case and normal forms are simple in Latin-1."""
         out = []
         for at in range(0, len(words), 256):
@@ -112,61 +122,106 @@ class Encoder:
             out += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
         return out
 
-    def _learn(self, fresh: list[str]) -> None:
-        """Adds words to the cache. One of letters and then ASCII marks is put together
-        from both parts: the patterns end a run of letters before marks, and no mark
-        before white space begins a contraction."""
-        parted, wanted = [], set()
-        for word in fresh:
+    def _parts(self, span: str) -> list[str]:
+        """The words of a span, as they are cached. One of letters and then ASCII marks is
+        put together from both parts: the patterns end a run of letters before marks, and no
+        mark before white space begins a contraction."""
+        cut, keeps = self.cut
+        parts = []
+        for word in cut(span):
+            if keeps and word[0] == "\n" and word[1:2].isalpha():  # a line end is a pre-token of its own
+                parts.append("\n")
+                word = word[1:]
             core = word.rstrip(punctuation)
-            if self.keeps and word[0] == "\n" and word[1:2].isalpha():  # a line end is a pre-token of its own
-                parted.append((word, "\n", word[1:]))
-                wanted.add("\n")
-                wanted.add(word[1:])
-            elif len(core) < len(word) and core.lstrip(" \n\t\r").isalpha():
-                tail = word[len(core) :]
-                parted.append((word, core, tail))
-                wanted.add(core)
-                wanted.add(tail)
+            if len(core) < len(word) and core.lstrip(" \n\t\r").isalpha():
+                parts += core, word[len(core) :]
             else:
-                wanted.add(word)
-        wanted = wanted.difference(self.words)
-        plain = [word for word in wanted if self._plain(word)]
+                parts.append(word)
+        return parts
+
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Brings words into the cache; returns those that are too long to stay there."""
+        fresh = wanted.difference(self.words)
+        again = [word for word in fresh if word in self.old]
+        self.words.update(zip(again, map(self.old.__getitem__, again)))
+        fresh.difference_update(again)
+        plain = list(filter(PLAIN, fresh))
         self.words.update(zip(plain, self._runs(plain)))
-        rest = list(wanted.difference(plain))
+        rest = list(fresh.difference(plain))
         self.words.update(zip(rest, self.whole(rest)))
-        for word, core, tail in parted:
-            self.words[word] = self.words[core] + self.words[tail]
+        return [word for word in fresh if len(word) > CACHE_WORD_CHARS]
+
+    def _spans(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct spans of texts, the spans of all texts by number, where each text's begin
+        and end, and whether its words reach over their ends.
+
+        Texts are split at plain spaces; where words keep the space before them, a span
+        begins with it unless it is a text's first. If one ends in white space, the next one's
+        space belongs to the same run.
+        """
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        coded, bounds = lists.values.dictionary_encode(), lists.offsets.to_numpy()
+        spans, at = coded.dictionary, coded.indices.to_numpy()
+        if not self.keeps:
+            return _strings(spans), at, bounds, np.zeros(len(texts), bool)
+        at, first = at.copy(), bounds[:-1]
+        heads = spans.take(pa.array(at[first]))
+        at[first] = len(spans) + np.arange(len(heads))
+        spans = pa.concat_arrays([pc.binary_join_element_wise(" ", spans, ""), heads])
+        spaced = np.zeros(len(spans), bool)
+        for white in " \n\t\r":
+            spaced |= pc.ends_with(spans, white).to_numpy(zero_copy_only=False)
+        over = spaced[at]
+        over[bounds[1:] - 1] = False  # nothing follows
+        held = _strings(spans)
+        for k in np.flatnonzero(np.bincount(at, minlength=len(held)) == 0).tolist():
+            held[k] = ""  # only ever a text's first
+        return held, at, bounds, np.logical_or.reduceat(over, first)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; none for a null or empty one."""
         texts = [text or "" for text in texts]
-        if self.cut is None:
+        if self.cut is None or not texts:
             return self.whole(texts)
-        cut, strict = self.cut
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        get = self.words.__getitem__
-        parts, new = [], set()
-        for text in texts:
-            if self.added and self.added.search(text):
-                parts.append(None)
-                continue
-            words = cut(text)
-            parts.append(words)
-            new |= set(words).difference(self.words)
-        fresh = list(new)
-        odd = set(filter(ODD_SPACE.search, fresh)) if strict else set()
-        self._learn(fresh)
-        out = []
-        for text, words in zip(texts, parts):
-            if words is None or odd and not odd.isdisjoint(words):
-                out.append(self.whole([text])[0])
+        if len(self.words) > CACHE_WORDS:  # words that are not met again until the next time go
+            self.old, self.words = self.words, {}
+        marked = [bool(self.added and self.added.search(text)) for text in texts]
+        spans, at, bounds, over = self._spans(["" if mark else text for text, mark in zip(texts, marked)])
+        values = list(map(self.words.get, spans))
+        parts = {}
+        for k in [k for k, ids in enumerate(values) if ids is None]:
+            span = spans[k]
+            values[k] = ids = self.old.get(span)
+            if ids is not None:
+                self.words[span] = ids
+            elif found := MARKED(span):
+                parts[k] = found.groups() if found[2] else (span,)
             else:
-                out.append(b"".join(map(get, words)))
-        for word in fresh:
-            if len(word) > CACHE_WORD_CHARS or word in odd:
-                del self.words[word]
+                parts[k] = self._parts(span)
+        whole = np.array(marked)
+        if self.keeps:
+            odd = [k for k in parts if ODD_SPACE.search(spans[k])]
+            if odd:
+                whole |= np.logical_or.reduceat(np.isin(at, odd), bounds[:-1])
+                for k in odd:
+                    parts[k] = []
+        by_word = {k: self._parts(texts[k]) for k in np.flatnonzero(over & ~whole).tolist()}
+        long = self._learn({word for some in (parts, by_word) for words in some.values() for word in words})
+        get = self.words.__getitem__
+        for k, words in parts.items():
+            values[k] = ids = b"".join(map(get, words))
+            if len(words) == 2 and len(spans[k]) <= CACHE_WORD_CHARS and "\n" not in spans[k]:
+                self.words[spans[k]] = ids
+        taken = pa.array(values, pa.large_binary()).take(pa.array(at))
+        _, places, data = taken.buffers()  # the ids of all texts lie one after the other
+        ends, joined = np.frombuffer(places, np.int64)[bounds].tolist(), memoryview(data or b"")
+        out = [joined[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        for k, words in by_word.items():
+            out[k] = b"".join(map(get, words))
+        for k in np.flatnonzero(whole).tolist():
+            out[k] = self.whole([texts[k]])[0]
+        for word in long:
+            del self.words[word]
         return out
 
 

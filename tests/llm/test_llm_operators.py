@@ -82,6 +82,32 @@ def test_cut_texts_encode_like_whole_ones(path, texts):
 _ENCODERS = {}
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_met_again_outlast_a_full_cache(path, monkeypatch):
+    from offerscope.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 20)
+    encoder, learned = Encoder(path), []
+    runs = encoder._runs
+    monkeypatch.setattr(encoder, "_runs", lambda words: learned.extend(words) or runs(words))
+    letters = "abcdefghij"
+    for k in range(30):
+        texts = [" ".join(["x often", *(f"w{letters[k // 10]}{letters[k % 10]}{x}" for x in letters)])]
+        assert encoder.encode(texts) == encoder.whole(texts)
+        assert len(encoder.words) + len(encoder.old) <= 80
+    assert sum("often" in word for word in learned) == 1
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_white_space_at_the_ends_of_spans(path):
+    texts = ["a  b", "a\n b", "a \n b", " a", "a ", "a\n", "  ", " ", "\n", "\n \n", "a \t\r b.", "a.\n\nB. \n", "", None, "x", "\nFoo.", "é. à!!"]
+    texts += ["a\xa0 b", "a \u2003 b", "\x0b c", "<|endoftext|> a  b", "it's 'll. we'll", "a" * 60 + ". " + "b" * 60]
+    encoder = Encoder(path)
+    for some in (texts, texts[::-1], *([text] for text in texts)):
+        assert encoder.encode(some) == encoder.whole([text or "" for text in some])
+    assert encoder.encode([]) == []
+
+
 def test_words_with_odd_space_are_found_by_one_pattern():
     import sys
 
