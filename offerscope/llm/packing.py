@@ -24,12 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerscope.llm.common import plain
-from offerscope.llm.tokens import encoder
+from offerscope.llm.tokens import encoder, slices
 from offerscope.session import scratch_path
 
 #: Pieces that are packed in one task; more pieces are packed in more groups.
 GROUP_PIECES = 50_000
-BATCH_TEXTS = 1024
 
 
 def cut_pieces(
@@ -49,8 +48,7 @@ def cut_pieces(
         encode = encoder(tokenizer, plain_controls).encode
         step = 4 * length
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                some = batch.slice(at, BATCH_TEXTS)
+            for some in slices(batch, "text"):
                 rows, number, starts, parts = [], [], [], []
                 for row, ids in enumerate(encode(some.column("text").to_pylist())):
                     ids += tail

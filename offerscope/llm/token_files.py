@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from offerscope.llm import files
 from offerscope.llm.common import plain
-from offerscope.llm.tokens import encoder
+from offerscope.llm.tokens import encoder, slices
 from offerscope.session import scratch_path
 
 FRAME_IDS = 65_536
@@ -156,8 +156,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, writer, part, count = encoder(tokenizer, plain_controls).encode, None, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_TEXTS):
-                some = batch.slice(at, BATCH_TEXTS)
+            for some in slices(batch, "text"):
                 if writer is None:
                     stream, name = files.new_file(folder, part, ".ids.zst")
                     writer = FileWriter(stream, width)

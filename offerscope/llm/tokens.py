@@ -1,7 +1,7 @@
 """Token ids of whole texts with a tokenizer file, fast on large corpora.
 
 Texts are split at spaces by Arrow, the tokenizers library encodes every distinct word once per
-worker, and ids are put together from a bounded cache. That is exact where the file's own rules cut the
+worker, and ids are put together, column by column, from a bounded cache. That is exact where the file's own rules cut the
 text at the same places: ``_cuts`` recognises the two pre-tokenizers for which it
 holds; texts of any other file are encoded whole, and so are texts that hold an added token
 such as ``<|endoftext|>``. That gets its own id, as the library has it, unless the caller
@@ -14,7 +14,7 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from string import punctuation
 
 import numpy as np
@@ -27,6 +27,8 @@ from offerscope.llm.files import worker_state
 #: and the longest word kept.
 CACHE_WORDS = 300_000
 CACHE_WORD_CHARS = 48
+#: Bytes of texts that are encoded together.
+BATCH_BYTES = 8 << 20
 
 #: The pre-token patterns after which texts are cut at white space.
 KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -71,22 +73,38 @@ def _cuts(spec: dict) -> tuple[Callable[[str], list[str]], bool] | None:
     return None
 
 
-#: A run of Latin-1 letters, with the space it owns; the same with ASCII marks after it.
-PLAIN = re.compile(r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+").fullmatch
-MARKED = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
+#: A run of Latin-1 letters, with the space it owns, and these letters.
+PLAIN = r"^ ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$"
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
 
 
 def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+def _flags(column: pa.BooleanArray) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows in runs whose texts take about ``BATCH_BYTES``; a longer one is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().cumsum(dtype=np.int64)
+    at, done = 0, 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, done + BATCH_BYTES, "right")))
+        yield batch.slice(at, end - at)
+        at, done = end, int(sizes[end - 1])
+
+
 class Encoder:
-    """Encodes texts to the little-endian unsigned 32-bit bytes of their ids."""
+    """Encodes texts to the little-endian unsigned 32-bit bytes of their ids.
+
+    The cache is two columns, words and their ids: some 30 bytes a word.
+    """
 
     def __init__(self, path: str, plain_controls: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_controls
@@ -98,29 +116,28 @@ class Encoder:
         known = any(t.get("normalized") for t in added)
         self.cut = None if known or spec.get("truncation") or spec.get("post_processor") else _cuts(spec)
         self.keeps = self.cut is not None and self.cut[1]
-        self.words: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.model = Tokenizer(self.tokenizer.model)
-        self.model.pre_tokenizer = WhitespaceSplit()
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.old, self.old_ids = self.words, self.ids
         self.alphabet = byte_alphabet() | {10: "\n"}  # line ends stand between words
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        out = []
+        for at in range(0, len(texts), 256):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + 256], add_special_tokens=False)
+            out += [array("I", x.ids).tobytes() for x in found]
+        return out
 
     def _runs(self, words: list[str]) -> list[bytes]:
         """Ids of ``PLAIN`` words. Each is one pre-token, so the file's model gets it without
         the steps before; lower case and normal forms are simple in Latin-1."""
-        out = []
-        for at in range(0, len(words), 256):
-            joined = "\n".join(words[at : at + 256])
-            if not self.keeps:
-                joined = joined.lower()
-            found = self.model.encode(joined.encode().decode("latin-1").translate(self.alphabet), add_special_tokens=False)
-            ids, owner = array("I", found.ids).tobytes(), found.word_ids
-            cuts = [4 * k for k, (a, b) in enumerate(zip(owner, owner[1:]), 1) if a != b]
-            out += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
-        return out
+        if not words:
+            return []
+        joined = "\n".join(words)
+        if not self.keeps:
+            joined = joined.lower()
+        tokenize = self.tokenizer.model.tokenize
+        shown = joined.encode().decode("latin-1").translate(self.alphabet).split("\n")
+        return [array("I", [x.id for x in tokenize(word)]).tobytes() for word in shown]
 
     def _parts(self, span: str) -> list[str]:
         """The words of a span, as they are cached. One of letters and then ASCII marks is
@@ -139,19 +156,74 @@ class Encoder:
                 parts.append(word)
         return parts
 
-    def _learn(self, wanted: set[str]) -> list[str]:
-        """Brings words into the cache; returns those that are too long to stay there."""
-        fresh = wanted.difference(self.words)
-        again = [word for word in fresh if word in self.old]
-        self.words.update(zip(again, map(self.old.__getitem__, again)))
-        fresh.difference_update(again)
-        plain = list(filter(PLAIN, fresh))
-        self.words.update(zip(plain, self._runs(plain)))
-        rest = list(fresh.difference(plain))
-        self.words.update(zip(rest, self.whole(rest)))
-        return [word for word in fresh if len(word) > CACHE_WORD_CHARS]
-
-    def _spans(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def _add(self, words: pa.Array, ids: pa.Array) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = pa.concat_arrays([self.ids, ids])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the cache has words, -1 for others."""
+        places = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(places < 0)
+        if len(missing) and len(self.old):
+            old = pc.index_in(words.take(pa.array(missing)), value_set=self.old)
+            known = _flags(old.is_valid())
+            old = old.drop_null()
+            places[missing[known]] = len(self.words) + np.arange(len(old))
+            self._add(self.old.take(old), self.old_ids.take(old))
+        return places
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Brings distinct words into the cache; returns their places there."""
+        places = self._places(words)
+        missing = np.flatnonzero(places < 0)
+        fresh = words.take(pa.array(missing))
+        plain = _flags(pc.match_substring_regex(fresh, PLAIN))
+        for some, find in ((plain, self._runs), (~plain, self.whole)):
+            places[missing[some]] = len(self.words) + np.arange(some.sum())
+            chosen = fresh.filter(pa.array(some))
+            self._add(chosen, pa.array(find(_strings(chosen)), pa.large_binary()))
+        return places
+
+    def _words(self, spans: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The words of all spans in one column, how many each span has, and whether it holds
+        odd space; then it has none.
+
+        A span whose lines are letters and then ASCII marks is cut here, as ``_parts`` would:
+        no line is empty, so a line end is a pre-token of its own.
+        """
+        lists = pc.split_pattern(spans, "\n")
+        lines, first = lists.values, lists.offsets.to_numpy()[:-1]
+        core = pc.utf8_rtrim(lines, punctuation)
+        plain = _flags(pc.match_substring_regex(core, PLAIN))
+        fit = np.logical_and.reduceat(plain, first)
+        inside = np.repeat(fit, np.diff(lists.offsets.to_numpy()))
+        lines, core = lines.filter(pa.array(inside)), core.filter(pa.array(inside))
+        size, n = pc.list_value_length(lists).to_numpy()[fit], len(lines)
+        marks = pc.utf8_ltrim(lines, " " + LETTERS)
+        has = np.ones((n, 3), bool)  # letters, marks, the line end
+        has[:, 1] = pc.binary_length(marks).to_numpy() > 0
+        has[:, 2] = self.keeps
+        has[size.cumsum() - 1, 2] = False
+        which = np.column_stack([np.arange(n), n + np.arange(n), np.full(n, 2 * n)])[has]
+        count, odd = np.zeros(len(spans), np.int64), np.zeros(len(spans), bool)
+        if n:
+            count[fit] = np.add.reduceat(has.sum(1), size.cumsum() - size)
+        rest = np.flatnonzero(~fit)
+        others: list[str] = []
+        for k, span in zip(rest.tolist(), _strings(spans.take(pa.array(rest)))):
+            if self.keeps and ODD_SPACE.search(span):
+                odd[k] = True
+            else:
+                words = self._parts(span)
+                count[k] = len(words)
+                others += words
+        # words of the spans cut here stand before the others; bring them in the spans' order
+        words = pa.concat_arrays([core, marks, pa.array(["\n", *others], pa.string())])
+        which = np.concatenate([which, 2 * n + 1 + np.arange(len(others))])
+        order = np.argsort(np.concatenate([np.repeat(np.flatnonzero(fit), count[fit]), np.repeat(rest, count[rest])]), kind="stable")
+        return words.take(pa.array(which[order])), count, odd
+
+    def _spans(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct spans of texts, the spans of all texts by number, where each text's begin
         and end, and whether its words reach over their ends.
 
@@ -163,20 +235,19 @@ class Encoder:
         coded, bounds = lists.values.dictionary_encode(), lists.offsets.to_numpy()
         spans, at = coded.dictionary, coded.indices.to_numpy()
         if not self.keeps:
-            return _strings(spans), at, bounds, np.zeros(len(texts), bool)
+            return spans, at, bounds, np.zeros(len(texts), bool)
         at, first = at.copy(), bounds[:-1]
-        heads = spans.take(pa.array(at[first]))
-        at[first] = len(spans) + np.arange(len(heads))
-        spans = pa.concat_arrays([pc.binary_join_element_wise(" ", spans, ""), heads])
+        heads = spans.take(pa.array(at[first])).dictionary_encode()
+        at[first] = len(spans) + heads.indices.to_numpy()
+        spans = pa.concat_arrays([pc.binary_join_element_wise(" ", spans, ""), heads.dictionary])
+        used = np.bincount(at, minlength=len(spans)) > 0  # some are only ever a text's first
+        spans, at = spans.filter(pa.array(used)), (used.cumsum() - 1)[at]
         spaced = np.zeros(len(spans), bool)
         for white in " \n\t\r":
-            spaced |= pc.ends_with(spans, white).to_numpy(zero_copy_only=False)
+            spaced |= _flags(pc.ends_with(spans, white))
         over = spaced[at]
         over[bounds[1:] - 1] = False  # nothing follows
-        held = _strings(spans)
-        for k in np.flatnonzero(np.bincount(at, minlength=len(held)) == 0).tolist():
-            held[k] = ""  # only ever a text's first
-        return held, at, bounds, np.logical_or.reduceat(over, first)
+        return spans, at, bounds, np.logical_or.reduceat(over, first)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; none for a null or empty one."""
@@ -184,44 +255,41 @@ class Encoder:
         if self.cut is None or not texts:
             return self.whole(texts)
         if len(self.words) > CACHE_WORDS:  # words that are not met again until the next time go
-            self.old, self.words = self.words, {}
-        marked = [bool(self.added and self.added.search(text)) for text in texts]
-        spans, at, bounds, over = self._spans(["" if mark else text for text, mark in zip(texts, marked)])
-        values = list(map(self.words.get, spans))
-        parts = {}
-        for k in [k for k, ids in enumerate(values) if ids is None]:
-            span = spans[k]
-            values[k] = ids = self.old.get(span)
-            if ids is not None:
-                self.words[span] = ids
-            elif found := MARKED(span):
-                parts[k] = found.groups() if found[2] else (span,)
-            else:
-                parts[k] = self._parts(span)
-        whole = np.array(marked)
-        if self.keeps:
-            odd = [k for k in parts if ODD_SPACE.search(spans[k])]
-            if odd:
-                whole |= np.logical_or.reduceat(np.isin(at, odd), bounds[:-1])
-                for k in odd:
-                    parts[k] = []
-        by_word = {k: self._parts(texts[k]) for k in np.flatnonzero(over & ~whole).tolist()}
-        long = self._learn({word for some in (parts, by_word) for words in some.values() for word in words})
-        get = self.words.__getitem__
-        for k, words in parts.items():
-            values[k] = ids = b"".join(map(get, words))
-            if len(words) == 2 and len(spans[k]) <= CACHE_WORD_CHARS and "\n" not in spans[k]:
-                self.words[spans[k]] = ids
-        taken = pa.array(values, pa.large_binary()).take(pa.array(at))
-        _, places, data = taken.buffers()  # the ids of all texts lie one after the other
-        ends, joined = np.frombuffer(places, np.int64)[bounds].tolist(), memoryview(data or b"")
+            self.old, self.old_ids = self.words, self.ids
+            self.words, self.ids = self.words[:0], self.ids[:0]
+        whole = np.array([bool(self.added and self.added.search(text)) for text in texts])
+        spans, at, bounds, over = self._spans(["" if mark else text for text, mark in zip(texts, whole)])
+        places, known = self._places(spans), len(self.words)
+        new = np.flatnonzero(places < 0)
+        fresh = spans.take(pa.array(new))
+        words, count, odd = self._words(fresh)
+        if odd.any():
+            whole |= np.logical_or.reduceat(np.isin(at, new[odd]), bounds[:-1])
+        by_word = np.flatnonzero(over & ~whole).tolist()
+        lists = [self._parts(texts[k]) for k in by_word]
+        coded = pa.concat_arrays([words, pa.array([w for some in lists for w in some], pa.string())]).dictionary_encode()
+        learned = self._learn(coded.dictionary)[coded.indices.to_numpy()]
+        found = self.ids.take(pa.array(learned))
+        ends = np.cumsum([0, *count, *map(len, lists)])
+        _, starts, data = found.buffers()  # the ids of all words lie one after the other
+        cuts = np.frombuffer(starts, np.int64)[ends] if len(found) else np.zeros(len(ends), np.int64)
+        made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), data])
+        places[new] = len(self.ids) + np.arange(len(new))
+        taken = pa.concat_arrays([self.ids, made]).take(pa.array(places[at]))
+        _, starts, data = taken.buffers()
+        ends, joined = np.frombuffer(starts, np.int64)[bounds].tolist(), memoryview(data or b"")
         out = [joined[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-        for k, words in by_word.items():
-            out[k] = b"".join(map(get, words))
+        for k, ids in zip(by_word, made[len(new) :].to_pylist()):
+            out[k] = ids
         for k in np.flatnonzero(whole).tolist():
             out[k] = self.whole([texts[k]])[0]
-        for word in long:
-            del self.words[word]
+        two = pa.array(np.flatnonzero((count == 2) & ~_flags(pc.match_substring(fresh, "\n"))))
+        self._add(fresh.take(two), made.take(two))
+        short = pc.less_equal(pc.utf8_length(self.words[known:]), CACHE_WORD_CHARS)
+        if not pc.all(short).as_py():
+            words, ids = self.words[known:].filter(short), self.ids[known:].filter(short)
+            self.words, self.ids = self.words[:known], self.ids[:known]
+            self._add(words, ids)
         return out
 
 

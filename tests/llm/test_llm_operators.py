@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -108,6 +109,39 @@ def test_white_space_at_the_ends_of_spans(path):
     assert encoder.encode([]) == []
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_lines_of_words_and_marks_are_cut_in_columns(path, monkeypatch):
+    encoder, slow = Encoder(path), []
+    parts = encoder._parts
+    monkeypatch.setattr(encoder, "_parts", lambda span: slow.append(span) or parts(span))
+    texts = ["One two.\nThree, four***\nfive", "Éa.\nß\nDer?!", "a" * 60 + ".\nb," + " c" * 50 + "...", "'\ns don't", "x\n\ny", "a.\u2003b c"]
+    for some in (texts, texts[::-1], texts[:3], *([text] for text in texts)):
+        assert encoder.encode(some) == encoder.whole(some)
+    assert {span.strip(" ") for span in slow} <= {"'\ns", "don't", "x\n\ny", "a. b"}
+
+
+def test_the_cache_takes_few_bytes_a_word():
+    encoder = Encoder(BYTES)
+    encoder.encode([" ".join(f"w{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij")])
+    assert 1000 <= len(encoder.words) <= 1002
+    assert encoder.words.nbytes + encoder.ids.nbytes < 40 * len(encoder.words)
+    encoder.encode(["a" * 60 + " b" + "c" * 60])
+    assert max(map(len, encoder.words.to_pylist())) <= 48
+
+
+@pytest.mark.parametrize("limit", [1, 10, 25, 1000])
+def test_texts_are_cut_into_runs_by_bytes(limit, monkeypatch):
+    from offerscope.llm import tokens
+
+    monkeypatch.setattr(tokens, "BATCH_BYTES", limit)
+    for texts in ([], [None], ["", None, "x" * 30, "yy", None, "é" * 9, "z" * 9, ""], ["x" * 10] * 7):
+        batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+        for whole in (batch, pa.RecordBatch.from_pydict({"text": pa.array(["head", *texts])}).slice(1)):
+            runs = [some.column("text").to_pylist() for some in tokens.slices(whole, "text")]
+            assert [text for run in runs for text in run] == texts and all(runs)
+            assert all(len(run) == 1 or sum(len((text or "").encode()) for text in run) <= limit for run in runs)
+
+
 def test_words_with_odd_space_are_found_by_one_pattern():
     import sys
 
