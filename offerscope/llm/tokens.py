@@ -25,10 +25,10 @@ from offerscope.llm.files import worker_state
 
 #: Words in a worker's cache before it begins a new one and keeps only that one beside it,
 #: and the longest word kept.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 CACHE_WORD_CHARS = 48
 #: Bytes of texts that are encoded together.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: The pre-token patterns after which texts are cut at white space.
 KEEPS_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
