@@ -49,3 +49,11 @@ def test_a_join_with_few_matches_drops_rows_before_they_are_shuffled(spark):
                 assert sorted(r["n"] for r in joined.collect()) == exact
     with pytest.raises(ValueError):
         common.measured_join(big, small, ["k"], "left", "n", -1, few_match=True)
+
+
+def test_the_stage_of_near_copies_broadcasts_small_tables_only(spark, limits):
+    docs = materialize(texts(spark), "documents")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 60, 10), 900, 901]
+    # the documents themselves are not shuffled before their copies take 16 MB
+    assert max(limit for columns, limit in limits if "text" not in columns) <= HELD
