@@ -14,7 +14,7 @@ leaders are settled in rounds over the few similar pairs.
 
 Keys are shuffled, not their substrings: a key goes whole to the cells of its firm where
 partners of its length are, and is cut there. A cell holds a bounded number of letters of
-longer keys. Candidates are checked there, those first whose counts of letters allow the
+longer keys, and so does a task, whose segments are hashed in memory. Candidates are checked there, those first whose counts of letters allow the
 edits, and only similar pairs leave a cell.
 """
 
@@ -32,8 +32,11 @@ from offerscope.session import materialize
 
 #: Letters of a segment at most, and of a piece in which substrings are looked up.
 SEGMENT, PIECE = 7, 64
-#: Letters of longer keys that are cut into segments in one cell.
-CELL_LETTERS = 8_000_000
+#: Letters of longer keys that are cut into segments in one cell, and half of what a task may
+#: hold: their segments take about 30 bytes a letter in the hash table of the join.
+CELL_LETTERS = 4_000_000
+#: Cells of less than this share of it are dealt to tasks by hash, larger ones one by one.
+SMALL_CELL = 8
 #: Classes of letters that are counted modulo 16, eight to a column; others are in no class.
 BAGS = {"bag": (" ", "e", "a", "t", "n", "o", "i", "r"), "bags": ("s", "h", "d", "lz", "ukq", "cmx", "pgjwv", "byf")}
 #: Whether a join on cell and content may use rows that lie by cell.
@@ -65,7 +68,7 @@ def _width(length: Column) -> Column:
 
 
 def _mark(text: str, place: Column) -> Column:
-    return F.hash(F.expr(text), F.col("w"), F.floor(place / F.col("w")))
+    return F.hash(F.expr(text), F.col("w"), F.floor(place / F.col("w")), F.col("of"))
 
 
 def _bag(key: str, classes: tuple[str, ...]) -> Column:
@@ -81,27 +84,58 @@ def _band(length: Column, threshold: float) -> Column:
     return F.floor(F.log(length.cast("double")) / max(-math.log(threshold), 0.01)).cast("int")
 
 
-def _cells(keys: DataFrame, threshold: float, letters: int) -> tuple[DataFrame, DataFrame]:
-    """The keys as longer and as shorter ones of a pair, with the ``cell`` where they meet.
+def _slots(sizes: DataFrame, letters: int, least: int) -> tuple[DataFrame, int, int]:
+    """Where cells are dealt to: ``firm, band, shares, slot`` of those that are not small, the
+    first slot of small ones, and how many slots there are.
 
-    A cell is a firm, a band of lengths of the shorter keys, and a share of the longer
-    ones where these have more than so many letters; the shorter keys go to each share.
+    A slot gets at most twice so many letters: the shares of a cell beyond them have a slot
+    each, smaller cells lie in a row that is cut. ``sizes``: materialised ``firm, band, n``,
+    the letters of each. The table has at most ``SMALL_CELL`` rows for so many letters.
+    """
+    large = sizes.filter(F.col("n") * SMALL_CELL >= letters)
+    large = large.withColumn("shares", F.ceil(F.col("n") / letters).cast("int"))
+    full = Window.orderBy(F.col("shares").desc(), "firm", "band").rowsBetween(Window.unboundedPreceding, -1)
+    units = F.when(F.col("shares") > 1, F.col("shares") * F.lit(letters).cast("long")).otherwise(F.col("n"))
+    before = F.coalesce(F.sum(units).over(full), F.lit(0).cast("long"))
+    large = materialize(large.select("firm", "band", "shares", F.floor(before / letters).cast("int").alias("slot")), "key-cells")
+    first = (large.agg(F.max(F.col("slot") + F.col("shares"))).first()[0]) or 0
+    small = sizes.filter(F.col("n") * SMALL_CELL < letters).agg(F.sum("n")).first()[0] or 0
+    return large, first, first + max(least, math.ceil(2 * small / letters))
+
+
+def _cell_of_slot(spark: SparkSession, slots: int) -> DataFrame:
+    """``slot, cell`` for each: a number that lands in a partition of the slot's own when rows are
+    dealt to so many by its hash; where none was found, the slot's number."""
+    tried = spark.range(0, 24 * slots, 1, 1).select(F.col("id").cast("int").alias("cell"))
+    found = tried.groupBy(F.pmod(F.hash("cell"), F.lit(slots)).alias("slot")).agg(F.min("cell").alias("cell"))
+    every = spark.range(0, slots, 1, 1).select(F.col("id").cast("int").alias("slot"))
+    return materialize(every.join(found, "slot", "left").withColumn("cell", F.coalesce("cell", "slot")), "key-slots")
+
+
+def _cells(keys: DataFrame, threshold: float, letters: int, least: int) -> tuple[DataFrame, DataFrame, int]:
+    """The keys as longer and as shorter ones of a pair, with the ``cell`` where they meet, a
+    number for a task of its own, and how many there are.
+
+    A cell is a firm, a band of lengths of the shorter keys (together ``of``), and a share of
+    the longer ones where these have more than so many letters; the shorter keys go to each share.
     """
     length = F.col("l")
     longest = F.floor((length + F.lit(1e-6)) / float(threshold)).cast("int")
     held = keys.select("firm", "id", "key", "n_docs", "l", *BAGS)
     longer = held.filter(edits(length, threshold) > 0)
-    least = F.greatest(length - edits(length, threshold), F.lit(1))
-    longer = longer.withColumn("band", F.explode(F.sequence(_band(least, threshold), _band(length, threshold))))
+    shortest = F.greatest(length - edits(length, threshold), F.lit(1))
+    longer = longer.withColumn("band", F.explode(F.sequence(_band(shortest, threshold), _band(length, threshold))))
     shorter = held.filter((edits(longest, threshold) > 0) & (length > 0)).withColumn("band", _band(length, threshold))
-    sizes = longer.groupBy("firm", "band").agg(F.ceil(F.sum("l") / letters).cast("int").alias("shares"))
-    # at most as many rows as cells of full size
-    crowded = F.broadcast(materialize(sizes.filter("shares > 1"), "key-cells"))
+    sizes = materialize(longer.groupBy("firm", "band").agg(F.sum("l").alias("n")), "key-bands")
+    large, first, slots = _slots(sizes, letters, least)
+    numbers = F.broadcast(_cell_of_slot(keys.sparkSession, slots))
+    hashed = F.lit(first) + F.pmod(F.hash("firm", "band"), F.lit(slots - first))
     shares = F.coalesce("shares", F.lit(1))
-    longer = longer.join(crowded, ["firm", "band"], "left").withColumn("share", F.pmod(F.xxhash64("id"), shares).cast("int"))
-    shorter = shorter.join(crowded, ["firm", "band"], "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
-    columns = [F.hash("firm", "band", "share").alias("cell"), "firm", "id", "key", "n_docs", "l", *BAGS]
-    return longer.select(*columns), shorter.select(*columns)
+    longer = longer.join(F.broadcast(large), ["firm", "band"], "left").withColumn("share", F.pmod(F.xxhash64("id"), shares).cast("int"))
+    shorter = shorter.join(F.broadcast(large), ["firm", "band"], "left").withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    columns = ["cell", F.hash("firm", "band").alias("of"), "firm", "id", "key", "n_docs", "l", *BAGS]
+    placed = [x.withColumn("slot", F.coalesce(F.col("slot") + F.col("share"), hashed)).join(numbers, "slot") for x in (longer, shorter)]
+    return *(x.select(*columns) for x in placed), slots
 
 
 def _segments(longer: DataFrame, threshold: float) -> DataFrame:
@@ -111,7 +145,7 @@ def _segments(longer: DataFrame, threshold: float) -> DataFrame:
     held = held.withColumn("at", F.expr(f"explode(transform(sequence(0, cast(floor(d * q / {PIECE}) as int)), k -> k * {PIECE}))"))
     held = held.withColumn("s", F.expr(f"substring(key, at + 1, {PIECE - 1} + q)"))
     inside = f"sequence(cast(ceil(at / q) as int), least(d, cast(floor((at + {PIECE - 1}) / q) as int)))"
-    held = held.filter("ceil(at / q) <= d").select("cell", "id", "l", *BAGS, "d", "q", "w", "at", "s", F.expr(f"explode({inside})").alias("i"))
+    held = held.filter("ceil(at / q) <= d").select("cell", "of", "id", "l", *BAGS, "d", "q", "w", "at", "s", F.expr(f"explode({inside})").alias("i"))
     held = held.withColumn("p", F.col("i") * F.col("q"))
     low = F.floor(F.greatest(F.col("p") - F.col("i"), F.lit(0)) / F.col("w"))
     high = F.floor((F.col("p") + F.least(F.col("i"), F.col("d") - F.col("i"))) / F.col("w"))
@@ -124,17 +158,17 @@ def _substrings(shorter: DataFrame, threshold: float) -> DataFrame:
     """A row per place of a key and kind of segment that a longer partner may have."""
     longest = F.floor((F.col("l") + F.lit(1e-6)) / float(threshold)).cast("int")
     kinds = F.transform(F.sequence(F.col("l"), longest), lambda l: F.struct(_segment(l, threshold).alias("q"), _width(l).alias("w")))
-    held = shorter.select("cell", "id", "l", *BAGS, "key", F.explode(F.array_distinct(kinds)).alias("kind"))
-    held = held.select("cell", "id", "l", *BAGS, "key", "kind.*").filter("l >= q")
+    held = shorter.select("cell", "of", "id", "l", *BAGS, "key", F.explode(F.array_distinct(kinds)).alias("kind"))
+    held = held.select("cell", "of", "id", "l", *BAGS, "key", "kind.*").filter("l >= q")
     pieces = F.expr(
         f"transform(sequence(0, cast(floor((l - q) / {PIECE}) as int)), k -> struct(k * {PIECE} as at, substring(key, k * {PIECE} + 1, {PIECE - 1} + q) as s))"
     )
-    held = held.select("cell", "id", "l", *BAGS, "q", "w", F.explode(pieces).alias("x"))
-    held = held.select("cell", "id", "l", *BAGS, "q", "w", "x.*", F.expr(f"explode(sequence(0, least({PIECE - 1}, l - q - x.at)))").alias("j"))
+    held = held.select("cell", "of", "id", "l", *BAGS, "q", "w", F.explode(pieces).alias("x"))
+    held = held.select("cell", "of", "id", "l", *BAGS, "q", "w", "x.*", F.expr(f"explode(sequence(0, least({PIECE - 1}, l - q - x.at)))").alias("j"))
     place = F.col("at") + F.col("j")
     mark = _mark("substring(s, j + 1, q)", place)
     return held.select(
-        "cell", mark.alias("h"), F.col("id").alias("id2"), F.col("l").alias("l2"), *[F.col(x).alias(f"{x}2") for x in BAGS], place.alias("p2")
+        "cell", "of", mark.alias("h"), F.col("id").alias("id2"), F.col("l").alias("l2"), *[F.col(x).alias(f"{x}2") for x in BAGS], place.alias("p2")
     )
 
 
@@ -156,18 +190,17 @@ def _found(keys: DataFrame, threshold: float, letters: int) -> DataFrame:
     # a substitution changes two counts by one, another edit one
     apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"{x}2"))) for x in BAGS), F.lit(0))
     alike = apart <= 2 * F.col("d") - (F.col("l") - F.col("l2"))
-    total = keys.agg(F.sum("l")).first()[0] or 0
     least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    parts = max(least, math.ceil(2 * total / letters))
-    longer, shorter = (side.repartition(parts, "cell") for side in _cells(keys, threshold, letters))
+    *sides, parts = _cells(keys, threshold, letters, least)
+    longer, shorter = (side.repartition(parts, "cell") for side in sides)
     # the segments are a sixth of the substrings: hashing them saves sorting both
     segments = _segments(longer, threshold).hint("shuffle_hash")
     pairs = segments.join(_substrings(shorter, threshold), ["cell", "h"]).filter(fits & near).filter(alike)
-    pairs = pairs.select("cell", "id", "id2").distinct()
+    pairs = pairs.select("cell", "of", "id", "id2").distinct()
     for side, key_id, end in ((longer, "id", "u"), (shorter, "id2", "v")):
-        held = side.select("cell", F.col("id").alias(key_id), *[F.col(c).alias(f"{c}_{end}") for c in ("firm", "key", "n_docs")])
-        pairs = pairs.join(held, ["cell", key_id])
-    # cells of two firms may be equal
+        held = side.select("cell", "of", F.col("id").alias(key_id), *[F.col(c).alias(f"{c}_{end}") for c in ("firm", "key", "n_docs")])
+        pairs = pairs.join(held, ["cell", "of", key_id])
+    # a task's cells can be of several firms
     pairs = pairs.filter((F.col("firm_u") == F.col("firm_v")) & similar("key_u", "key_v", threshold))
     first = F.struct((-F.col("n_docs_u")).alias("n"), F.col("key_u").alias("k")) < F.struct((-F.col("n_docs_v")).alias("n"), F.col("key_v").alias("k"))
     a = F.when(first, F.col("id")).otherwise(F.col("id2"))
