@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from offerscope.operators import boilerplate as B
 from offerscope.operators import key_clusters as K
 from offerscope.session import materialize
 
@@ -27,3 +28,22 @@ def test_no_task_gets_many_cells(spark):
     shares = longer.select("of", "cell").distinct().groupBy("of").count()
     copies = shorter.select("of", "cell", "id").distinct().groupBy("of", "id").count().withColumnRenamed("count", "copies")
     assert copies.join(shares, "of").filter("copies < count").isEmpty()
+
+
+def test_report_counts_keys_of_crowded_cells(spark, monkeypatch):
+    """The report is the same however few letters a cell takes."""
+    draw, texts = random.Random(3), []
+    words = ["notre", "groupe", "recrute", "partout", "des", "personnes", "motivees", "avec", "plaisir", "demain"]
+    common = [" ".join(draw.choices(words, k=12)).capitalize() + "." for _ in range(15)]
+    for k in range(60):
+        lines = draw.sample(common, 5)
+        texts.append((k, "\n".join(line[: -1 - k % 3] + "." for line in lines), f"f{k % 3}"))
+    offers = spark.createDataFrame(texts, "id int, text string, firm string")
+    segmented = B.segment_offers(offers, "id", "text", "firm")
+    wanted = sorted(map(tuple, B.boilerplate_report(segmented).collect()))
+    drops = sorted(map(tuple, B.learn_boilerplate(segmented).collect()))
+    assert wanted and drops
+    was = K.similar_pairs
+    monkeypatch.setattr(K, "similar_pairs", lambda keys, threshold: was(keys, threshold, 150))
+    assert sorted(map(tuple, B.boilerplate_report(segmented).collect())) == wanted
+    assert sorted(map(tuple, B.learn_boilerplate(segmented).collect())) == drops
