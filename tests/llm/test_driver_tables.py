@@ -57,3 +57,12 @@ def test_the_stage_of_near_copies_broadcasts_small_tables_only(spark, limits):
     assert sorted(r["doc_id"] for r in kept.collect()) == [*range(0, 60, 10), 900, 901]
     # the documents themselves are not shuffled before their copies take 16 MB
     assert max(limit for columns, limit in limits if "text" not in columns) <= HELD
+
+
+def test_near_vectors_broadcast_small_tables_only(spark, limits):
+    rows = [(k, [1.0 + k // 3, 1.0, 0.001 * k] if k % 3 else None) for k in range(12)]
+    rows += [(20 + k, [0.0, 0.0, float(k + 1)]) for k in range(3)]
+    found = near_vectors.similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    parts = {r["vec_id"]: r["component_id"] for r in found.collect()}
+    assert all(parts[k] == k for k in range(0, 12, 3)) and [parts[k] for k in (20, 21, 22)] == [20] * 3
+    assert limits and max(limit for _, limit in limits) <= HELD
